@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, fingerprint, pii, sharding, simhash, toxicity, warc
+from . import bpe, chat, decontamination, fingerprint, pii, sharding, simhash, suffix_dedup, toxicity, warc
 from .common import scratch_path, table
 
 
@@ -23,6 +23,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash": op1_simhash,
         "op2_fingerprints": op2_fingerprints,
         "op3_decontamination": op3_decontamination,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_chat": op5_chat,
         "op6_pii": op6_pii,
         "op7_bpe": op7_bpe,
