@@ -128,10 +128,16 @@ def vocabulary() -> str:
 def encode(df: DataFrame, text_col: str = "text", ranks_path: str | None = None, keep: list[str] | None = None, slice_rows: int = 64) -> DataFrame:
     """``keep`` (every column by default) with ``token_ids``: an array of ints for each row.
 
-    A null text is the empty one and has no ids.  ``token_ids`` replaces a column of that name.
+    A null text is the empty one and has no ids.  ``token_ids`` and ``round_trip`` replace
+    columns of these names.
     """
-    keep = [c for c in (df.columns if keep is None else keep) if c != "token_ids"]
-    out = df.select(*keep, F.array().cast("array<int>").alias("token_ids"))
+    return encode_and_check(df, text_col, ranks_path, keep, slice_rows).drop("round_trip")
+
+
+def encode_and_check(df: DataFrame, text_col: str = "text", ranks_path: str | None = None, keep: list[str] | None = None, slice_rows: int = 64) -> DataFrame:
+    """Like ``encode``, with ``round_trip``: whether decoding the ids gives the text."""
+    keep = [c for c in (df.columns if keep is None else keep) if c not in ("token_ids", "round_trip")]
+    out = df.select(*keep, F.array().cast("array<int>").alias("token_ids"), F.lit(True).alias("round_trip"))
     names = out.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,8 +145,10 @@ def encode(df: DataFrame, text_col: str = "text", ranks_path: str | None = None,
         for whole in batches:
             for at in range(0, whole.num_rows, slice_rows):
                 b = whole.slice(at, slice_rows)
-                ids = [tool.encode(t or "") for t in b.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(ids, pa.list_(pa.int32()))], names=names)
+                texts = [t or "" for t in b.column(0).to_pylist()]
+                ids = [tool.encode(t) for t in texts]
+                same = [tool.decode(x) == t for x, t in zip(ids, texts)]
+                yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())], names=names)
 
     return df.select(F.col(text_col).cast("string").alias("_text"), *keep).mapInArrow(work, out.schema)
 
