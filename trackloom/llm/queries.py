@@ -78,5 +78,49 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all(coalesce({_LOWER}, ''), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+DECONTAMINATION_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS ws FROM benchmark),
+size AS (SELECT item_id, ws, least(len(ws), 13) AS n FROM b WHERE len(ws) > 0),
+item AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS w FROM (SELECT item_id, n, ws, unnest(range(1, len(ws) - n + 2)) AS i FROM size)),
+place AS (SELECT doc_id, n, ws, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM item) WHERE len(ws) >= n),
+win AS (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS w FROM place),
+hit AS (SELECT win.doc_id, win.n, win.i, item.item_id FROM win JOIN item ON win.w = item.w AND win.n = item.n),
+word AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN word ON d.doc_id = word.doc_id LEFT JOIN named ON d.doc_id = named.doc_id"""
+
+_ESCAPES = "len(regexp_extract_all({0}, '\\\\|<s>|</s>|\\[INST\\]|\\[/INST\\]|\\[GEN\\]|\\[ROLE\\]|\\[SEP\\]|\\[/ROLE\\]'))"
+
+CHAT_SQL = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(text) + {_ESCAPES.format('text')} + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 9 ELSE 18 + length(role) + {_ESCAPES.format('role')} END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(3 + sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> {5 * k}) & 31 AS INTEGER) + 1, 1)" for k in (3, 2, 1, 0)
+)
+_DIGIT = "(instr('0123456789abcdef', substr(h, i * 5 + {0}, 1)) - 1)"
+_VALUE = " + ".join(f"{_DIGIT.format(k + 1)} * {16 ** (4 - k)}" for k in range(5))
+
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+v AS (SELECT page_id, i, CAST({_VALUE} AS BIGINT) AS x FROM (SELECT page_id, h, unnest(range(8)) AS i FROM p)),
+b AS (SELECT page_id, string_agg({_BASE32}, '' ORDER BY i) AS payload_digest FROM v GROUP BY page_id),
+o AS (SELECT html, max(page_id) AS original FROM p GROUP BY html)
+SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN p.page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN p.page_id <> original THEN original END AS refers_to
+FROM p JOIN b ON p.page_id = b.page_id JOIN o ON p.html = o.html"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that SQL can express; the others are tested against plain versions."""
+    return {"op3_decontamination": DECONTAMINATION_SQL, "op5_chat": CHAT_SQL, "op9_warc": WARC_SQL}
