@@ -43,3 +43,12 @@ def partitions(spark: SparkSession) -> int:
 def hex64(col):
     """A long as 16 lower-case hex digits."""
     return F.lpad(F.lower(F.hex(col)), 16, "0")
+
+
+def packed(df: DataFrame, keep: list[str], **more) -> DataFrame:
+    """The kept columns as one struct ``row``, and others beside it, so that no names can clash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), *[c.alias(n) for n, c in more.items()])
+
+
+def unpacked(df: DataFrame, *more: str) -> DataFrame:
+    return df.select("row.*", *more)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, packed
 
 # Words are runs of ASCII letters and digits and of anything outside ASCII; A-Z are folded.
 _FOLD = bytes(
@@ -103,9 +103,9 @@ def union_of(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 13, block_windows: int = 50_000, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (every column by default) with ``_n_words, _hits, _items`` for each row of ``docs``.
+    """``row, n_words, hits, items`` for each row of ``docs``; ``row`` has ``keep`` (every column by default).
 
-    ``_hits`` are disjoint stretches of hit words as ``(start, end)``, end exclusive; ``_items``
+    ``hits`` are disjoint stretches of hit words as ``(start, end)``, end exclusive; ``items``
     the ids, as strings, of the items with a window in the text.  Null and empty texts have no
     words; items without words have no windows; windows of items with a null id are hit but
     not named.  Repeated rows each keep their own.
@@ -113,67 +113,65 @@ def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id
     rows = materialize(item_windows(items, item_id, item_text, size), "windows")
     blocks = max(1, -(-rows.select("window").distinct().count() // block_windows))
     by_block = rows.groupBy("window").agg(F.collect_set("item_id").alias("ids")).withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
-    keep = docs.columns if keep is None else keep
-    names = [*keep, "_text", "_n_words", "_hits", "_items"]
-    out = docs.select(
-        *keep, F.col(text_col).cast("string").alias("_text"), F.lit(0).cast("long").alias("_n_words"),
-        F.array().cast("array<struct<start:int,end:int>>").alias("_hits"), F.array().cast("array<string>").alias("_items"),
-    )
-    schema = out.schema
+    src = packed(
+        docs, docs.columns if keep is None else keep, text=F.col(text_col).cast("string"), n_words=F.lit(0).cast("long"),
+        hits=F.array().cast("array<struct<start:int,end:int>>"), items=F.array().cast("array<string>"),
+    )
+    out = src
     for k in range(blocks):
         block = [(r["window"].encode(), r["ids"]) for r in by_block.where(F.col("block") == k).collect()]
         vocabulary = {w for window, _ in block for w in window.split(b" ")}
         sent = docs.sparkSession.sparkContext.broadcast(file_windows(block, word_counts(docs, text_col, vocabulary) if block else {}))
-        out = _pass(out, sent, names, schema)
+        out = _pass(out, sent, src.schema)
         if k < blocks - 1:
             out = materialize(out, "hits")
-    return out.drop("_text")
+    return out.drop("text")
 
 
-def _pass(rows: DataFrame, sent, names: list[str], schema) -> DataFrame:
-    at = len(names) - 4
+def _pass(rows: DataFrame, sent, schema) -> DataFrame:
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filed = sent.value
         for b in batches:
             n, hits, items = [], [], []
-            for text, old, ids in zip(b.column(at), b.column(at + 2), b.column(at + 3)):
+            for text, old, ids in zip(b.column(1), b.column(3), b.column(4)):
                 words = words_of(text.as_py())
                 spans, found = scan(words, filed)
                 spans += [(x["start"], x["end"]) for x in old.as_py()]
                 n.append(len(words))
                 hits.append([{"start": s, "end": e} for s, e in union_of(spans)])
                 items.append(sorted(found | set(ids.as_py())))
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[: at + 1], pa.array(n, pa.int64()), pa.array(hits, kind), pa.array(items, pa.list_(pa.string()))], names=names
+                [*b.columns[:2], pa.array(n, pa.int64()), pa.array(hits, kind), pa.array(items, pa.list_(pa.string()))],
+                names=["row", "text", "n_words", "hits", "items"],
             )
 
     return rows.mapInArrow(work, schema)
 
 
 def n_hit() -> Column:
-    return F.aggregate("_hits", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
 
 
 def contaminated(share: int = 20) -> Column:
     """Hit words are at least one in ``share``."""
-    return (n_hit() > 0) & (n_hit() * share >= F.col("_n_words"))
+    return (n_hit() > 0) & (n_hit() * share >= F.col("n_words"))
 
 
 def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for every row of ``docs``."""
     found = find_hits(docs, items, text_col, keep=[id_col], **options)
     return found.select(
-        F.col(id_col).alias("doc_id"),
-        F.col("_n_words").alias("n_words"),
+        F.col(f"row.{id_col}").alias("doc_id"),
+        "n_words",
         n_hit().alias("n_hit"),
-        F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "_items"), 256).alias("items_sha256"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         contaminated().alias("contaminated"),
     )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their columns as they were."""
-    return find_hits(docs, items, text_col, **options).where(~contaminated()).select(*docs.columns)
+    return find_hits(docs, items, text_col, **options).where(~contaminated()).select("row.*")

@@ -102,16 +102,16 @@ def _unpack(place: int) -> tuple[int, int, int]:
     return place >> 16, place >> 8 & 255, place & 255
 
 
-def _batches(rows: Iterator[tuple[int, bytes]], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """Texts by about ``BATCH_BYTES``; longer ones in pieces that overlap by ``length - 1`` bytes."""
+def _batches(rows: Iterator[tuple[int, bytes]], length: int, most: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Texts by about ``most`` bytes; longer ones in pieces that overlap by ``length - 1`` bytes."""
     ids: list[int] = []
     begins: list[int] = []
     pieces: list[bytes] = []
     held = 0
     for doc, data in rows:
-        for a in range(0, max(1, len(data) - length + 1), BATCH_BYTES):
-            piece = data[a : a + BATCH_BYTES + length - 1]
-            if held and held + len(piece) > BATCH_BYTES:
+        for a in range(0, max(1, len(data) - length + 1), most):
+            piece = data[a : a + most + length - 1]
+            if held and held + len(piece) > most:
                 yield ids, begins, pieces
                 ids, begins, pieces, held = [], [], [], 0
             ids.append(doc)
@@ -122,12 +122,12 @@ def _batches(rows: Iterator[tuple[int, bytes]], length: int) -> Iterator[tuple[l
         yield ids, begins, pieces
 
 
-def parse(docs: DataFrame, length: int) -> DataFrame:
+def parse(docs: DataFrame, length: int, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``trigger, phrase, doc, place`` for each occurrence; the trigger is null where the batch has an earlier one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((i.as_py(), (t.as_py() or "").encode("utf-8")) for b in batches for i, t in zip(b.column(0), b.column(1)))
-        for ids, begins, pieces in _batches(rows, length):
+        for ids, begins, pieces in _batches(rows, length, batch_bytes):
             trigger, phrase, piece, start, count, offset = triggers(pieces, length)
             if not len(trigger):
                 continue
@@ -199,11 +199,11 @@ def shared_starts(phrases: list[tuple[bytes, int]], length: int) -> list[tuple[i
     return [(k, s) for (a, _, _), (b, k, s) in zip(order, order[1:]) if a == b]
 
 
-def edge_starts(cut: DataFrame, length: int) -> DataFrame:
+def edge_starts(cut: DataFrame, length: int, together: int = SORTED_TOGETHER) -> DataFrame:
     """``doc, start, n``: runs of starts in edge phrases whose strings come earlier.
 
     Phrases of a trigger are few as a rule and are sorted together.  If they are more than
-    ``SORTED_TOGETHER``, their strings are spread by hash over the cluster instead, except
+    ``together``, their strings are spread by hash over the cluster instead, except
     those that the task has just seen; all of them are compared.
     """
     n = partitions(cut.sparkSession)
@@ -251,7 +251,7 @@ def edge_starts(cut: DataFrame, length: int) -> DataFrame:
                     out += strings(t, (doc, place, text), seen)
                 else:
                     group.append((doc, place, text))
-                    if len(group) > SORTED_TOGETHER:
+                    if len(group) > together:
                         for row in group:
                             out += strings(t, row, seen)
                         group, large = [], True
@@ -304,15 +304,15 @@ def _numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return materialize(ranged.select(F.monotonically_increasing_id().alias("doc"), "text", "doc_id"), "numbered")
 
 
-def repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> tuple[DataFrame, DataFrame]:
+def repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, batch_bytes: int = BATCH_BYTES, together: int = SORTED_TOGETHER) -> tuple[DataFrame, DataFrame]:
     """The documents as ``doc, text, doc_id``, and ``doc, runs``: runs of starts whose strings come earlier."""
     if not GRAM < length <= 255 - GRAM:
         raise ValueError(f"length is over {GRAM} and at most {255 - GRAM}")
     docs = _numbered(df, id_col, text_col)
-    found = materialize(repeats(parse(docs.select("doc", "text"), length)), "repeats")
+    found = materialize(repeats(parse(docs.select("doc", "text"), length, batch_bytes)), "repeats")
     edges = found.where("edge").groupBy("doc").agg(F.collect_list(F.struct("trigger", "place")).alias("edges"))
     with_edges = docs.join(edges, "doc", "left").where("edges is not null").select("doc", "text", "edges")
-    edge_runs = edge_starts(_cut_phrases(with_edges, length), length)
+    edge_runs = edge_starts(_cut_phrases(with_edges, length), length, together)
     whole = found.where("not edge").select("doc", F.expr("shiftright(place, 16)").alias("start"), F.expr("shiftright(place, 8) & 255").alias("n"))
     runs = whole.union(edge_runs).groupBy("doc").agg(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), F.col("n").cast("long").alias("n"))).alias("runs"))
     return docs, runs
@@ -329,13 +329,14 @@ def removed_spans(runs: list[dict], length: int) -> list[tuple[int, int]]:
     return out
 
 
-def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, with_spans: bool = False) -> DataFrame:
+def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, with_spans: bool = False, **limits: int) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row, and ``spans`` if asked for.
 
     Null and empty texts have no bytes.  Where ids repeat or are null, rows are documents of
-    their own, null ids first, equal ids in the order of a hash of their texts.
+    their own, null ids first, equal ids in the order of a hash of their texts.  ``limits`` are
+    those of ``repeated_runs``; they bound memory and don't change results.
     """
-    docs, runs = repeated_runs(df, id_col, text_col, length)
+    docs, runs = repeated_runs(df, id_col, text_col, length, **limits)
     joined = docs.join(runs, "doc", "left").select("doc_id", "text", "runs")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
