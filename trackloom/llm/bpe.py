@@ -18,13 +18,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed, unpacked
+
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 #: Fixed value: how this vocabulary's tokenizer splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -50,7 +53,7 @@ def cuts(data: bytes, mean: int = MEAN_CHUNK) -> list[int]:
 class Encoder:
     """Encodes and decodes texts; keeps what it has encoded up to ``keep_chars`` characters."""
 
-    def __init__(self, ranks_path: str, keep_chars: int = 1 << 24):
+    def __init__(self, ranks_path: str, keep_chars: int = 1 << 22):
         import tiktoken
 
         with open(ranks_path, "rb") as f:
@@ -60,15 +63,15 @@ class Encoder:
         for piece, n in ranks.items():
             self.token[n] = piece
         self.token[SPECIAL_ID] = SPECIAL.encode()
-        self.kept: dict[str, list[int]] = {}
+        self.kept: dict[str, array] = {}
         self.keep_chars, self.chars, self.fresh, self.reused = keep_chars, 0, 0, 0
 
-    def _piece(self, text: str) -> list[int]:
+    def _piece(self, text: str) -> array:
         ids = self.kept.get(text)
         if ids is not None:
             self.reused += 1
             return ids
-        ids = self.base.encode_ordinary(text)
+        ids = array("H", self.base.encode_ordinary(text))  # two bytes each: the vocabulary has under 65,536 entries
         self.fresh += 1
         self.chars += len(text)
         if self.chars > self.keep_chars:
@@ -76,9 +79,9 @@ class Encoder:
         self.kept[text] = ids
         return ids
 
-    def _plain(self, text: str) -> list[int]:
+    def _plain(self, text: str) -> array:
         data = text.encode("utf-8")
-        ids: list[int] = []
+        ids = array("H")
         begin, join = 0, ""
         for end in [*cuts(data), len(data)]:
             chunk, begin = data[begin:end].decode("utf-8"), end
@@ -95,8 +98,8 @@ class Encoder:
             join = chunk[last:]
         return ids + self._piece(join) if join else ids
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+    def encode(self, text: str) -> array:
+        ids = array("H")
         for k, part in enumerate(text.split(SPECIAL)):
             if k:
                 ids.append(SPECIAL_ID)
@@ -104,7 +107,7 @@ class Encoder:
                 ids += self._plain(part)
         return ids
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.token.__getitem__, ids)).decode("utf-8", "replace")
 
 
@@ -118,6 +121,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _lists(rows: list[array]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    flat = np.frombuffer(b"".join(r.tobytes() for r in rows), np.uint16).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
 def vocabulary() -> str:
     """The vocabulary's ranks, where the public tokenizer files are installed."""
     import public_tokenizers
@@ -137,20 +146,20 @@ def encode(df: DataFrame, text_col: str = "text", ranks_path: str | None = None,
 def encode_and_check(df: DataFrame, text_col: str = "text", ranks_path: str | None = None, keep: list[str] | None = None, slice_rows: int = 64) -> DataFrame:
     """Like ``encode``, with ``round_trip``: whether decoding the ids gives the text."""
     keep = [c for c in (df.columns if keep is None else keep) if c not in ("token_ids", "round_trip")]
-    out = df.select(*keep, F.array().cast("array<int>").alias("token_ids"), F.lit(True).alias("round_trip"))
-    names = out.columns
+    src = packed(df, keep, text=F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    schema = src.select("row", F.array().cast("array<int>").alias("token_ids"), F.lit(True).alias("round_trip")).schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(ranks_path or vocabulary())
         for whole in batches:
             for at in range(0, whole.num_rows, slice_rows):
                 b = whole.slice(at, slice_rows)
-                texts = [t or "" for t in b.column(0).to_pylist()]
+                texts = b.column(1).to_pylist()
                 ids = [tool.encode(t) for t in texts]
                 same = [tool.decode(x) == t for x, t in zip(ids, texts)]
-                yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())], names=names)
+                yield pa.RecordBatch.from_arrays([b.column(0), _lists(ids), pa.array(same, pa.bool_())], names=["row", "token_ids", "round_trip"])
 
-    return df.select(F.col(text_col).cast("string").alias("_text"), *keep).mapInArrow(work, out.schema)
+    return unpacked(src.mapInArrow(work, schema), "token_ids", "round_trip")
 
 
 def decode(df: DataFrame, ids_col: str = "token_ids", ranks_path: str | None = None, slice_rows: int = 64) -> DataFrame:
@@ -180,7 +189,7 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks
             for t in b.column(1):
                 ids = tool.encode(t.as_py() or "")
                 n.append(len(ids))
-                of_ids.append(hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+                of_ids.append(hashlib.sha256(np.frombuffer(ids, np.uint16).astype("<u4").tobytes()).hexdigest())
                 of_text.append(hashlib.sha256(tool.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
