@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
-from .frames import EPSILON, GAME, count_present
+from .frames import EPSILON, game, count_present
 
 TEAMS = ("target_team", "opponent_team")
 
 
 def drop_duplicate_timestamps(frames: DataFrame) -> DataFrame:
-    step = F.abs(F.col("timestamp_s") - F.lag("timestamp_s").over(GAME))
+    step = F.abs(F.col("timestamp_s") - F.lag("timestamp_s").over(game()))
     return frames.withColumn("_d", step).where("_d is null or _d > %r" % EPSILON).drop("_d")
 
 
@@ -40,14 +40,14 @@ def _square(a: Column, b: Column) -> Column:
 
 def teleported(cfg: Config) -> Column:
     """Whether a robot with the same identity, or the ball, is too far from where the last row had it."""
-    dt = F.col("timestamp_s") - F.lag("timestamp_s").over(GAME)
+    dt = F.col("timestamp_s") - F.lag("timestamp_s").over(game())
     reach = cfg.clean.teleport_m * F.greatest(dt / 0.033, F.lit(1.0))
 
     def jumped(c: str) -> Column:
-        both = F.zip_with(F.lag(c).over(GAME), F.col(c), lambda p, r: (p["stable_id"] == r["stable_id"]) & (F.sqrt(_square(r, p)) > reach))
+        both = F.zip_with(F.lag(c).over(game()), F.col(c), lambda p, r: (p["stable_id"] == r["stable_id"]) & (F.sqrt(_square(r, p)) > reach))
         return F.exists(both, lambda x: F.coalesce(x, F.lit(False)))
 
-    ball = F.sqrt(_square(F.col("ball"), F.lag("ball").over(GAME))) > 2 * reach
+    ball = F.sqrt(_square(F.col("ball"), F.lag("ball").over(game()))) > 2 * reach
     return F.coalesce(dt > 0, F.lit(False)) & (F.coalesce(jumped("target_team"), F.lit(False)) | F.coalesce(jumped("opponent_team"), F.lit(False)) | F.coalesce(ball, F.lit(False)))
 
 
@@ -58,12 +58,12 @@ def drop_teleports(frames: DataFrame, cfg: Config) -> DataFrame:
 
 def spiked(cfg: Config) -> Column:
     """Whether a robot is off the line between its places one row before and after."""
-    before, after = F.lag("timestamp_s").over(GAME), F.lead("timestamp_s").over(GAME)
+    before, after = F.lag("timestamp_s").over(game()), F.lead("timestamp_s").over(game())
     d1, d2 = F.col("timestamp_s") - before, after - F.col("timestamp_s")
     share, most = d1 / (d1 + d2), cfg.clean.spike_m**2
 
     def off(c: str) -> Column:
-        prev, nxt = F.lag(c).over(GAME), F.lead(c).over(GAME)
+        prev, nxt = F.lag(c).over(game()), F.lead(c).over(game())
 
         def one(r: Column, i: Column) -> Column:
             p, n = F.get(prev, i), F.get(nxt, i)
@@ -83,8 +83,8 @@ def drop_spikes(frames: DataFrame, cfg: Config) -> DataFrame:
 def smooth_positions(frames: DataFrame, cfg: Config) -> DataFrame:
     """Median of x and y over the rows around, per slot and for the ball; edges and sparse slots stay."""
     half = cfg.clean.smoothing_window // 2
-    around = GAME.rowsBetween(-half, half)
-    middle = F.lag(F.lit(True), half).over(GAME).isNotNull() & F.lead(F.lit(True), half).over(GAME).isNotNull() if half else F.lit(True)
+    around = game().rowsBetween(-half, half)
+    middle = F.lag(F.lit(True), half).over(game()).isNotNull() & F.lead(F.lit(True), half).over(game()).isNotNull() if half else F.lit(True)
 
     def smooth(e: Column) -> Column:
         enough = middle & e.isNotNull() & (F.count(e["x"]).over(around) >= 3)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.geometry import clamp
-from .frames import GAME
+from .frames import game
 
 
 def _velocity(cur: Column, prev: Column, nxt: Column, dt: Column, cfg: Config, robot: bool) -> Column:
@@ -34,9 +34,9 @@ def estimate_dynamics(frames: DataFrame, cfg: Config) -> DataFrame:
     what the tracker said.  Two passes over one window; one shuffle.
     """
     teams = ("target_team", "opponent_team")
-    around = {"_dt": F.lead("timestamp_s").over(GAME) - F.lag("timestamp_s").over(GAME)}
+    around = {"_dt": F.lead("timestamp_s").over(game()) - F.lag("timestamp_s").over(game())}
     for c in ("ball", *teams):
-        around |= {f"_p_{c}": F.lag(c).over(GAME), f"_n_{c}": F.lead(c).over(GAME)}
+        around |= {f"_p_{c}": F.lag(c).over(game()), f"_n_{c}": F.lead(c).over(game())}
     wide = frames.withColumns(around)
     dt = F.col("_dt")
 
@@ -46,7 +46,7 @@ def estimate_dynamics(frames: DataFrame, cfg: Config) -> DataFrame:
     first = {"ball": _velocity(F.col("ball"), F.col("_p_ball"), F.col("_n_ball"), dt, cfg, False)}
     first |= {c: per_slot(c, lambda r, p, n: _velocity(r, p, n, dt, cfg, True)) for c in teams}
     moved = wide.withColumns(first)
-    moved = moved.withColumns({f"_p_{c}": F.lag(c).over(GAME) for c in ("ball", *teams)})
+    moved = moved.withColumns({f"_p_{c}": F.lag(c).over(game()) for c in ("ball", *teams)})
     second = {"ball": _acceleration(F.col("ball"), F.col("_p_ball"), F.col("_n_ball"), dt, cfg)}
     second |= {c: per_slot(c, lambda r, p, n: _acceleration(r, p, n, dt, cfg)) for c in teams}
     return moved.withColumns(second).select(*frames.columns)
@@ -54,6 +54,6 @@ def estimate_dynamics(frames: DataFrame, cfg: Config) -> DataFrame:
 
 def sample_rate(frames: DataFrame) -> DataFrame:
     """``game_id, sample_rate_hz``: one over the mean of positive steps in time; 0 without any."""
-    step = F.col("timestamp_s") - F.lag("timestamp_s").over(GAME)
+    step = F.col("timestamp_s") - F.lag("timestamp_s").over(game())
     steps = frames.select("game_id", step.alias("d"))
     return steps.groupBy("game_id").agg(F.coalesce(1 / F.avg(F.when(F.col("d") > 0, F.col("d"))), F.lit(0.0)).alias("sample_rate_hz"))

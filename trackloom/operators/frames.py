@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.geometry import distance, in_bounds, wrap_angle
 
 EPSILON = 2.220446049250313e-16
-GAME = Window.partitionBy("game_id").orderBy("frame_pos")
+
+
+def game() -> WindowSpec:
+    """The frames of a game in order."""
+    return Window.partitionBy("game_id").orderBy("frame_pos")
 
 
 def null_out_of_bounds(team: Column, cfg: Config) -> Column:
@@ -44,13 +48,13 @@ def near_ball(cfg: Config) -> Column:
 def run_length(frames: DataFrame, condition: Column, name: str) -> DataFrame:
     """How many frames in a row, up to each frame, the condition has held."""
     marked = frames.withColumn("_c", F.coalesce(condition, F.lit(False)))
-    islands = marked.withColumn("_i", F.sum((~F.col("_c")).cast("int")).over(GAME))
+    islands = marked.withColumn("_i", F.sum((~F.col("_c")).cast("int")).over(game()))
     run = F.sum(F.col("_c").cast("bigint")).over(Window.partitionBy("game_id", "_i").orderBy("frame_pos"))
     return islands.withColumn(name, run).drop("_c", "_i")
 
 
 def duplicate_timestamp() -> Column:
-    return F.coalesce(F.abs(F.col("timestamp_s") - F.lag("timestamp_s").over(GAME)) <= EPSILON, F.lit(False))
+    return F.coalesce(F.abs(F.col("timestamp_s") - F.lag("timestamp_s").over(game())) <= EPSILON, F.lit(False))
 
 
 def referee_live(cfg: Config) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import GAME
+from .frames import game
 
 
 def resample(frames: DataFrame) -> DataFrame:
@@ -16,8 +16,8 @@ def resample(frames: DataFrame) -> DataFrame:
     a positive step, or whose steps differ by at most a quarter of their mean stay as they are.
     Frames keep their times; ``frame_pos`` is the tick.
     """
-    upto = GAME.rowsBetween(Window.unboundedPreceding, 0)
-    step = frames.withColumn("_d", F.col("timestamp_s") - F.lag("timestamp_s").over(GAME))
+    upto = game().rowsBetween(Window.unboundedPreceding, 0)
+    step = frames.withColumn("_d", F.col("timestamp_s") - F.lag("timestamp_s").over(game()))
     up = F.when(F.col("_d") > 0, F.col("_d"))
     summed = step.withColumns({"_run": F.sum(up).over(upto), "_up": up})
     facts = summed.groupBy("game_id").agg(

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions.geometry import as_number, clamp, one_hot_phase, role_code, wrap_angle
 
-ZERO = F.lit
 
 
 def stretch(frames: DataFrame, cfg: Config) -> DataFrame:

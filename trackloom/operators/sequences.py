@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.geometry import distance
-from .frames import GAME
+from .frames import game
 
 
 def possession_break(cfg: Config) -> Column:
     """Against the row before: a missing ball, a jump of the ball, or a change of carrying or live play."""
-    prev = lambda c: F.lag(c).over(GAME)
-    ball, last = F.col("ball"), F.lag("ball").over(GAME)
+    prev = lambda c: F.lag(c).over(game())
+    ball, last = F.col("ball"), F.lag("ball").over(game())
     return (
         ball.isNull()
         | last.isNull()
@@ -25,10 +25,10 @@ def possession_break(cfg: Config) -> Column:
 
 def segment(frames: DataFrame, cfg: Config) -> DataFrame:
     """Add ``segment``: it grows by one wherever a gap in time or a possession break is."""
-    gap = F.col("timestamp_s") - F.lag("timestamp_s").over(GAME) > cfg.max_gap_s
-    first = F.lag("frame_pos").over(GAME).isNull()
+    gap = F.col("timestamp_s") - F.lag("timestamp_s").over(game()) > cfg.max_gap_s
+    first = F.lag("frame_pos").over(game()).isNull()
     starts = frames.withColumn("_s", (first | gap | possession_break(cfg)).cast("int"))
-    return starts.withColumn("segment", F.sum("_s").over(GAME.rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
+    return starts.withColumn("segment", F.sum("_s").over(game().rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
 
 
 def summarise(segmented: DataFrame, cfg: Config) -> DataFrame:

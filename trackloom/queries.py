@@ -568,7 +568,7 @@ def q_standard_pipeline(spark, d):
 
 @query(None)
 def q_automatic_pipeline(spark, d):
-    cfg = replace(TICKS, clean=replace(TICKS.clean, teleport_m=0.5), min_sequence_frames=4)
+    cfg = replace(TICKS, clean=replace(TICKS.clean, teleport_m=0.5, min_visibility=0.1), min_sequence_frames=4)
     return pipelines.build(_ticks(spark, d), adapters.events_games(spark, d), cfg, automatic=True).samples
 
 

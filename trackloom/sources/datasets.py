@@ -51,7 +51,7 @@ def reviews_to_json(reviews: DataFrame) -> DataFrame:
     """One ``value`` with all reviews as JSON, for a text sink; reviews are made by hand and few."""
     entry = F.struct(F.col("sequence_index").cast("string"), F.struct("verdict", "note"))
     games = reviews.groupBy("game_id").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("s"))
-    return games.agg(F.to_json(F.struct(F.map_from_entries(F.array_sort(F.collect_list(F.struct("game_id", "s")))).alias("entries"))).alias("value"))
+    return games.agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("game_id", "s"))).alias("entries"))).alias("value"))
 
 
 def config_with_source(text: str, tracker_source: str | None, name: str | None, color: str | None) -> Config:
