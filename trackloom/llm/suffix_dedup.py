@@ -202,12 +202,14 @@ def shared_starts(phrases: list[tuple[bytes, int]], length: int) -> list[tuple[i
 def edge_starts(cut: DataFrame, length: int, together: int = SORTED_TOGETHER) -> DataFrame:
     """``doc, start, n``: runs of starts in edge phrases whose strings come earlier.
 
-    Phrases of a trigger are few as a rule and are sorted together.  If they are more than
-    ``together``, their strings are spread by hash over the cluster instead, except
-    those that the task has just seen; all of them are compared.
+    The phrases of a trigger are few as a rule and are sorted together.  Triggers with more
+    than ``together`` phrases (``large``) are dealt out by document too: a task compares what
+    it has of one, and sends each different string on once, to be compared by hash over the
+    cluster.
     """
     n = partitions(cut.sparkSession)
-    ordered = cut.repartition(n, "trigger").sortWithinPartitions("trigger", "doc", "place")
+    share = F.when(F.col("large"), F.pmod(F.xxhash64("doc"), F.lit(n))).otherwise(F.lit(-1).cast("long"))
+    ordered = cut.withColumn("share", share).repartition(n, "trigger", "share").sortWithinPartitions("trigger", "share", "doc", "place")
     names = ["trigger", "string", "doc", "start", "n"]
 
     def emit(rows: list[tuple]) -> pa.RecordBatch:
@@ -241,24 +243,20 @@ def edge_starts(cut: DataFrame, length: int, together: int = SORTED_TOGETHER) ->
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        trigger, group, seen, large = None, [], set(), False
+        key, group, seen = None, [], set()
         for b in batches:
-            for t, doc, place, text in zip(*(b.column(k).to_pylist() for k in range(4))):
-                if t != trigger:
-                    out += runs(group) if not large else ()
-                    trigger, group, seen, large = t, [], set(), False
+            for t, doc, place, text, large, share in zip(*(c.to_pylist() for c in b.columns)):
+                if (t, share) != key:
+                    out += runs(group)
+                    key, group, seen = (t, share), [], set()
                 if large:
                     out += strings(t, (doc, place, text), seen)
                 else:
                     group.append((doc, place, text))
-                    if len(group) > together:
-                        for row in group:
-                            out += strings(t, row, seen)
-                        group, large = [], True
                 if len(out) > 20_000:
                     yield emit(out)
                     out = []
-        out += runs(group) if not large else ()
+        out += runs(group)
         if out:
             yield emit(out)
 
@@ -285,12 +283,12 @@ def _cut_phrases(joined: DataFrame, length: int) -> DataFrame:
                 data = (text.as_py() or "").encode("utf-8")
                 for e in edges.as_py():
                     start, count, _ = _unpack(e["place"])
-                    rows.append((e["trigger"], doc.as_py(), e["place"], data[start : start + count - 1 + length]))
+                    rows.append((e["trigger"], doc.as_py(), e["place"], data[start : start + count - 1 + length], e["large"]))
             for k in range(0, len(rows), 4096):
-                cols = zip(zip(*rows[k : k + 4096]), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols], names=["trigger", "doc", "place", "text"])
+                cols = zip(zip(*rows[k : k + 4096]), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols], names=["trigger", "doc", "place", "text", "large"])
 
-    return joined.mapInArrow(work, "trigger long, doc long, place long, text binary")
+    return joined.mapInArrow(work, "trigger long, doc long, place long, text binary, large boolean")
 
 
 def _numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -310,7 +308,10 @@ def repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError(f"length is over {GRAM} and at most {255 - GRAM}")
     docs = _numbered(df, id_col, text_col)
     found = materialize(repeats(parse(docs.select("doc", "text"), length, batch_bytes)), "repeats")
-    edges = found.where("edge").groupBy("doc").agg(F.collect_list(F.struct("trigger", "place")).alias("edges"))
+    edge = found.where("edge")
+    large = edge.groupBy("trigger").agg(F.count("*").alias("n")).where(F.col("n") > together).select("trigger", F.lit(True).alias("large"))
+    marked = edge.join(large, "trigger", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    edges = marked.groupBy("doc").agg(F.collect_list(F.struct("trigger", "place", "large")).alias("edges"))
     with_edges = docs.join(edges, "doc", "left").where("edges is not null").select("doc", "text", "edges")
     edge_runs = edge_starts(_cut_phrases(with_edges, length), length, together)
     whole = found.where("not edge").select("doc", F.expr("shiftright(place, 16)").alias("start"), F.expr("shiftright(place, 8) & 255").alias("n"))
