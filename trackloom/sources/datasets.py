@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..config import Config
 
@@ -18,25 +19,27 @@ def write_dataset(samples: DataFrame, splits: DataFrame, stats: DataFrame, path:
     samples.write.partitionBy("split", "game_id").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(f"{path}/samples")
     splits.write.mode("overwrite").parquet(f"{path}/splits")
     stats.write.mode("overwrite").parquet(f"{path}/stats")
-    written = samples.sparkSession.read.parquet(f"{path}/samples")
+    samples.sparkSession.createDataFrame([(samples.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/schema")
+    written = read_dataset(samples.sparkSession, path)
     manifest = written.groupBy("split", "game_id").agg(F.count("*").alias("samples")).withColumn("version", F.lit(2))
     manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
 
 def read_dataset(spark: SparkSession, path: str, split: str | None = None, skip_corrupt: bool = False) -> DataFrame:
-    """Samples of a dataset; a split prunes folders."""
-    rows = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(f"{path}/samples")
+    """Samples of a dataset, which may be empty; a split prunes folders."""
+    schema = StructType.fromJson(json.loads(spark.read.text(f"{path}/schema").first()["value"]))
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(f"{path}/samples")
     return rows if split is None else rows.where(F.col("split") == split)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(f"{path}/manifest")
+    return spark.read.schema("split string, game_id string, samples bigint, version int").json(f"{path}/manifest")
 
 
 def sample_files(spark: SparkSession, path: str, limit: int = 3) -> tuple[int, list[str]]:
     """How many samples there are, and the first files."""
     n = read_manifest(spark, path).agg(F.coalesce(F.sum("samples"), F.lit(0)).alias("n")).first()["n"]
-    return n, sorted(spark.read.parquet(f"{path}/samples").inputFiles())[:limit]
+    return n, sorted(read_dataset(spark, path).inputFiles())[:limit]
 
 
 def reviews_from_json(spark: SparkSession, path: str) -> DataFrame:
