@@ -6,9 +6,7 @@ from hypothesis import strategies as st
 
 from trackloom.llm import chat, queries
 
-TEXT = st.text(st.sampled_from(["<s>", "</s>", "[INST]", "[/INST]", "[SEP]", "\\", "<", "[", "a", "/", "é", "\n"]).flatmap(st.just).map(lambda x: x[0]), max_size=4) | st.lists(
-    st.sampled_from(["<s>", "</s>", "[INST]", "[/INST]", "[GEN]", "[ROLE]", "[SEP]", "[/ROLE]", "\\", "<", "[", "a", "/", "é"]), max_size=8
-).map("".join)
+TEXT = st.lists(st.sampled_from([*chat.CONTROL, "\\", "<", "[", "a", "/", "é", "\n"]), max_size=8).map("".join)
 
 
 @settings(max_examples=200, deadline=None)
