@@ -93,3 +93,4 @@ def test_redaction_and_odd_rows(odd):
     assert not re.search(r"@|555-2652|10\.20|4111", text) and "<email>" in text
     assert pii.report(odd.limit(0), pii.train_on(odd.limit(0))).count() == 0
     assert pii.base_spans("1" * 50_000) == []
+    assert pii.base_spans("0" * 9000 + ".1.2.3") == [(0, 9006, "ip")]

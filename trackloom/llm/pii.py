@@ -57,7 +57,7 @@ def base_spans(text: str) -> list[Span]:
         at = text.find("@", max(at + 1, free))
     if DIGIT.search(text):
         for m in IP.finditer(text):
-            if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+            if all(len(x) <= 3 and int(x or 0) <= 255 for x in (p.lstrip("0") for p in m[0].split("."))):
                 out.append((*m.span(), "ip"))
         for m in CARD.finditer(text):
             d = m[0].replace(" ", "").replace("-", "")
