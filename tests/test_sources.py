@@ -73,6 +73,14 @@ def test_logs_to_samples(spark, folder):
     assert all(len(r["input"]) == cfg.sample_features for r in samples)
 
 
+def test_live_samples_and_listing(spark, folder):
+    (folder / "bad.log").write_bytes(b"no")
+    cfg = Config(target_name="Us", team_size=2, min_sequence_frames=5, window=replace(Config().window, length=4))
+    found, errors = pipelines.live_samples(spark, [str(folder)], cfg)
+    assert {r["split"] for r in found.select("split").distinct().collect()} == {"train"} and errors.count() == 1
+    assert [r["game_id"] for r in logs.list_games(spark, str(folder)).collect()] == ["2024_game_log", "bad_log"]
+
+
 def test_bad_logs(spark, folder):
     (folder / "bad.log").write_bytes(b"not a log at all")
     with pytest.raises(Exception, match="not a log file"):

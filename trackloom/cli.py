@@ -8,11 +8,8 @@ from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from .config import Config
-from .operators import audit
-from .operators.ingest import frames_from_tracker, game_id_from_path, source_filter
 from .plans import pipelines
 from .shipping import ship
 from .sources import datasets, logs
@@ -67,14 +64,12 @@ def main(argv: Sequence[str] | None = None) -> int:
         for r in log.where("kind = 'error'").select("path", "error").toLocalIterator():
             print(f"skipped {r['path']}: {r['error']}")
     packets = logs.packets(log)
-    frames, games = pipelines.frames_from_logs(packets, logs.referee_messages(log), cfg)
     if a.command == "audit":
-        raw = source_filter(frames_from_tracker(packets), cfg.tracker_source)
-        messages = log.groupBy(game_id_from_path(F.col("path")).alias("game_id")).agg(F.count("*").alias("total_messages"))
-        rows = audit.with_notes(audit.message_audit(raw).join(audit.frame_audit(frames), "game_id").join(messages, "game_id"))
+        rows = pipelines.audits(log, cfg)
         for line in rows.toJSON().toLocalIterator():
             print(line)
         return 0
+    frames, games = pipelines.frames_from_logs(packets, logs.referee_messages(log), cfg)
     if packets.isEmpty():
         raise SystemExit("no tracker frames")
     reviews = datasets.reviews_from_json(spark, a.reviews) if getattr(a, "reviews", None) else None

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..operators import augment, clean, frames as fr, resample, samples, sequences, splits
+from ..operators import audit, augment, clean, frames as fr, resample, samples, sequences, splits
 from ..operators.dynamics import estimate_dynamics
-from ..operators.ingest import drop_consecutive_duplicates, frames_from_tracker, last_referee, order_frames, resolve_target_color, source_filter
+from ..operators.ingest import drop_consecutive_duplicates, frames_from_tracker, game_id_from_path, last_referee, order_frames, resolve_target_color, source_filter
 from ..operators.tracking import track
+from ..sources import logs
 
 
 @dataclass
@@ -68,3 +69,20 @@ def build(frames: DataFrame, games: DataFrame, cfg: Config, reviews: DataFrame |
     made = augment.augment(splits.with_split(made, split, cfg), cfg)
     stats = splits.pooled_stats(made.where("split = 'train'"), splits.magnitudes_of_inputs(F.col("input")))
     return Output(ready, found, made, split, stats)
+
+
+def live_samples(spark: SparkSession, paths: list[str], cfg: Config) -> tuple[DataFrame, DataFrame]:
+    """Samples straight from logs, all for training, in the archive's schema; and the logs that can't be read, with why."""
+    log = logs.read_logs(spark, *paths, mode="permissive")
+    frames, games = frames_from_logs(logs.packets(log), logs.referee_messages(log), cfg)
+    samples_of = build(frames, games, cfg).samples.withColumn("split", F.lit("train"))
+    return samples_of, log.where("kind = 'error'").select("path", "error")
+
+
+def audits(log: DataFrame, cfg: Config) -> DataFrame:
+    """One audit row with notes for each game of decoded logs."""
+    packets = logs.packets(log)
+    frames, _ = frames_from_logs(packets, logs.referee_messages(log), cfg)
+    raw = source_filter(frames_from_tracker(packets), cfg.tracker_source)
+    messages = log.groupBy(game_id_from_path(F.col("path")).alias("game_id")).agg(F.count("*").alias("total_messages"))
+    return audit.with_notes(audit.message_audit(raw).join(audit.frame_audit(frames), "game_id").join(messages, "game_id"))

@@ -155,6 +155,14 @@ def read_logs(spark: SparkSession, *paths: str, mode: str = "failfast") -> DataF
     return logs.select("path", "content").mapInArrow(work, schema)
 
 
+def list_games(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, game_id, length`` of a folder's own logs, by path; contents are not read."""
+    from ..operators.ingest import game_id_from_path
+
+    files = spark.read.format("binaryFile").load(folder).where(F.col("path").rlike(r"\.log(\.gz)?$"))
+    return files.select("path", game_id_from_path(F.col("path")).alias("game_id"), "length").orderBy("path")
+
+
 def packets(log: DataFrame) -> DataFrame:
     """Tracker packets as ``ingest.frames_from_tracker`` takes them."""
     from ..operators.ingest import game_id_from_path
