@@ -112,3 +112,27 @@ def test_near_duplicates_of_odd_rows(odd):
     kept = [r["doc_id"] for r in neardup.drop_near_duplicates(odd).collect()]
     assert kept.count(None) == 2 and 1 in kept and 2 not in kept and 3 in kept and 4 not in kept and 13 not in kept
     assert neardup.drop_near_duplicates(odd.limit(0)).count() == 0
+
+
+def test_buckets_pair_a_group_with_its_centre_in_linear_numbers():
+    r = np.random.default_rng(4)
+    centre = r.integers(0, 2, 512, dtype=np.uint8)
+    rows = {0: centre}
+    for k in range(1, 1500):
+        row = centre.copy()
+        row[r.choice(512, 36, replace=False)] ^= 1
+        rows[k] = row
+    for k in range(1500, 1600):
+        rows[k] = r.integers(0, 2, 512, dtype=np.uint8)
+    order = r.permutation(len(rows))
+    bucket, pairs = neardup.Bucket(), []
+    for at in range(0, len(order), neardup.BLOCK):
+        for k in order[at : at + neardup.BLOCK]:
+            bucket.ids.append(int(k))
+            bucket.fps.append(np.packbits(rows[int(k)], bitorder="little").tobytes())
+        pairs += list(bucket.flush(at + neardup.BLOCK >= len(order)))
+    group = {k for p in pairs for k in p}
+    assert group == set(range(1500)) and len(pairs) < 2 * 1500
+    small = neardup.Bucket()
+    small.ids, small.fps = [1, 2, 3], [np.packbits(rows[k], bitorder="little").tobytes() for k in (1, 2, 1555)]
+    assert [tuple(map(int, p)) for p in small.flush(True)] in ([], [(2, 1)])
