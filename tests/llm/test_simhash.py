@@ -136,3 +136,19 @@ def test_buckets_pair_a_group_with_its_centre_in_linear_numbers():
     small = neardup.Bucket()
     small.ids, small.fps = [1, 2, 3], [np.packbits(rows[k], bitorder="little").tobytes() for k in (1, 2, 1555)]
     assert [tuple(map(int, p)) for p in small.flush(True)] in ([], [(2, 1)])
+
+
+def test_near_duplicates_with_a_passage_added_cut_or_replaced(spark):
+    r = random.Random(11)
+    words = ["".join(r.choices("abcdefghij", k=6)) for _ in range(5000)]
+    more = lambda n: r.choices(words, k=n)
+    edits = [lambda w: w + more(40), lambda w: w[:-40], lambda w: w[:90] + more(10) + w[100:], lambda w: more(40) + w]
+    rows, n = [], 30
+    for k, edit in enumerate(edits):
+        for i in range(n):
+            w = more(200)
+            rows += [(2 * (k * n + i), " ".join(w)), (2 * (k * n + i) + 1, " ".join(edit(w)))]
+    sets = [neardup.shingles_of(neardup.words_of(t), 5) for _, t in rows]
+    near = [a for a in range(0, len(rows), 2) if neardup.jaccard(sets[a], sets[a + 1]) >= 0.8]
+    kept = {x["doc_id"] for x in neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(near) > 3 * n - 10 and kept == set(range(len(rows))) - {a + 1 for a in near}

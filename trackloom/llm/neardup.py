@@ -1,12 +1,13 @@
-"""Near-duplicate groups at a stated similarity of word shingles, with SimHash for candidates.
-
-Two fingerprints of a single text can't promise a Jaccard similarity, so each document gets
-``PARTS`` independent 64-bit SimHashes of its distinct words.  A scattered edit changes five
-shingles of five words but one word, which keeps these fingerprints close.  Each part is looked
-up by covering masks (see ``simhash``): documents that differ in at most ``RADIUS`` bits of any
-part meet for certain, all others by chance.  Documents that meet and differ in at most
-``FAR_BITS`` of all bits are compared by their whole sets of shingles, and linked if the exact
-similarity is high enough.  Groups are the components of these links.
+"""Near-duplicate groups at a stated similarity of word shingles, with MinHash for candidates.
+
+Each document gets ``TABLES * ROWS`` MinHash values of its distinct shingles.  Two documents
+agree in one of them with a probability that is their Jaccard similarity, whatever the edits
+between them were: scattered words, or a passage added, cut or replaced.  Documents that agree
+in all ``ROWS`` values of some table meet; at 0.8 a pair meets nowhere with a probability of
+``(1 - 0.8 ** ROWS) ** TABLES``, 3e-6.  A sketch keeps eight bits of each of 64 values.
+Documents that meet and differ in at most ``FAR_BITS`` of its 512 bits (at 0.8 more differ with
+a probability of 6e-7, and 51 on average) are compared by their whole sets of shingles, and
+linked if the exact similarity is high enough.  Groups are the components of these links.
 """
 
 from __future__ import annotations
@@ -21,34 +22,20 @@ from pyspark.sql import functions as F
 
 from .common import materialize, partitions
 from .components import connected_components
-from .simhash import BITS, _signed, covering_masks
 
 PARTS = 8
-RADIUS = 2
-FAR_BITS = 64
+TABLES, ROWS = 24, 4
+FAR_BITS = 128
 BLOCK = 512
 SMALL = 6
-_ODD = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(PARTS)], np.uint64)
+_ODD = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(TABLES * ROWS)], np.uint64)
+_MINS = (_ODD >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "surrogatepass").split()
 
 
-def parts_of(words: list[bytes]) -> bytes:
-    """``PARTS`` little-endian SimHashes of the distinct words."""
-    distinct = set(words)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
-    counts = np.zeros(PARTS * BITS, np.int64)
-    for at in range(0, len(h), 255):
-        x = h[at : at + 255, None] * _ODD
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0xD6E8FEB86659FD93)
-        x ^= x >> np.uint64(32)
-        counts += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
-    return np.packbits(counts * 2 > len(h), bitorder="little").tobytes()
-
-
 def shingles_of(words: list[bytes], size: int) -> np.ndarray:
     """Sorted distinct 32-bit hashes of the shingles; a shorter text has one, an empty one none."""
     if not words:
@@ -58,6 +45,33 @@ def shingles_of(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh32_intdigest, joined), np.uint32, n))
 
 
+def minima_of(shingles: np.ndarray) -> np.ndarray:
+    """The MinHash values of a set of shingles; the greatest value where it is empty."""
+    least = np.full(len(_MINS), 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(shingles), 2048):
+        x = shingles[at : at + 2048] * _MINS[:, None]
+        x ^= x >> np.uint32(15)
+        x *= np.uint32(0x85EBCA6B)
+        np.minimum(least, x.min(axis=1), out=least)
+    return least
+
+
+def sketches_of(minima: np.ndarray) -> np.ndarray:
+    """Eight bits of each of the first ``8 * PARTS`` values, as ``PARTS`` words to a row."""
+    x = minima[:, : 8 * PARTS] * np.uint32(0x9E3779B1)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0xC2B2AE35)
+    return (x >> np.uint32(24)).astype(np.uint8).view("<u8")
+
+
+def keys_of(minima: np.ndarray) -> np.ndarray:
+    """One bucket for each row and table."""
+    x = (minima.astype(np.uint64) + np.uint64(1)) * _ODD
+    x ^= x >> np.uint64(32)
+    x = x.reshape(len(x), TABLES, ROWS).sum(axis=2, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     if not len(a) and not len(b):
         return 1.0
@@ -115,7 +129,7 @@ class Bucket:
 
 def _candidates(crowded: DataFrame) -> DataFrame:
     """``a, b``: close pairs of documents that share a bucket.  A bucket is streamed in blocks of ``BLOCK``."""
-    ordered = crowded.repartition(partitions(crowded.sparkSession), "t", "key").sortWithinPartitions("t", "key", "id")
+    ordered = crowded.repartition(partitions(crowded.sparkSession), "key").sortWithinPartitions("key", "id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -131,10 +145,10 @@ def _candidates(crowded: DataFrame) -> DataFrame:
                 seen.update((int(min(p)), int(max(p))) for p in bucket.flush(last))
 
         for batch in batches:
-            for t, k, doc, fp in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                if (t, k) != key:
+            for k, doc, fp in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                if k != key:
                     take(True)
-                    key, bucket = (t, k), Bucket()
+                    key, bucket = k, Bucket()
                 elif len(bucket.ids) == BLOCK:
                     take(False)
                 bucket.ids.append(doc)
@@ -145,39 +159,38 @@ def _candidates(crowded: DataFrame) -> DataFrame:
         if seen:
             yield emit()
 
-    return ordered.select("t", "key", "id", "fps").mapInArrow(work, "a long, b long").distinct()
+    return ordered.select("key", "id", "fps").mapInArrow(work, "a long, b long").distinct()
 
 
 def similar_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """The rows as ``doc_id, node, id`` and the verified links ``a, b`` between ``id``.
 
     Rows whose folded words are the same sequence are one node, named by its smallest id.
-    Rows with a null id take no part.
+    Rows with a null id take no part.  Candidates are made for a similarity of 0.8 or more; below
+    that some are missed.
     """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = [words_of(t.as_py()) for t in b.column(1)]
-            node = [xxhash.xxh3_128_digest(b" ".join(w)) for w in words]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.binary()), pa.array([parts_of(w) for w in words], pa.binary())], names=["doc_id", "node", "fps"])
+            node, least = [], np.zeros((b.num_rows, len(_MINS)), np.uint32)
+            for k, t in enumerate(b.column(1)):
+                words = words_of(t.as_py())
+                node.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                least[k] = minima_of(shingles_of(words, size))
+            found = [pa.array([row.tobytes() for row in x], pa.binary()) for x in (sketches_of(least), keys_of(least))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.binary()), *found], names=["doc_id", "node", "fps", "keys"])
 
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("doc_id").isNotNull())
-    rows = materialize(src.mapInArrow(sketch, "doc_id long, node binary, fps binary"), "sketch")
-    nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("fps").alias("fps")), "nodes")
+    rows = materialize(src.mapInArrow(sketch, "doc_id long, node binary, fps binary, keys binary"), "sketch")
+    nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("fps").alias("fps"), F.first("keys").alias("keys")), "nodes")
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks = np.array(covering_masks(RADIUS), np.uint64)
-        tables = np.arange(PARTS * len(masks), dtype=np.int32)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                b = whole.slice(at, 4096)
-                fps = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u8").reshape(-1, PARTS)
-                key = (fps[:, :, None] & masks).reshape(len(fps), -1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.tile(tables, len(fps))), pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), len(tables)))], names=["t", "key", "id"]
-                )
-
-    keyed = nodes.select("id", "fps").mapInArrow(keys, "t int, key long, id long")
-    bucket = Window.partitionBy("t", "key").orderBy("id")
+        for b in batches:
+            key = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(b.column(0).to_numpy(), TABLES))], names=["key", "id"])
+
+    keyed = nodes.select("id", "keys").mapInArrow(keys, "key long, id long")
+    bucket = Window.partitionBy("key").orderBy("id")
     mate = F.coalesce(F.lag("id").over(bucket), F.lead("id").over(bucket))
     crowded = keyed.withColumn("mate", mate).where("mate is not null").drop("mate").join(nodes.select("id", "fps"), "id")
     pairs = materialize(_candidates(crowded), "candidates")
