@@ -152,3 +152,21 @@ def test_near_duplicates_with_a_passage_added_cut_or_replaced(spark):
     near = [a for a in range(0, len(rows), 2) if neardup.jaccard(sets[a], sets[a + 1]) >= 0.8]
     kept = {x["doc_id"] for x in neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(near) > 3 * n - 10 and kept == set(range(len(rows))) - {a + 1 for a in near}
+
+
+def test_near_copies_within_a_family_that_shares_a_body(spark):
+    """Twins of pages whose other pages, the central one too, are less than 0.8 alike."""
+    r = random.Random(12)
+    words = ["".join(r.choices("abcdefghij", k=6)) for _ in range(20000)]
+    body, rows = r.choices(words, k=260), []
+    for i in range(150):
+        page = body + r.choices(words, k=50)
+        twin = list(page)
+        for at in r.sample(range(310), 5):
+            twin[at] = r.choice(words)
+        rows += [(2 * i, " ".join(page)), (2 * i + 1, " ".join(twin))]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    links = [(a, b) for a in range(300) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = {n for n, root in plain_components(links, range(300)).items() if n == root}
+    kept = {x["doc_id"] for x in neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert 100 < len(want) < 200 and kept == want

@@ -8,6 +8,11 @@ in all ``ROWS`` values of some table meet; at 0.8 a pair meets nowhere with a pr
 Documents that meet and differ in at most ``FAR_BITS`` of its 512 bits (at 0.8 more differ with
 a probability of 6e-7, and 51 on average) are compared by their whole sets of shingles, and
 linked if the exact similarity is high enough.  Groups are the components of these links.
+
+Of a large bucket, each document is first compared with a central one.  Where that leaves more
+than one component in the bucket, the documents outside its largest one are compared with all
+of other components, in the bucket's task, where each set of shingles is held once.  So every
+pair that meets, within ``FAR_BITS``, is compared or joined by other links.
 """
 
 from __future__ import annotations
@@ -127,6 +132,50 @@ class Bucket:
             ids, x = ids[~near], x[~near]
 
 
+class Rest:
+    """One bucket whose documents are in components ``roots``: finds the links between components.
+
+    Each document outside the largest component is compared with all of other components that
+    are near enough.
+    """
+
+    def __init__(self, similarity: float) -> None:
+        self.similarity = similarity
+        self.ids: list[int] = []
+        self.fps: list[bytes] = []
+        self.roots: list[int] = []
+        self.sets: list[np.ndarray] = []
+
+    def links(self) -> Iterator[tuple[int, int]]:
+        ids, root, size = np.array(self.ids, np.int64), np.array(self.roots, np.int64), np.array([len(s) for s in self.sets])
+        x = np.frombuffer(b"".join(self.fps), "<u8").reshape(-1, PARTS)
+        names, counts = np.unique(root, return_counts=True)
+        values, flat = np.unique(np.concatenate(self.sets), return_inverse=True)
+        starts = np.cumsum(size) - size
+        held = np.zeros(len(values), np.uint8)
+        for i in np.flatnonzero((root != names[counts.argmax()]) & (size > 0)):
+            near = (root != root[i]) & (np.minimum(size, size[i]) >= self.similarity * np.maximum(size, size[i]))
+            others = np.flatnonzero(near)
+            others = others[_far(x[others], x[i]) <= FAR_BITS]
+            if not len(others):
+                continue
+            mine = flat[starts[i] : starts[i] + size[i]]
+            held[mine] = 1
+            if len(others) * 8 < len(ids) or not size.all():
+                both = np.array([held[flat[starts[k] : starts[k] + size[k]]].sum(dtype=np.int64) for k in others])
+            else:
+                both = np.add.reduceat(held[flat], starts, dtype=np.int64)[others]
+            held[mine] = 0
+            alike = both / (size[others] + size[i] - both) >= self.similarity
+            yield from ((ids[i], ids[k]) for k in others[alike])
+
+
+def _batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
+    rows = list(pairs)
+    pairs.clear()
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
 def _candidates(crowded: DataFrame) -> DataFrame:
     """``a, b``: close pairs of documents that share a bucket.  A bucket is streamed in blocks of ``BLOCK``."""
     ordered = crowded.repartition(partitions(crowded.sparkSession), "key").sortWithinPartitions("key", "id")
@@ -135,11 +184,6 @@ def _candidates(crowded: DataFrame) -> DataFrame:
         seen: set[tuple[int, int]] = set()
         key, bucket = None, Bucket()
 
-        def emit() -> pa.RecordBatch:
-            rows = list(seen)
-            seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
         def take(last: bool) -> None:
             if bucket.ids:
                 seen.update((int(min(p)), int(max(p))) for p in bucket.flush(last))
@@ -154,14 +198,48 @@ def _candidates(crowded: DataFrame) -> DataFrame:
                 bucket.ids.append(doc)
                 bucket.fps.append(fp)
             if len(seen) > 50_000:
-                yield emit()
+                yield _batch(seen)
         take(True)
         if seen:
-            yield emit()
+            yield _batch(seen)
 
     return ordered.select("key", "id", "fps").mapInArrow(work, "a long, b long").distinct()
 
 
+def _missing_links(large: DataFrame, links: DataFrame, have: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: links in buckets of ``large`` between documents that ``links`` leave in different components."""
+    roots = connected_components(links, "a", "b").withColumnRenamed("node", "id")
+    named = large.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = named.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low != _high").select("key")
+    full = named.join(mixed, "key", "left_semi").join(have, "id").select("key", "id", "fps", "root", "shingles")
+    ordered = full.repartition(partitions(large.sparkSession), "key").sortWithinPartitions("key", "id")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        key, rest = None, Rest(similarity)
+
+        def take() -> Iterator[pa.RecordBatch]:
+            for i, k in rest.links() if rest.ids else ():
+                seen.add((int(min(i, k)), int(max(i, k))))
+                if len(seen) > 50_000:
+                    yield _batch(seen)
+
+        for batch in batches:
+            for k, doc, fp, root, found in zip(*(batch.column(c).to_pylist() for c in range(5))):
+                if k != key:
+                    yield from take()
+                    key, rest = k, Rest(similarity)
+                rest.ids.append(doc)
+                rest.fps.append(fp)
+                rest.roots.append(root)
+                rest.sets.append(np.frombuffer(found, np.uint32))
+        yield from take()
+        if seen:
+            yield _batch(seen)
+
+    return ordered.mapInArrow(work, "a long, b long").distinct()
+
+
 def similar_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """The rows as ``doc_id, node, id`` and the verified links ``a, b`` between ``id``.
 
@@ -182,7 +260,7 @@ def similar_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("doc_id").isNotNull())
     rows = materialize(src.mapInArrow(sketch, "doc_id long, node binary, fps binary, keys binary"), "sketch")
-    nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("fps").alias("fps"), F.first("keys").alias("keys")), "nodes")
+    nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("fps", "keys")]), "nodes")
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -192,10 +270,10 @@ def similar_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = nodes.select("id", "keys").mapInArrow(keys, "key long, id long")
     bucket = Window.partitionBy("key").orderBy("id")
     mate = F.coalesce(F.lag("id").over(bucket), F.lead("id").over(bucket))
-    crowded = keyed.withColumn("mate", mate).where("mate is not null").drop("mate").join(nodes.select("id", "fps"), "id")
-    pairs = materialize(_candidates(crowded), "candidates")
-
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    place = F.row_number().over(bucket)
+    shared = keyed.withColumns({"mate": mate, "place": place}).where("mate is not null").drop("mate")
+    crowded = materialize(shared.join(nodes.select("id", "fps"), "id"), "crowded")
+    wanted = crowded.select(F.col("id").alias("doc_id")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -211,8 +289,13 @@ def similar_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     left = have.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
     right = have.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    links = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(verify, "a long, b long")
-    return rows.join(nodes.select("node", "id"), "node").select("doc_id", "node", "id"), materialize(links, "links")
+
+    pairs = materialize(_candidates(crowded), "candidates")
+    found = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(verify, "a long, b long")
+    links = materialize(found, "links")
+    large = crowded.join(crowded.where(F.col("place") == SMALL + 1).select("key"), "key", "left_semi")
+    links = links.union(materialize(_missing_links(large, links, have, similarity), "more-links"))
+    return rows.join(nodes.select("node", "id"), "node").select("doc_id", "node", "id"), links
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
