@@ -94,3 +94,20 @@ def test_redaction_and_odd_rows(odd):
     assert pii.report(odd.limit(0), pii.train_on(odd.limit(0))).count() == 0
     assert pii.base_spans("1" * 50_000) == []
     assert pii.base_spans("0" * 9000 + ".1.2.3") == [(0, 9006, "ip")]
+
+
+def test_taught_spans_can_be_segments():
+    r = random.Random(6)
+    keys = ["f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda", "a" * 50 + "1" + "b" * 13, *["".join(r.choices("0123456789abcdef", k=40)) for _ in range(50)]]
+    field = pii.Field()
+    for key in [*keys, "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1"]:
+        text = f"some words before the {key} and some after it"
+        (gold,) = pii.teach(text)
+        (a, e), = pii.stretches(text)
+        toks = pii.tokens(text, a, e)
+        grid = field.lattice(text, toks, grow=True)
+        assert gold[:2] in {(toks[i][0], toks[j][1]) for j, here in enumerate(grid) for i, _ in here}
+    seen = [f"the key {k} is old" for k in keys[2:]]
+    model = pii.Field().fit([v for t in seen[:40] for v in pii.variants(t, pii.teach(t))])
+    for t in seen[40:]:
+        assert [(8, 48, "secret")] == pii.find(t, model)[1]

@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field for more.
 
 ``base_spans`` finds what the patterns define.  The field then reads the stretches around
-digits and at-signs.  It scores whole candidate segments of up to ``MAX_TOKENS`` tokens by
+digits and at-signs.  It scores whole candidate segments of up to ``MAX_CHARS`` characters by
 features of the span as such (its shape, how many digits, check digits, what stands beside
 it), and dynamic programming over segment ends picks boundaries and types together.  It is
 trained on a bounded sample of stretches, with the patterns' spans as its teacher and with
@@ -69,10 +69,11 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-MAX_TOKENS, MAX_CHARS = 14, 80
+MAX_CHARS = 80
 _TRIGGER = re.compile(r"[0-9@]+")
-_TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_")
 _SECRET = re.compile(r"(?<![A-Za-z0-9])(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{20,64}(?![A-Za-z0-9])")
+#: A long mixed key is one token, whatever its runs.
+_TOKEN = re.compile(_SECRET.pattern + r"|[0-9]+|[^\W\d_]+|[^\w\s]|_")
 
 
 def stretches(text: str) -> Iterator[tuple[int, int]]:
@@ -91,6 +92,10 @@ def stretches(text: str) -> Iterator[tuple[int, int]]:
 
 def _widen(text: str, start: int, end: int, most: int = 40) -> tuple[int, int]:
     lo, hi = max(0, start - most), min(len(text), end + most)
+    while 0 < lo and start - lo < MAX_CHARS and text[lo - 1].isalnum() and text[lo].isalnum():
+        lo -= 1
+    while hi < len(text) and hi - end < MAX_CHARS and text[hi - 1].isalnum() and text[hi].isalnum():
+        hi += 1
     left = [m.start() for m in re.finditer(r"\S+", text[lo:start])]
     a = lo + left[-3] if len(left) > 2 else lo
     m = re.match(r"\S*(?: \S+)?", text[end:hi])
@@ -145,7 +150,7 @@ class Field:
         out: list[list[tuple[int, list[int]]]] = []
         for j, (_, end) in enumerate(toks):
             here = []
-            for i in range(j, max(-1, j - MAX_TOKENS), -1):
+            for i in range(j, -1, -1):
                 start = toks[i][0]
                 if end - start > MAX_CHARS or "\n" in text[start:end]:
                     break
