@@ -111,3 +111,27 @@ def test_taught_spans_can_be_segments():
     model = pii.Field().fit([v for t in seen[:40] for v in pii.variants(t, pii.teach(t))])
     for t in seen[40:]:
         assert [(8, 48, "secret")] == pii.find(t, model)[1]
+
+
+def test_each_claimed_variant_is_found_in_held_out_text():
+    r = random.Random(8)
+    word = lambda: "".join(r.choices("abcdefghijklmnoprstuvw", k=r.randint(3, 8)))
+
+    def card():
+        body = "4" + "".join(r.choices("0123456789", k=14))
+        return next(body + d for d in "0123456789" if pii.luhn(body + d))
+
+    email = lambda: f"{word()}@{word()}.{r.choice(['org', 'com', 'net'])}"
+    phone = lambda: f"+1 ({r.randint(200, 999)}) 555-{r.randint(1000, 9999)}"
+    make = [email, card, phone, lambda: str(r.randint(1, 999))]
+    rows = [f"{word()} {word()} {r.choice(make)()} {word()} {word()}" for _ in range(400)]
+    model = pii.Field().fit([v for t in rows for v in pii.variants(t, pii.teach(t))])
+    for kind, value in (("email", email), ("card", card), ("phone", phone)):
+        old = [f"{word()} {word()} {value()} {word()}" for _ in range(40)]
+        made = [[v for v in pii.variants(t, pii.teach(t)) if v[1] and v[0] != t] for t in old]
+        assert {len(m) for m in made} == {3 if kind == "email" else 1}
+        for of_one_form in zip(*made):
+            assert sum(gold[0] in pii.find(t, model)[1] for t, gold in of_one_form) >= 36
+            assert all(not pii.base_spans(t) for t, _ in of_one_form)
+    plain = [f"{word()} met at {word()} and {word()} dot {word()}" for _ in range(40)]
+    assert all(pii.find(t, model)[1] == [] for t in plain)

@@ -1,11 +1,11 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field for more.
 
 ``base_spans`` finds what the patterns define.  The field then reads the stretches around
-digits and at-signs.  It scores whole candidate segments of up to ``MAX_CHARS`` characters by
+digits, at-signs, and spelt-out at-signs of addresses.  It scores whole candidate segments of up to ``MAX_CHARS`` characters by
 features of the span as such (its shape, how many digits, check digits, what stands beside
 it), and dynamic programming over segment ends picks boundaries and types together.  It is
 trained on a bounded sample of stretches, with the patterns' spans as its teacher and with
-variants (a phone without its plus, a grouped card, a bracketed at-sign) that the patterns miss.
+variants (a phone without its plus, a card grouped by dots, an address with a bracketed or spelt-out at-sign) that the patterns miss.
 Spans that it adds never touch a base span.
 """
 
@@ -70,14 +70,17 @@ def base_spans(text: str) -> list[Span]:
 
 
 MAX_CHARS = 80
-_TRIGGER = re.compile(r"[0-9@]+")
+_DOT = r" ?(?:\.|[\[(]dot[\])]|(?<= )dot(?= )) ?"
+#: ``[at] site [dot] org``, ``(at)site.org``, and `` at site dot org``, where one dot at least is spelt out.
+_AT = re.compile(rf" ?[\[(]at[\])] ?[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+| at [A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*? dot [A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*")
+_TRIGGER = re.compile(rf"[0-9@]+|{_AT.pattern}")
 _SECRET = re.compile(r"(?<![A-Za-z0-9])(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{20,64}(?![A-Za-z0-9])")
 #: A long mixed key is one token, whatever its runs.
 _TOKEN = re.compile(_SECRET.pattern + r"|[0-9]+|[^\W\d_]+|[^\w\s]|_")
 
 
 def stretches(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches of whole words around digits and at-signs, two words to the left and one to the right."""
+    """Stretches of whole words around digits, at-signs and spelt-out ones, two words to the left and one to the right."""
     last = None
     for m in _TRIGGER.finditer(text):
         if last is not None and m.start() - last[1] <= 24 and "\n" not in text[last[1] : m.start()]:
@@ -119,7 +122,9 @@ def features(text: str, start: int, end: int) -> list[str]:
     ]
     if 12 <= n <= 19 and luhn(digits):
         out.append("luhn")
-    if "@" in s or "[at]" in s or "(at)" in s:
+    if _AT.search(s):
+        out.append("at-spelt")
+    elif "@" in s or "[at]" in s or "(at)" in s:
         out.append("at" if "." in s[s.find("@") :] or "dot" in s else "at-only")
     if s.count(".") == 3 and len(runs) == 4 and all(int(x) <= 255 for x in re.findall(r"[0-9]{1,9}", s)):
         out.append("octets")
@@ -244,9 +249,17 @@ def variants(text: str, gold: list[Span]) -> Iterator[tuple[str, list[Span]]]:
     if len(gold) == 1:
         s, e, kind = gold[0]
         old = text[s:e]
-        new = {"phone": old.lstrip("+"), "email": old.replace("@", " [at] ").replace(".", " [dot] ")}.get(kind, old)
-        if new != old:
-            yield text[:s] + new + text[e:], [(s, s + len(new), kind)]
+        new: list[str] = []
+        if kind == "phone":
+            new = [old.lstrip("+")]
+        elif kind == "email":
+            name, site = old.split("@", 1)
+            new = [old.replace("@", " [at] ").replace(".", " [dot] "), f"{name}(at){site}", f"{name} at {site.replace('.', ' dot ')}"]
+        elif kind == "card":
+            digits = "".join(DIGIT.findall(old))
+            new = [".".join(digits[i : i + 4] for i in range(0, len(digits), 4))]
+        for other in new:
+            yield text[:s] + other + text[e:], [(s, s + len(other), kind)]
     words, k = re.findall(r"[^\W\d_]+", text) or ["a"], zlib.crc32(text.encode())
     number = lambda n: PLAIN_NUMBERS[(k >> n) % len(PLAIN_NUMBERS)]
     yield f"{words[0]} {number(0)} {words[-1]}, {words[len(words) // 2]} {number(5)} {words[0]} {words[-1]} {number(10)}", []
