@@ -11,13 +11,15 @@ phrases).  For highly repetitive text the dictionary is small, and the work is d
 * An occurrence of a phrase that the parse has earlier repeats it whole.  Triggers sorted by
   hash, phrase and place show these in one streamed pass.
 * First occurrences can still share strings with other phrases around the same trigger, at the
-  edges of repeated passages.  Phrases whose trigger has several phrases in the dictionary are
-  gathered by trigger.  A suffix array of these dictionary phrases, truncated at ``length``
-  bytes, brings equal strings together; the order of the parse tells which came first.
-
-The text itself moves once.  Copies within one batch are resolved before they are shuffled, so
-a passage that a third of the documents hold sends one row for each batch.  Triggers and
-phrases are told apart by 64-bit hashes each, compared only together.
+  edges of repeated passages.  The starts of phrases whose trigger has several phrases in the
+  dictionary are sorted by their strings, as in a suffix array truncated at ``length`` bytes,
+  with corpus order (the parse) among equal ones; see ``refined``.
+
+A string never reaches beyond its phrase, so the parse's own suffix array is needed to a depth
+of one phrase only: occurrences sorted by phrase and by place.  Copies within one batch are
+resolved before they are shuffled, so a passage that a third of the documents hold sends one
+row for each batch.  Phrases are told apart by a rolling hash of the trigger and an xxHash of
+their bytes, 64 bits each; keys of strings have 128 bits.
 """
 
 from __future__ import annotations
@@ -29,14 +31,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, partitions
 
 GRAM = 32
 BATCH_BYTES = 2_000_000
-SORTED_TOGETHER = 256
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 
@@ -90,7 +91,9 @@ def triggers(pieces: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     cut = np.flatnonzero((np.diff(low[p]) != 0) | (np.diff(owner[p]) != 0)) + 1
     first, last = p[np.concatenate([[0], cut])], p[np.concatenate([cut - 1, [len(p) - 1]])]
     at = low[first]
-    phrase = span(first, last + length) ^ (at - first).astype(_U) * _U(0xD6E8FEB86659FD93)
+    digest = xxhash.xxh3_64_intdigest
+    phrase = np.fromiter((digest(data[a:b]) for a, b in zip(first.tolist(), (last + length).tolist())), _U, len(first))
+    phrase ^= (at - first).astype(_U) * _U(0xD6E8FEB86659FD93)
     return span(at, at + GRAM), phrase, owner[first], first - starts[owner[first]], last - first + 1, at - first
 
 
@@ -146,12 +149,12 @@ def parse(docs: DataFrame, length: int, batch_bytes: int = BATCH_BYTES) -> DataF
 
 
 def repeats(occurrences: DataFrame) -> DataFrame:
-    """``trigger, doc, place, edge``: repeated occurrences, and first ones of phrases that share their trigger (``edge``)."""
+    """``doc, place, edge``: repeated occurrences, and first ones of phrases that share their trigger (``edge``)."""
     n = partitions(occurrences.sparkSession)
     ordered = occurrences.repartition(n, F.coalesce("trigger", F.xxhash64("doc", "place"))).sortWithinPartitions("trigger", "phrase", "doc", "place")
 
-    def emit(trigger, doc, place, edge) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (trigger, doc, place, edge)], names=["trigger", "doc", "place", "edge"])
+    def emit(doc, place, edge) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, place, edge)], names=["doc", "place", "edge"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((4, 0), np.int64)  # the newest first occurrence: trigger, phrase, doc, place
@@ -161,7 +164,7 @@ def repeats(occurrences: DataFrame) -> DataFrame:
             doc, place = b.column(2).to_numpy(), b.column(3).to_numpy()
             if done.any():
                 k = int(done.sum())
-                yield emit(np.zeros(k, np.int64), doc[done], place[done], np.zeros(k, bool))
+                yield emit(doc[done], place[done], np.zeros(k, bool))
             rows = np.stack([b.column(0).fill_null(0).to_numpy()[~done], b.column(1).to_numpy()[~done], doc[~done], place[~done]])
             if not rows.shape[1]:
                 continue
@@ -170,7 +173,7 @@ def repeats(occurrences: DataFrame) -> DataFrame:
             new = np.ones(rows.shape[1], bool)
             new[1:] = (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1])
             again = ~new
-            yield emit(rows[0, again], rows[2, again], rows[3, again], np.zeros(int(again.sum()), bool))
+            yield emit(rows[2, again], rows[3, again], np.zeros(int(again.sum()), bool))
             firsts = rows[:, new]
             same = firsts[0, 1:] == firsts[0, :-1]
             edge = np.zeros(firsts.shape[1], bool)
@@ -181,114 +184,94 @@ def repeats(occurrences: DataFrame) -> DataFrame:
             shared, held = bool(edge[-1]), firsts[:, -1:]
             edge[-1] = False  # it is told when what follows is known
             if edge.any():
-                yield emit(firsts[0, edge], firsts[2, edge], firsts[3, edge], np.ones(int(edge.sum()), bool))
+                yield emit(firsts[2, edge], firsts[3, edge], np.ones(int(edge.sum()), bool))
         if shared:
-            yield emit(held[0], held[2], held[3], np.ones(1, bool))
-
-    return ordered.mapInArrow(work, "trigger long, doc long, place long, edge boolean")
-
+            yield emit(held[2], held[3], np.ones(1, bool))
 
-def suffix_array(phrases: list[tuple[bytes, int]], length: int) -> list[tuple[bytes, int, int]]:
-    """The first ``length`` bytes from each start in the phrases, sorted; then by phrase and start."""
-    return sorted((text[s : s + length], k, s) for k, (text, count) in enumerate(phrases) for s in range(count))
+    return ordered.mapInArrow(work, "doc long, place long, edge boolean")
 
 
-def shared_starts(phrases: list[tuple[bytes, int]], length: int) -> list[tuple[int, int]]:
-    """``(phrase, start)`` of the strings that an earlier phrase of the list, or start of the same, has too."""
-    order = suffix_array(phrases, length)
-    return [(k, s) for (a, _, _), (b, k, s) in zip(order, order[1:]) if a == b]
+def refined(suffixes: DataFrame, length: int) -> DataFrame:
+    """``doc, start, n``: runs of starts in the dictionary's edge phrases whose strings come earlier.
 
+    This is the dictionary's suffix array, truncated at ``length`` bytes, as far as equal
+    strings go.  A row stands for the starts of a phrase whose trigger lies at the offsets
+    ``low`` to ``high`` of their strings, clipped to what the phrase has (``a`` to ``b``).  Rows
+    with the same key ``k1, k2`` agree on the trigger, on ``low`` bytes to its left and on
+    ``length - GRAM - high`` bytes to its right, which all of these strings share; ``left`` and
+    ``right`` are the bytes beyond.  Each round sorts the rows of a key by these bytes and by
+    corpus order.  A row that equals the one before it repeats all its strings.  The first of
+    each value goes on with both halves of the offsets, as two rows whose keys take up more
+    bytes, unless its key has no other value.  At one offset the key is the whole string.
 
-def edge_starts(cut: DataFrame, length: int, together: int = SORTED_TOGETHER) -> DataFrame:
-    """``doc, start, n``: runs of starts in edge phrases whose strings come earlier.
-
-    The phrases of a trigger are few as a rule and are sorted together.  Triggers with more
-    than ``together`` phrases (``large``) are dealt out by document too: a task compares what
-    it has of one, and sends each different string on once, to be compared by hash over the
-    cluster.
+    All rounds run in one stage, on one partitioning by the first key, with spilling sorts.
+    Nothing depends on how many phrases a trigger has.
     """
-    n = partitions(cut.sparkSession)
-    share = F.when(F.col("large"), F.pmod(F.xxhash64("doc"), F.lit(n))).otherwise(F.lit(-1).cast("long"))
-    ordered = cut.withColumn("share", share).repartition(n, "trigger", "share").sortWithinPartitions("trigger", "share", "doc", "place")
-    names = ["trigger", "string", "doc", "start", "n"]
-
-    def emit(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
-
-    def runs(group: list[tuple[int, int, bytes]]) -> Iterator[tuple]:
-        dup: dict[int, list[int]] = {}
-        for k, s in shared_starts([(text, _unpack(place)[1]) for _, place, text in group], length):
-            dup.setdefault(k, []).append(s)
-        for k, starts in dup.items():
-            doc, place, _ = group[k]
-            starts.sort()
-            begin = last = starts[0]
-            for s in [*starts[1:], -1]:
-                if s != last + 1:
-                    yield None, None, doc, _unpack(place)[0] + begin, last - begin + 1
-                    begin = s
-                last = s
-
-    def strings(trigger: int, row: tuple[int, int, bytes], seen: set[int]) -> Iterator[tuple]:
-        doc, place, text = row
-        start, count, _ = _unpack(place)
-        for s in range(count):
-            h = xxhash.xxh3_64_intdigest(text[s : s + length])
-            if h in seen:
-                yield None, None, doc, start + s, 1
-            else:
-                if len(seen) < 200_000:
-                    seen.add(h)
-                yield trigger, h - (1 << 63), doc, start + s, 1
+    rows, size = suffixes.withColumn("done", F.lit(False)), (length - GRAM) // 2 + 1
+    while size > 1:
+        rows, size = _halved(_compared(rows)), (size + 1) // 2
+    return _compared(rows).where("done").select("doc", (F.col("at") - F.col("b")).alias("start"), (F.col("b") - F.col("a") + 1).cast("long").alias("n"))
+
+
+def _compared(rows: DataFrame) -> DataFrame:
+    """Mark rows that repeat an earlier one; drop rows whose key has no other value."""
+    order = Window.partitionBy("root", "k1", "k2", "done").orderBy("a", "b", "left", "right", "doc", "at")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    value = F.struct("a", "b", "left", "right")
+    seen = rows.withColumn("_v", value).withColumns({"_before": F.lag("_v").over(order), "_least": F.first("_v").over(whole), "_most": F.last("_v").over(whole)})
+    again = F.col("done") | F.coalesce(F.col("_before") == F.col("_v"), F.lit(False))
+    return seen.withColumn("done", again).where(F.col("done") | (F.col("_least") != F.col("_most"))).drop("_v", "_before", "_least", "_most")
+
+
+def _halved(rows: DataFrame) -> DataFrame:
+    """Each row that isn't done as the lower and the upper half of its offsets, where it has any there."""
+    low, high, a, b, left, right = (F.col(n) for n in ("low", "high", "a", "b", "left", "right"))
+    middle = F.floor((low + high) / 2).cast("int")
+    first = lambda text, n: F.substring(text, F.lit(1), n)
+    rest = lambda text, n: F.substring(text, n + 1, F.length(text))
+    last = lambda text, n: F.substring(text, F.length(text) - n + 1, n)
+    keyed = lambda side, text: [F.xxhash64(k, F.lit(side), text).alias(k) for k in ("k1", "k2")]
+    down, up = F.least(b, middle), F.greatest(a, middle + 1)
+    lower = F.struct(
+        *keyed("right", first(right, high - middle)), low, middle.alias("high"), a, down.alias("b"),
+        last(left, down - low).alias("left"), rest(right, high - middle).alias("right"),
+    )
+    upper = F.struct(
+        *keyed("left", last(left, middle + 1 - low)), (middle + 1).alias("low"), high, up.alias("a"), b,
+        first(left, b - middle - 1).alias("left"), first(right, high - up).alias("right"),
+    )
+    whole = F.struct("k1", "k2", "low", "high", "a", "b", "left", "right")
+    parts = F.when(F.col("done"), F.array(whole)).otherwise(F.array(F.when(a <= middle, lower), F.when(b > middle, upper)))
+    kept = ("root", "doc", "at", "done")
+    return rows.select(*kept, F.explode(parts).alias("_p")).where("_p is not null").select(*kept, "_p.*")
+
+
+def _suffixes(joined: DataFrame, length: int) -> DataFrame:
+    """Two rows for each edge phrase: its starts with most of the string to the right of the trigger, and to the left."""
+    last = length - GRAM
+    half = last // 2
+    fields = [("root", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), *((n, pa.int32()) for n in ("low", "high", "a", "b")), ("left", pa.binary()), ("right", pa.binary()), ("doc", pa.int64()), ("at", pa.int64())]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        key, group, seen = None, [], set()
-        for b in batches:
-            for t, doc, place, text, large, share in zip(*(c.to_pylist() for c in b.columns)):
-                if (t, share) != key:
-                    out += runs(group)
-                    key, group, seen = (t, share), [], set()
-                if large:
-                    out += strings(t, (doc, place, text), seen)
-                else:
-                    group.append((doc, place, text))
-                if len(out) > 20_000:
-                    yield emit(out)
-                    out = []
-        out += runs(group)
-        if out:
-            yield emit(out)
-
-    found = ordered.mapInArrow(work, ", ".join(f"{x} long" for x in names))
-    spread = found.repartition(n, F.coalesce("trigger", "doc"), F.coalesce("string", "start")).sortWithinPartitions("trigger", "string", "doc", "start")
-
-    def first_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for b in batches:
-            keep = []
-            for t, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                keep.append(t is None or (t, h) == last)
-                last = (t, h)
-            yield b.filter(pa.array(keep, pa.bool_())).select(["doc", "start", "n"])
-
-    return spread.mapInArrow(first_out, "doc long, start long, n long")
-
-
-def _cut_phrases(joined: DataFrame, length: int) -> DataFrame:
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for batch in batches:
             rows = []
-            for doc, text, edges in zip(b.column(0), b.column(1), b.column(2)):
-                data = (text.as_py() or "").encode("utf-8")
-                for e in edges.as_py():
-                    start, count, _ = _unpack(e["place"])
-                    rows.append((e["trigger"], doc.as_py(), e["place"], data[start : start + count - 1 + length], e["large"]))
+            for doc, text, edges in zip(batch.column(0), batch.column(1), batch.column(2)):
+                data, doc = (text.as_py() or "").encode("utf-8"), doc.as_py()
+                for place in edges.as_py():
+                    start, count, offset = _unpack(place)
+                    at = start + offset
+                    end = at + GRAM
+                    for low, high in ((0, half), (half + 1, last)):
+                        a, b = max(low, offset - count + 1), min(high, offset)
+                        if a <= b:
+                            key = xxhash.xxh3_128_digest(bytes([low]) + data[at - low : end + last - high])
+                            k1, k2 = int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True)
+                            rows.append((k1 ^ k2, k1, k2, low, high, a, b, data[at - b : at - low], data[end + last - high : end + last - a], doc, at))
             for k in range(0, len(rows), 4096):
-                cols = zip(zip(*rows[k : k + 4096]), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols], names=["trigger", "doc", "place", "text", "large"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows[k : k + 4096]), fields)], names=[n for n, _ in fields])
 
-    return joined.mapInArrow(work, "trigger long, doc long, place long, text binary, large boolean")
+    kinds = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+    return joined.mapInArrow(work, ", ".join(f"`{n}` {kinds[t]}" for n, t in fields))
 
 
 def _numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -302,18 +285,16 @@ def _numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return materialize(ranged.select(F.monotonically_increasing_id().alias("doc"), "text", "doc_id"), "numbered")
 
 
-def repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, batch_bytes: int = BATCH_BYTES, together: int = SORTED_TOGETHER) -> tuple[DataFrame, DataFrame]:
+def repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, DataFrame]:
     """The documents as ``doc, text, doc_id``, and ``doc, runs``: runs of starts whose strings come earlier."""
-    if not GRAM < length <= 255 - GRAM:
-        raise ValueError(f"length is over {GRAM} and at most {255 - GRAM}")
+    if not GRAM < length <= 127 + GRAM:
+        raise ValueError(f"length is over {GRAM} and at most {127 + GRAM}")
     docs = _numbered(df, id_col, text_col)
+    n = partitions(df.sparkSession)
     found = materialize(repeats(parse(docs.select("doc", "text"), length, batch_bytes)), "repeats")
-    edge = found.where("edge")
-    large = edge.groupBy("trigger").agg(F.count("*").alias("n")).where(F.col("n") > together).select("trigger", F.lit(True).alias("large"))
-    marked = edge.join(large, "trigger", "left").withColumn("large", F.coalesce("large", F.lit(False)))
-    edges = marked.groupBy("doc").agg(F.collect_list(F.struct("trigger", "place", "large")).alias("edges"))
-    with_edges = docs.join(edges, "doc", "left").where("edges is not null").select("doc", "text", "edges")
-    edge_runs = edge_starts(_cut_phrases(with_edges, length), length, together)
+    edges = found.where("edge").groupBy("doc").agg(F.collect_list("place").alias("edges"))
+    with_edges = docs.join(edges, "doc").select("doc", "text", "edges")
+    edge_runs = refined(_suffixes(with_edges, length).repartition(n, "root"), length)
     whole = found.where("not edge").select("doc", F.expr("shiftright(place, 16)").alias("start"), F.expr("shiftright(place, 8) & 255").alias("n"))
     runs = whole.union(edge_runs).groupBy("doc").agg(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), F.col("n").cast("long").alias("n"))).alias("runs"))
     return docs, runs
