@@ -4,6 +4,7 @@ import math
 import zlib
 from collections import Counter
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -51,6 +52,21 @@ def test_growth_moves_rows_into_the_new_shard_only(spark):
     assert all(abs(n - 2500) < 300 for n in Counter(r["a"] for r in rows).values())
 
 
+@pytest.mark.parametrize("founded", [1, 3, 6, 16])
+def test_the_law_holds_for_every_number_of_shards(founded):
+    counts = range(founded, 41)
+    placed = {n: [plain_shard(k, sharding.tree(n, founded=founded)) for k in range(600)] for n in counts}
+    for n in counts[1:]:
+        assert {b for a, b in zip(placed[n - 1], placed[n]) if a != b} <= {n - 1}
+    assert set(placed[40]) == set(range(40))
+
+
+def test_fewer_shards_than_founded_are_refused():
+    with pytest.raises(ValueError):
+        sharding.tree(15)
+    assert len(sharding.tree(15, founded=15)) == 4
+
+
 def test_a_heavier_shard_draws_rows_into_its_subtree_only(spark):
     heavy = [1.0] * 16
     heavy[5] = 3.0

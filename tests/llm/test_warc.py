@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 
 from trackloom.llm import queries, warc
@@ -24,7 +25,7 @@ def test_copies_nulls_and_awkward_payloads(spark):
     rows = [(1, "u", "same"), (5, "u", "same"), (5, "u", "same"), (3, None, None), (4, "a b\r\nX: y", ""), (7, "u", "WARC/1.1\r\n\r\n\r\n\r\nx"), (8, "u", "é\r\n\r\n"), (None, "u", "same"), (None, "u", "alone")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as record_type", "'y' as payload_digest")
     path = scratch_path(spark, "warc-test")
-    warc.write_archives(warc.resolve_revisits(df), path, records_per_file=2)
+    warc.write_archives(warc.resolve_revisits(df), path, archive_bytes=300)
     read = warc.read_archives(spark, path).collect()
     assert len(read) == len(rows)
     kinds = sorted(((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in read), key=repr)
@@ -34,6 +35,25 @@ def test_copies_nulls_and_awkward_payloads(spark):
     assert {r["record_type"] for r in least.collect()} == {"response"}
 
 
+def test_a_payload_on_a_third_of_the_pages(spark):
+    """Headers alone are dealt out by payload; archives are bounded in bytes and hold one gzip member for each record."""
+    rows = [(i, f"u{i}", "hot" * 50 if i % 3 == 0 else f"page {i // 2}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    resolved = warc.resolve_revisits(df, bits=1 << 10)
+    got = {r["page_id"]: (r["record_type"], r["refers_to"], r["html"]) for r in resolved.collect()}
+    best: dict[str, int] = {}
+    for i, _, h in rows:
+        best[h] = max(best.get(h, -1), i)
+    assert got == {i: ("response", None, h) if best[h] == i else ("revisit", best[h], None) for i, _, h in rows}
+    path = scratch_path(spark, "warc-hot")
+    warc.write_archives(resolved, path, archive_bytes=20_000)
+    files = [bytes(r["content"]) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()]
+    assert len(files) > 8 and all(len(f) < 21_000 and f.endswith(warc.EMPTY_MEMBER) for f in files)
+    assert sum(len(list(warc.members(f, step=100))) for f in files) == 3000
+    assert gzip.decompress(files[0]).startswith(b"WARC/1.1")
+    assert warc.read_archives(spark, path).where("record_type = 'response'").count() == len(best)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     path = scratch_path(spark, "warc-empty")

@@ -6,9 +6,9 @@ and the child, and the least draw wins (an exponential race, so children win in
 their weights).  A draw depends on the key, the child and its weight alone.  If a weight grows,
 rows move only into that child's subtree; siblings never exchange rows.
 
-Shards are numbered in order; ``tree`` puts ``per_rack`` of them in a rack and
-``racks_per_region`` racks in a region.  Growing past a full region opens a new one, so the
-rows that move all go to the new shard.
+Shards are numbered in order.  ``tree`` lays the shards that a cluster was founded with out in
+racks and regions.  Each shard that is added later opens a region of its own, so that every row
+that it draws goes to it: with any number of shards, one more takes rows only into itself.
 """
 
 from __future__ import annotations
@@ -22,13 +22,13 @@ from pyspark.sql import functions as F
 Tree = list[list[list[float]]]
 
 
-def tree(shards: int, per_rack: int = 2, racks_per_region: int = 2, weights: Sequence[float] | None = None) -> Tree:
-    """Weights by region, rack and shard; all 1 unless given."""
+def tree(shards: int, per_rack: int = 2, racks_per_region: int = 2, weights: Sequence[float] | None = None, founded: int = 16) -> Tree:
+    """Weights by region, rack and shard; all 1 unless given.  The first ``founded`` shards fill racks and regions."""
     w = list(weights) if weights is not None else [1.0] * shards
-    if shards < 1 or len(w) != shards or min(w) <= 0:
-        raise ValueError("one positive weight for each of at least one shard")
-    racks = [w[i : i + per_rack] for i in range(0, shards, per_rack)]
-    return [racks[i : i + racks_per_region] for i in range(0, len(racks), racks_per_region)]
+    if not 1 <= founded <= shards or len(w) != shards or min(w) <= 0:
+        raise ValueError("at least as many shards as were founded, which is one or more, and one positive weight for each")
+    racks = [w[i : min(i + per_rack, founded)] for i in range(0, founded, per_rack)]
+    return [racks[i : i + racks_per_region] for i in range(0, len(racks), racks_per_region)] + [[[x]] for x in w[founded:]]
 
 
 def _draw(key: Column, level: int, child: int, weight: float) -> Column:
@@ -77,12 +77,13 @@ def number_within(df: DataFrame, group: str, order: Sequence[str], cells: int =
     return placed.join(starts, [group, "_cell"]).withColumn("slot", F.col("_start") + F.col("_k")).drop("_cell", "_k", "_start")
 
 
-def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 16, cells: int = 256) -> DataFrame:
+def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 16, cells: int = 256, founded: int = 16) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every row of ``df``.
 
     ``size`` is the UTF-8 bytes of the text plus one; a null text has size 1 and the checksum
     of no bytes.  The shard follows from the id and the number of shards (law ``key``): rows
     with equal or null ids share a shard.  ``grown_shard`` is the shard with one shard more.
+    ``founded`` is the layout's constant: fewer shards than that are refused.
     ``slot`` numbers a shard's rows from 0; ties between repeated rows are numbered either way.
     Other columns are ignored, also those with the names of the result.
     """
@@ -92,8 +93,8 @@ def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.lit("key").alias("law"),
-        shard_of(F.col("doc_id"), tree(shards)).alias("shard"),
-        shard_of(F.col("doc_id"), tree(shards + 1)).alias("grown_shard"),
+        shard_of(F.col("doc_id"), tree(shards, founded=founded)).alias("shard"),
+        shard_of(F.col("doc_id"), tree(shards + 1, founded=founded)).alias("grown_shard"),
     )
     placed = number_within(rows, "shard", ["doc_id", "size", "text_crc32"], cells)
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
