@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -52,3 +52,34 @@ def packed(df: DataFrame, keep: list[str], **more) -> DataFrame:
 
 def unpacked(df: DataFrame, *more: str) -> DataFrame:
     return df.select("row.*", *more)
+
+
+def in_bitmap(mark: Column, bits: int) -> tuple[Column, Column]:
+    """The word of a bitmap of ``bits`` bits that holds the bit of the long ``mark``, and that bit."""
+    place = F.pmod(mark, F.lit(bits))
+    return F.shiftright(place, 6), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+
+
+def bitmap(df: DataFrame, mark: Column, what: str, bits: int = 1 << 22) -> DataFrame:
+    """``_word, _bits``: the bits of all ``mark`` of ``df``, in at most ``bits / 64`` rows, whatever the data."""
+    word, bit = in_bitmap(mark, bits)
+    return materialize(df.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits")), what)
+
+
+def may_hold(df: DataFrame, words: DataFrame, mark: Column, bits: int = 1 << 22, how: str = "left_semi") -> DataFrame:
+    """The rows of ``df`` whose bit is set, or with ``left_anti`` those whose bit isn't; the bitmap is broadcast."""
+    word, bit = in_bitmap(mark, bits)
+    return df.join(F.broadcast(words), (word == F.col("_word")) & (F.col("_bits").bitwiseAND(bit) != 0), how)
+
+
+def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row`` (all columns), ``n`` and ``text``, where ``n`` is unique: the id itself where ids are.
+
+    Where ids repeat or are null, rows are numbered by id, null ids last, and equal ids by a hash of their texts.
+    """
+    src = packed(df, df.columns, n=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`").cast("string"))
+    if src.groupBy("n").agg(F.count("*").alias("_c")).where("_c > 1 or n is null").isEmpty():
+        return src
+    order = [F.asc_nulls_last("n"), F.xxhash64("text")]
+    ranged = src.repartitionByRange(partitions(df.sparkSession), *order).sortWithinPartitions(*order)
+    return materialize(ranged.select("row", F.monotonically_increasing_id().alias("n"), "text"), "numbered")

@@ -1,18 +1,19 @@
-"""Near-duplicate groups at a stated similarity of word shingles, with MinHash for candidates.
-
-Each document gets ``TABLES * ROWS`` MinHash values of its distinct shingles.  Two documents
-agree in one of them with a probability that is their Jaccard similarity, whatever the edits
-between them were: scattered words, or a passage added, cut or replaced.  Documents that agree
-in all ``ROWS`` values of some table meet; at 0.8 a pair meets nowhere with a probability of
-``(1 - 0.8 ** ROWS) ** TABLES``, 3e-6.  A sketch keeps eight bits of each of 64 values.
-Documents that meet and differ in at most ``FAR_BITS`` of its 512 bits (at 0.8 more differ with
-a probability of 6e-7, and 51 on average) are compared by their whole sets of shingles, and
-linked if the exact similarity is high enough.  Groups are the components of these links.
-
-Of a large bucket, each document is first compared with a central one.  Where that leaves more
-than one component in the bucket, the documents outside its largest one are compared with all
-of other components, in the bucket's task, where each set of shingles is held once.  So every
-pair that meets, within ``FAR_BITS``, is compared or joined by other links.
+"""Near-duplicate groups at a stated similarity of word shingles.
+
+Candidates come from two sides.  The SimHash operator's covering masks bring together every pair
+whose fingerprints (of distinct shingles) differ in at most two bits.  At a similarity of 0.8
+fingerprints differ in about ten of 64 bits, where covering masks would keep next to nothing of
+the fingerprint; so MinHash tables complete the candidates.  Two documents agree in one MinHash
+value with a probability that is their Jaccard similarity, whatever the edits between them
+were; those that agree in all ``ROWS`` values of some table meet.  At 0.8 a pair meets nowhere
+with a probability of ``(1 - 0.8 ** ROWS) ** TABLES``, 3e-6.
+
+Every link is verified: the exact similarity of the whole sets of shingles (64-bit hashes) is
+high enough.  Of a bucket, each document is first compared with the one of the least number.
+Where that leaves more than one component in the bucket, all documents of different components
+are compared, block by block of about ``BLOCK`` documents, so that a task holds two blocks of
+one bucket.  So all pairs that meet are compared or joined by other links, however large the
+bucket.  Groups are the components of the links.
 """
 
 from __future__ import annotations
@@ -25,14 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions
+from . import simhash
+from .common import bitmap, materialize, may_hold, numbered, partitions
 from .components import connected_components
 
-PARTS = 8
 TABLES, ROWS = 24, 4
-FAR_BITS = 128
 BLOCK = 512
-SMALL = 6
 _ODD = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(TABLES * ROWS)], np.uint64)
 _MINS = (_ODD >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
@@ -42,33 +41,26 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def shingles_of(words: list[bytes], size: int) -> np.ndarray:
-    """Sorted distinct 32-bit hashes of the shingles; a shorter text has one, an empty one none."""
+    """Sorted distinct 64-bit hashes of the shingles; a shorter text has one, an empty one none."""
     if not words:
-        return np.zeros(0, np.uint32)
+        return np.zeros(0, np.uint64)
     n = max(1, len(words) - size + 1)
     joined = map(b" ".join, zip(*(words[k:] for k in range(size)))) if len(words) >= size else iter([b" ".join(words)])
-    return np.unique(np.fromiter(map(xxhash.xxh32_intdigest, joined), np.uint32, n))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, joined), np.uint64, n))
 
 
 def minima_of(shingles: np.ndarray) -> np.ndarray:
     """The MinHash values of a set of shingles; the greatest value where it is empty."""
     least = np.full(len(_MINS), 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(shingles), 2048):
-        x = shingles[at : at + 2048] * _MINS[:, None]
+    short = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
+    for at in range(0, len(short), 2048):
+        x = short[at : at + 2048] * _MINS[:, None]
         x ^= x >> np.uint32(15)
         x *= np.uint32(0x85EBCA6B)
         np.minimum(least, x.min(axis=1), out=least)
     return least
 
 
-def sketches_of(minima: np.ndarray) -> np.ndarray:
-    """Eight bits of each of the first ``8 * PARTS`` values, as ``PARTS`` words to a row."""
-    x = minima[:, : 8 * PARTS] * np.uint32(0x9E3779B1)
-    x ^= x >> np.uint32(15)
-    x *= np.uint32(0xC2B2AE35)
-    return (x >> np.uint32(24)).astype(np.uint8).view("<u8")
-
-
 def keys_of(minima: np.ndarray) -> np.ndarray:
     """One bucket for each row and table."""
     x = (minima.astype(np.uint64) + np.uint64(1)) * _ODD
@@ -84,228 +76,163 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def _far(x: np.ndarray, row: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x ^ row).sum(axis=1)
-
+def links_between(ids: np.ndarray, roots: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
+    """Links that join what components ``roots`` of the documents can be joined.
 
-def _central(x: np.ndarray) -> int:
-    """The row nearest to the majority of each bit."""
-    bits = np.unpackbits(x.view(np.uint8), axis=1)
-    majority = np.packbits(bits.sum(axis=0) * 2 > len(x)).view(np.uint64)
-    return int(_far(x, majority).argmin())
+    Documents of one block are compared only if all are of one block.  Each document outside the
+    largest component is compared with all of other components that are long enough.
+    """
+    size = np.array([len(s) for s in sets])
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(size) - size
+    held = np.zeros(len(values), np.uint8)
+    part = np.unique(roots, return_inverse=True)[1]
+    one = (blocks == blocks[0]).all()
+    for i in np.flatnonzero((part != np.bincount(part).argmax()) & (size > 0)):
+        near = (part != part[i]) & (np.minimum(size, size[i]) >= similarity * np.maximum(size, size[i]))
+        others = np.flatnonzero(near if one else near & (blocks != blocks[i]))
+        if not len(others):
+            continue
+        held[flat[starts[i] : starts[i] + size[i]]] = 1
+        if len(others) * 8 < len(ids) or not size.all():
+            both = np.array([held[flat[starts[k] : starts[k] + size[k]]].sum(dtype=np.int64) for k in others])
+        else:
+            both = np.add.reduceat(held[flat], starts, dtype=np.int64)[others]
+        held[flat[starts[i] : starts[i] + size[i]]] = 0
+        for k in others[both >= similarity * (size[others] + size[i] - both)]:
+            if part[k] != part[i]:
+                yield ids[i], ids[k]
+                part[part == part[k]] = part[i]
+
+
+def _sketches(src: DataFrame, size: int) -> DataFrame:
+    """``n, node, fp, keys``: a digest of the folded words, the SimHash fingerprint and the MinHash buckets."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            node, fps, least = [], [], np.zeros((b.num_rows, len(_MINS)), np.uint32)
+            for k, t in enumerate(b.column(1)):
+                words = words_of(t.as_py())
+                found = shingles_of(words, size)
+                node.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                fps.append(simhash.fingerprint_of(found))
+                least[k] = minima_of(found)
+            keys = pa.array([row.tobytes() for row in keys_of(least)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.binary()), pa.array(fps, pa.int64()), keys], names=["n", "node", "fp", "keys"])
 
-class Bucket:
-    """Pairs to compare in one bucket, whose documents come in blocks.
+    return src.select("n", "text").mapInArrow(work, "n long, node binary, fp long, keys binary")
 
-    Up to ``SMALL`` documents are paired with each other.  Of more, each is paired with the
-    nearest leader within ``FAR_BITS``.  A document that has none is grouped with others of its
-    block around a central one, which becomes a leader.  So a group of near copies is paired
-    with its centre, which is as a rule the text that they were made from, and the number of
-    pairs follows the number of documents.
-    """
 
-    def __init__(self) -> None:
-        self.ids: list[int] = []
-        self.fps: list[bytes] = []
-        self.leader_ids = np.zeros(0, np.int64)
-        self.leaders = np.zeros((0, PARTS), np.uint64)
-
-    def flush(self, last: bool) -> Iterator[tuple[int, int]]:
-        ids, x = np.array(self.ids, np.int64), np.frombuffer(b"".join(self.fps), "<u8").reshape(-1, PARTS)
-        self.ids, self.fps = [], []
-        if last and not len(self.leaders) and len(ids) <= SMALL:
-            for i in range(len(ids)):
-                yield from ((ids[i], ids[k]) for k in np.flatnonzero(_far(x[:i], x[i]) <= FAR_BITS))
-            return
-        if len(self.leaders):
-            far = np.stack([_far(self.leaders, row) for row in x])
-            best = far.argmin(axis=1)
-            led = far[np.arange(len(x)), best] <= FAR_BITS
-            yield from zip(self.leader_ids[best[led]], ids[led])
-            ids, x = ids[~led], x[~led]
-        while len(ids):
-            k = _central(x)
-            near = _far(x, x[k]) <= FAR_BITS
-            self.leader_ids, self.leaders = np.append(self.leader_ids, ids[k]), np.vstack([self.leaders, x[k : k + 1]])
-            yield from ((ids[k], other) for other in ids[near] if other != ids[k])
-            ids, x = ids[~near], x[~near]
-
-
-class Rest:
-    """One bucket whose documents are in components ``roots``: finds the links between components.
-
-    Each document outside the largest component is compared with all of other components that
-    are near enough.
-    """
-
-    def __init__(self, similarity: float) -> None:
-        self.similarity = similarity
-        self.ids: list[int] = []
-        self.fps: list[bytes] = []
-        self.roots: list[int] = []
-        self.sets: list[np.ndarray] = []
-
-    def links(self) -> Iterator[tuple[int, int]]:
-        ids, root, size = np.array(self.ids, np.int64), np.array(self.roots, np.int64), np.array([len(s) for s in self.sets])
-        x = np.frombuffer(b"".join(self.fps), "<u8").reshape(-1, PARTS)
-        names, counts = np.unique(root, return_counts=True)
-        values, flat = np.unique(np.concatenate(self.sets), return_inverse=True)
-        starts = np.cumsum(size) - size
-        held = np.zeros(len(values), np.uint8)
-        for i in np.flatnonzero((root != names[counts.argmax()]) & (size > 0)):
-            near = (root != root[i]) & (np.minimum(size, size[i]) >= self.similarity * np.maximum(size, size[i]))
-            others = np.flatnonzero(near)
-            others = others[_far(x[others], x[i]) <= FAR_BITS]
-            if not len(others):
-                continue
-            mine = flat[starts[i] : starts[i] + size[i]]
-            held[mine] = 1
-            if len(others) * 8 < len(ids) or not size.all():
-                both = np.array([held[flat[starts[k] : starts[k] + size[k]]].sum(dtype=np.int64) for k in others])
-            else:
-                both = np.add.reduceat(held[flat], starts, dtype=np.int64)[others]
-            held[mine] = 0
-            alike = both / (size[others] + size[i] - both) >= self.similarity
-            yield from ((ids[i], ids[k]) for k in others[alike])
-
-
-def _batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
-    rows = list(pairs)
-    pairs.clear()
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-
-def _candidates(crowded: DataFrame) -> DataFrame:
-    """``a, b``: close pairs of documents that share a bucket.  A bucket is streamed in blocks of ``BLOCK``."""
-    ordered = crowded.repartition(partitions(crowded.sparkSession), "key").sortWithinPartitions("key", "id")
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """``key, id, leader`` for each document that has company in a bucket."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        key, bucket = None, Bucket()
-
-        def take(last: bool) -> None:
-            if bucket.ids:
-                seen.update((int(min(p)), int(max(p))) for p in bucket.flush(last))
+        for b in batches:
+            key = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(b.column(0).to_numpy(), TABLES))], names=["key", "id"])
 
-        for batch in batches:
-            for k, doc, fp in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                if k != key:
-                    take(True)
-                    key, bucket = k, Bucket()
-                elif len(bucket.ids) == BLOCK:
-                    take(False)
-                bucket.ids.append(doc)
-                bucket.fps.append(fp)
-            if len(seen) > 50_000:
-                yield _batch(seen)
-        take(True)
-        if seen:
-            yield _batch(seen)
-
-    return ordered.select("key", "id", "fps").mapInArrow(work, "a long, b long").distinct()
-
-
-def _missing_links(large: DataFrame, links: DataFrame, have: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: links in buckets of ``large`` between documents that ``links`` leave in different components."""
-    roots = connected_components(links, "a", "b").withColumnRenamed("node", "id")
-    named = large.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = named.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low != _high").select("key")
-    full = named.join(mixed, "key", "left_semi").join(have, "id").select("key", "id", "fps", "root", "shingles")
-    ordered = full.repartition(partitions(large.sparkSession), "key").sortWithinPartitions("key", "id")
+    bucket = Window.partitionBy("key")
+    keyed = nodes.select("id", "keys").mapInArrow(work, "key long, id long")
+    return keyed.withColumns({"leader": F.min("id").over(bucket), "_last": F.max("id").over(bucket)}).where("leader != _last").drop("_last")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        key, rest = None, Rest(similarity)
 
-        def take() -> Iterator[pa.RecordBatch]:
-            for i, k in rest.links() if rest.ids else ():
-                seen.add((int(min(i, k)), int(max(i, k))))
-                if len(seen) > 50_000:
-                    yield _batch(seen)
+def _covered(nodes: DataFrame) -> DataFrame:
+    """``a, b``: each document with the first of its fingerprint, and first ones of fingerprints within two bits."""
+    first = materialize(nodes.groupBy("fp").agg(F.min("id").alias("a")), "fingerprints")
+    same = nodes.select("fp", F.col("id").alias("b")).join(first, "fp").where("a != b").select("a", "b")
+    near = simhash.link(first.select("fp")).join(first, "fp").drop("fp")
+    return same.union(near.join(first.select(F.col("fp").alias("other"), F.col("a").alias("b")), "other").select("a", "b"))
 
-        for batch in batches:
-            for k, doc, fp, root, found in zip(*(batch.column(c).to_pylist() for c in range(5))):
-                if k != key:
-                    yield from take()
-                    key, rest = k, Rest(similarity)
-                rest.ids.append(doc)
-                rest.fps.append(fp)
-                rest.roots.append(root)
-                rest.sets.append(np.frombuffer(found, np.uint32))
-        yield from take()
-        if seen:
-            yield _batch(seen)
 
-    return ordered.mapInArrow(work, "a long, b long").distinct()
+def _shingles(src: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """``id, shingles`` of the documents of ``pairs``, and of a few others that a bitmap can't tell from them."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                found = [shingles_of(words_of(t.as_py()), size).tobytes() for t in b.column(1)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
 
-def similar_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """The rows as ``doc_id, node, id`` and the verified links ``a, b`` between ``id``.
+    words = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("id")), F.xxhash64("id"), "paired")
+    return may_hold(src.select("n", "text"), words, F.xxhash64("n")).mapInArrow(work, "id long, shingles binary")
 
-    Rows whose folded words are the same sequence are one node, named by its smallest id.
-    Rows with a null id take no part.  Candidates are made for a similarity of 0.8 or more; below
-    that some are missed.
-    """
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verified(pairs: DataFrame, have: DataFrame, similarity: float) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            node, least = [], np.zeros((b.num_rows, len(_MINS)), np.uint32)
-            for k, t in enumerate(b.column(1)):
-                words = words_of(t.as_py())
-                node.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                least[k] = minima_of(shingles_of(words, size))
-            found = [pa.array([row.tobytes() for row in x], pa.binary()) for x in (sketches_of(least), keys_of(least))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.binary()), *found], names=["doc_id", "node", "fps", "keys"])
+            keep = [jaccard(*(np.frombuffer(x.as_py(), np.uint64) for x in two)) >= similarity for two in zip(b.column(2), b.column(3))]
+            yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("doc_id").isNotNull())
-    rows = materialize(src.mapInArrow(sketch, "doc_id long, node binary, fps binary, keys binary"), "sketch")
-    nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("fps", "keys")]), "nodes")
+    left, right = (have.select(F.col("id").alias(x), F.col("shingles").alias(f"of_{x}")).hint("merge") for x in ("a", "b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(work, "a long, b long")
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            key = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(b.column(0).to_numpy(), TABLES))], names=["key", "id"])
 
-    keyed = nodes.select("id", "keys").mapInArrow(keys, "key long, id long")
-    bucket = Window.partitionBy("key").orderBy("id")
-    mate = F.coalesce(F.lag("id").over(bucket), F.lead("id").over(bucket))
-    place = F.row_number().over(bucket)
-    shared = keyed.withColumns({"mate": mate, "place": place}).where("mate is not null").drop("mate")
-    crowded = materialize(shared.join(nodes.select("id", "fps"), "id"), "crowded")
-    wanted = crowded.select(F.col("id").alias("doc_id")).distinct()
+def _missing_links(buckets: DataFrame, links: DataFrame, have: DataFrame, similarity: float, block: int) -> DataFrame:
+    """``a, b``: links in buckets between documents that ``links`` leave in different components.
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [shingles_of(words_of(t.as_py()), size).tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
+    A document of a bucket with several components is sent to each pair of its block with
+    another: the blocks of a bucket are as many as it takes to have about ``block`` documents each.
+    """
+    roots = connected_components(links, "a", "b").withColumnRenamed("node", "id")
+    named = materialize(buckets.select("key", "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "named")
+    mixed = named.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.ceil(F.count("*") / block).alias("blocks")).where("_low != _high")
+    own = named.join(mixed.select("key", "blocks"), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    dealt = own.select("key", "id", "root", "block", other).select("key", "id", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("k"))
+    full = dealt.join(have.hint("merge"), "id").select("key", "i", "k", "id", "root", "block", "shingles")
+    ordered = full.repartition(partitions(buckets.sparkSession), "key", "i", "k").sortWithinPartitions("key", "i", "k", "id")
 
-    have = materialize(src.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, shingles binary").dropDuplicates(["id"]), "shingles")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, []
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = [jaccard(*(np.frombuffer(x.as_py(), np.uint32) for x in two)) >= similarity for two in zip(b.column(2), b.column(3))]
-            yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+        def take() -> pa.RecordBatch:
+            ids, roots, blocks = (np.array(x, np.int64) for x in list(zip(*held))[:3])
+            found = list(links_between(ids, roots, blocks, [x[3] for x in held], similarity)) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([int(x[c]) for x in found], pa.int64()) for c in (0, 1)], names=["a", "b"])
 
-    left = have.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-    right = have.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
+        for batch in batches:
+            for key, i, k, doc, root, blk, found in zip(*batch.columns):
+                at = (key.as_py(), i.as_py(), k.as_py())
+                if at != cell:
+                    if held:
+                        yield take()
+                    cell, held = at, []
+                held.append((doc.as_py(), root.as_py(), blk.as_py(), np.frombuffer(found.as_py(), np.uint64)))
+        if held:
+            yield take()
 
-    pairs = materialize(_candidates(crowded), "candidates")
-    found = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(verify, "a long, b long")
-    links = materialize(found, "links")
-    large = crowded.join(crowded.where(F.col("place") == SMALL + 1).select("key"), "key", "left_semi")
-    links = links.union(materialize(_missing_links(large, links, have, similarity), "more-links"))
-    return rows.join(nodes.select("node", "id"), "node").select("doc_id", "node", "id"), links
+    return ordered.mapInArrow(work, "a long, b long").distinct()
 
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_links(src: DataFrame, size: int = 5, similarity: float = 0.8, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``src`` (``n``, ``text``) as ``n, id`` and the verified links ``a, b`` between ``id``.
+
+    Rows whose folded words are the same sequence are one node, named by its least ``n``.
+    Candidates are made for a similarity of 0.8 or more; below that some are missed.
+    """
+    rows = materialize(_sketches(src, size), "sketch")
+    nodes = materialize(rows.groupBy("node").agg(F.min("n").alias("id"), *[F.first(c).alias(c) for c in ("fp", "keys")]), "nodes")
+    buckets = materialize(_buckets(nodes), "buckets")
+    pairs = buckets.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).union(_covered(nodes))
+    pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    have = materialize(_shingles(src, pairs, size), "shingles")
+    links = materialize(_verified(pairs, have, similarity), "links")
+    links = links.union(materialize(_missing_links(buckets, links, have, similarity, block), "more-links"))
+    return rows.select("n", "node").join(nodes.select("node", "id"), "node").select("n", "id"), links
+
+
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, block: int = BLOCK) -> DataFrame:
     """``df`` with one document of each group: the one with the smallest id.
 
-    Texts without words are copies of each other.  Rows with a null id stay; rows that repeat
-    an id stay or go together.
+    Texts without words are copies of each other, null ones too.  Rows that repeat an id are
+    documents of their own, in the order of a hash of their texts; null ids come last.
     """
-    rows, links = similar_links(df, id_col, text_col, size, similarity)
-    later = connected_components(links, "a", "b").where("node != root").select(F.col("node").alias("id"))
-    copies = rows.where("doc_id != id").select("doc_id")
-    gone = copies.union(later.select(F.col("id").alias("doc_id"))).distinct().withColumnRenamed("doc_id", "_gone")
-    return df.join(gone, df[id_col].cast("long") == gone["_gone"], "left_anti")
+    src = numbered(df, id_col, text_col)
+    rows, links = similar_links(src, size, similarity, block)
+    later = connected_components(links, "a", "b").where("node != root").select(F.col("node").alias("n"))
+    gone = materialize(rows.where("n != id").select("n").union(later).distinct(), "gone")
+    words, mark = bitmap(gone, F.xxhash64("n"), "gone-bitmap"), F.xxhash64("n")
+    slim = src.select("row", "n")
+    apart = may_hold(slim, words, mark).join(gone.hint("merge"), "n", "left_anti").select("row")
+    return may_hold(slim, words, mark, how="left_anti").select("row").union(apart).select("row.*")

@@ -59,6 +59,15 @@ def fingerprint(text: str | None, size: int = 3, seed: int = 42) -> int:
     return int(bits.view("<i8")[0])
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Signed 64-bit fingerprint of shingle hashes (unsigned, 64 bits each); 0 without any."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), STEP):
+        part = np.ascontiguousarray(hashes[at : at + STEP], "<u8")
+        counts += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, seed: int = 42) -> DataFrame:
     """``(doc_id, fp)`` for every row: null and empty texts have fingerprint 0.
 
