@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import struct
+from array import array
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -61,6 +62,33 @@ def test_chunks_are_shared_between_texts():
     assert tool.fresh - fresh < 0.15 * fresh
 
 
+def test_shared_chunks_are_encoded_once(spark, docs, texts):
+    """With room for all of them, every distinct chunk is encoded once, on the cluster if it comes back and else where it is."""
+    parts = [c for t in texts.values() for part in t.split(bpe.SPECIAL) if part for c in bpe.chunks_of(part)]
+    again = {c for c in parts if parts.count(c) > 1}
+    shared = bpe.shared_chunks(docs)
+    assert set(shared) == again and len(again) > 20
+    tool = bpe.Encoder(bpe.vocabulary(), keep_bytes=1 << 30)
+    tool.shared = shared
+    assert all(tool.encode(t).tolist() == ids_of(t) for t in texts.values())
+    assert tool.fresh + len(shared) == len(set(parts)) and tool.wholes == 0
+    few = bpe.shared_chunks(docs, most=5)
+    saved = lambda c: (parts.count(c) - 1) * len(c)
+    assert len(few) == 5 and min(map(saved, few)) >= max(saved(c) for c in again - set(few))
+
+
+def test_a_join_that_does_not_agree_is_encoded_whole():
+    tool = bpe.Encoder(bpe.vocabulary())
+    t = " ".join(f"some words number {i}" for i in range(400))
+    chunk = bpe.chunks_of(t)[1]
+    ids = tool.alone(chunk)
+    at = next(iter(tool._safe(ids, range(1, len(ids)))))
+    word = tool.token[ids[at]]
+    wrong = [*ids[:at], *(tool.token.index(x) for x in (word[:2], word[2:])), *ids[at + 1 :]]
+    tool.shared = {chunk: array("H", wrong).tobytes()}
+    assert tool.encode(t).tolist() == ids_of(t) and tool.wholes == 1
+
+
 def test_columns_and_odd_rows(odd):
     out = bpe.encode(odd)
     assert out.columns == [*(c for c in odd.columns if c not in ("token_ids", "round_trip")), "token_ids"]

@@ -1,14 +1,18 @@
 """Byte-level BPE with reuse of content-defined chunks.
 
 A rolling hash over the last eight bytes cuts texts into chunks, so that a passage that occurs
-in many documents has the same chunks in each.  What a task has encoded it keeps: a chunk is
-encoded once and copied wherever it comes back.
-
-Encoding pieces by themselves can differ from encoding the whole at the joins.  Each join is
-therefore encoded again, over a stretch that grows to both sides until it begins and ends
-where the encodings must agree: in front of a single space between two characters that are
-not white space.  There the pre-tokenizer starts a new piece whatever stands on either side,
-and merges do not cross pieces.  A chunk without such a place joins its neighbours whole.
+in many documents has the same chunks in each.  ``shared_chunks`` counts the chunks of all
+documents; those that save most, up to a stated number, are encoded once on the cluster and
+sent to all tasks with their bytes.  Other chunks are encoded where they are met and kept
+there for a while.
+
+Chunks are encoded by themselves, which can differ from encoding the whole at the joins.  Each
+join is therefore encoded again, over a stretch that grows to both sides until it begins and
+ends with tokens that its chunks have too, at places where the encodings must agree: in front
+of a single space between two ASCII characters that are not white space.  There the
+pre-tokenizer starts a new piece whatever stands on either side, and merges do not cross
+pieces.  A chunk without such places joins its neighbours whole; a stretch that still doesn't
+agree is a reason to encode the text in one piece.
 
 The special token is split off first, as the tokenizer does.
 """
@@ -17,12 +21,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +36,6 @@ from .common import packed, unpacked
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 #: Fixed value: how this vocabulary's tokenizer splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-SAFE = re.compile(r"(?<=\S) (?=\S)")
 MEAN_CHUNK = 512
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, 9)], np.uint64)
 
@@ -50,10 +54,19 @@ def cuts(data: bytes, mean: int = MEAN_CHUNK) -> list[int]:
     return at[(x[at] & np.uint64(0xC0)) != 0x80].tolist()
 
 
+def chunks_of(part: str) -> list[bytes]:
+    data = part.encode("utf-8")
+    ends = [*cuts(data), len(data)]
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Encoder:
-    """Encodes and decodes texts; keeps what it has encoded up to ``keep_chars`` characters."""
+    """Encodes and decodes texts; keeps the chunks that it has encoded up to ``keep_bytes`` bytes.
 
-    def __init__(self, ranks_path: str, keep_chars: int = 1 << 22):
+    ``shared`` has chunks that were encoded elsewhere.
+    """
+
+    def __init__(self, ranks_path: str, keep_bytes: int = 1 << 22):
         import tiktoken
 
         with open(ranks_path, "rb") as f:
@@ -63,40 +76,73 @@ class Encoder:
         for piece, n in ranks.items():
             self.token[n] = piece
         self.token[SPECIAL_ID] = SPECIAL.encode()
-        self.kept: dict[str, array] = {}
-        self.keep_chars, self.chars, self.fresh, self.reused = keep_chars, 0, 0, 0
-
-    def _piece(self, text: str) -> array:
-        ids = self.kept.get(text)
-        if ids is not None:
+        graphic = range(0x21, 0x7F)
+        self.opens = [len(t) > 1 and t[0] == 0x20 and t[1] in graphic for t in self.token]
+        self.shuts = [bool(t) and t[-1] in graphic for t in self.token]
+        self.kept: dict[bytes, tuple] = {}
+        self.shared: dict[bytes, bytes] = {}
+        self.keep_bytes, self.held, self.fresh, self.reused, self.wholes = keep_bytes, 0, 0, 0, 0
+
+    def alone(self, chunk: bytes) -> array:
+        """A chunk's own ids, two bytes each: the vocabulary has under 65,536 entries."""
+        return array("H", self.base.encode_ordinary(chunk.decode("utf-8")))
+
+    def _safe(self, ids: array, places: range) -> list[int]:
+        """The first two of ``places`` where a token begins at which any encodings agree."""
+        out: list[int] = []
+        for k in places:
+            if self.opens[ids[k]] and self.shuts[ids[k - 1]]:
+                out.append(k)
+                if len(out) == 2:
+                    break
+        return out
+
+    def _chunk(self, chunk: bytes) -> tuple:
+        """Ids, and the first two and last two safe places; no places where there are fewer than four."""
+        found = self.kept.get(chunk)
+        if found is not None:
             self.reused += 1
-            return ids
-        ids = array("H", self.base.encode_ordinary(text))  # two bytes each: the vocabulary has under 65,536 entries
-        self.fresh += 1
-        self.chars += len(text)
-        if self.chars > self.keep_chars:
-            self.kept, self.chars = {}, len(text)
-        self.kept[text] = ids
-        return ids
+            return found
+        ids = self.shared.get(chunk)
+        if ids is None:
+            ids = self.alone(chunk)
+            self.fresh += 1
+        else:
+            ids = array("H", ids)
+            self.reused += 1
+        first, last = self._safe(ids, range(1, len(ids))), self._safe(ids, range(len(ids) - 1, 0, -1))[::-1]
+        found = (ids, first, last) if len(first) == 2 and first[1] < last[0] else (ids, None, None)
+        self.held += len(chunk)
+        if self.held > self.keep_bytes:
+            self.kept, self.held = {}, len(chunk)
+        self.kept[chunk] = found
+        return found
+
+    def _bytes(self, ids: array) -> bytes:
+        return b"".join(map(self.token.__getitem__, ids))
 
     def _plain(self, text: str) -> array:
-        data = text.encode("utf-8")
-        ids = array("H")
-        begin, join = 0, ""
-        for end in [*cuts(data), len(data)]:
-            chunk, begin = data[begin:end].decode("utf-8"), end
-            first = SAFE.search(chunk)
+        chunks = chunks_of(text)
+        if len(chunks) == 1:
+            return self._chunk(chunks[0])[0]
+        out, open_, witness = array("H"), [], array("H")  # open_: bytes since the last safe place; witness: the ids that they begin with
+        for chunk in chunks:
+            ids, first, last = self._chunk(chunk)
             if first is None:
-                join += chunk
+                open_.append(chunk)
                 continue
-            last = first.start()
-            for m in SAFE.finditer(chunk, max(first.start(), len(chunk) - 64)):
-                last = m.start()
-            ids += self._piece(join + chunk[: first.start()])
-            if last > first.start():
-                ids += self._piece(chunk[first.start() : last])
-            join = chunk[last:]
-        return ids + self._piece(join) if join else ids
+            if open_:
+                joined = self.alone(b"".join(open_) + self._bytes(ids[: first[1]]))
+                ours = ids[first[0] : first[1]]
+                if joined[: len(witness)] != witness or joined[len(joined) - len(ours) :] != ours:
+                    self.wholes += 1
+                    return self.alone(text.encode("utf-8"))
+                out += joined
+                out += ids[first[1] : last[0]]
+            else:
+                out += ids[: last[0]]
+            open_, witness = [self._bytes(ids[last[0] :])], ids[last[0] : last[1]]
+        return out + self.alone(b"".join(open_)) if open_ else out
 
     def encode(self, text: str) -> array:
         ids = array("H")
@@ -114,13 +160,75 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, shared: dict[bytes, bytes] | None = None) -> Encoder:
     """One encoder for each worker and vocabulary."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].shared = shared or {}
     return _ENCODERS[path]
 
 
+def shared_chunks(df: DataFrame, text_col: str = "text", ranks_path: str | None = None, most: int = 20_000) -> dict[bytes, bytes]:
+    """The ids, two bytes each, of the ``most`` chunks whose reuse saves most bytes, by their bytes.
+
+    All chunks of all documents are counted by a 128-bit hash.  The chunks chosen are encoded
+    once each.  ``most`` bounds what is broadcast (a chunk has about ``MEAN_CHUNK`` bytes) and
+    changes no result: other chunks are encoded where they stand.
+    """
+    texts = df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+    def chunked(b: pa.RecordBatch) -> Iterator[bytes]:
+        for t in b.column(0):
+            for part in t.as_py().split(SPECIAL):
+                if part:
+                    yield from chunks_of(part)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n: Counter[bytes] = Counter()
+        size: dict[bytes, int] = {}
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64()), pa.array([size[h] for h in n], pa.int64())], names=["h", "n", "size"])
+
+        for b in batches:
+            for chunk in chunked(b):
+                h = xxhash.xxh3_128_digest(chunk)
+                n[h] += 1
+                size[h] = len(chunk)
+                if len(n) >= 50_000:
+                    yield told()
+                    n.clear()
+                    size.clear()
+        if n:
+            yield told()
+
+    counted = texts.mapInArrow(count, "h binary, n long, size long").groupBy("h").agg(F.sum("n").alias("n"), F.max("size").alias("size")).where("n > 1")
+    best = counted.orderBy(F.desc(F.expr("(n - 1) * size")), "h").limit(most)
+    wanted = df.sparkSession.sparkContext.broadcast({bytes(r["h"]) for r in best.select("h").collect()})
+    if not wanted.value:
+        return {}
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = set(wanted.value)
+        for b in batches:
+            found = []
+            for chunk in chunked(b):
+                h = xxhash.xxh3_128_digest(chunk)
+                if h in left:
+                    left.remove(h)
+                    found.append(chunk)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["chunk"])
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = encoder(ranks_path or vocabulary())
+        for b in batches:
+            ids = [tool.alone(c.as_py()).tobytes() for c in b.column(0)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["chunk", "ids"])
+
+    once = texts.mapInArrow(gather, "chunk binary").distinct().mapInArrow(code, "chunk binary, ids binary")
+    return {bytes(r["chunk"]): bytes(r["ids"]) for r in once.collect()}
+
+
 def _lists(rows: list[array]) -> pa.Array:
     ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
     flat = np.frombuffer(b"".join(r.tobytes() for r in rows), np.uint16).astype(np.int32)
@@ -134,23 +242,24 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encode(df: DataFrame, text_col: str = "text", ranks_path: str | None = None, keep: list[str] | None = None, slice_rows: int = 64) -> DataFrame:
+def encode(df: DataFrame, text_col: str = "text", ranks_path: str | None = None, keep: list[str] | None = None, slice_rows: int = 64, most_shared: int = 20_000) -> DataFrame:
     """``keep`` (every column by default) with ``token_ids``: an array of ints for each row.
 
     A null text is the empty one and has no ids.  ``token_ids`` and ``round_trip`` replace
     columns of these names.
     """
-    return encode_and_check(df, text_col, ranks_path, keep, slice_rows).drop("round_trip")
+    return encode_and_check(df, text_col, ranks_path, keep, slice_rows, most_shared).drop("round_trip")
 
 
-def encode_and_check(df: DataFrame, text_col: str = "text", ranks_path: str | None = None, keep: list[str] | None = None, slice_rows: int = 64) -> DataFrame:
+def encode_and_check(df: DataFrame, text_col: str = "text", ranks_path: str | None = None, keep: list[str] | None = None, slice_rows: int = 64, most_shared: int = 20_000) -> DataFrame:
     """Like ``encode``, with ``round_trip``: whether decoding the ids gives the text."""
     keep = [c for c in (df.columns if keep is None else keep) if c not in ("token_ids", "round_trip")]
     src = packed(df, keep, text=F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     schema = src.select("row", F.array().cast("array<int>").alias("token_ids"), F.lit(True).alias("round_trip")).schema
+    sent = df.sparkSession.sparkContext.broadcast(shared_chunks(df, text_col, ranks_path, most_shared))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(ranks_path or vocabulary())
+        tool = encoder(ranks_path or vocabulary(), sent.value)
         for whole in batches:
             for at in range(0, whole.num_rows, slice_rows):
                 b = whole.slice(at, slice_rows)
@@ -179,11 +288,12 @@ def decode(df: DataFrame, ids_col: str = "token_ids", ranks_path: str | None = N
     return df.select(F.col(ids_col), *keep).mapInArrow(work, out.schema)
 
 
-def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, slice_rows: int = 64) -> DataFrame:
+def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, most_shared: int = 20_000) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row, without moving ids out of the task."""
+    sent = df.sparkSession.sparkContext.broadcast(shared_chunks(df, text_col, ranks_path, most_shared))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(ranks_path or vocabulary())
+        tool = encoder(ranks_path or vocabulary(), sent.value)
         for b in batches:
             n, of_ids, of_text = [], [], []
             for t in b.column(1):
