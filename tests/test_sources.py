@@ -71,13 +71,16 @@ def test_logs_to_samples(spark, folder):
     samples = out.samples.collect()
     assert samples and {r["variant"] for r in samples} == {"base", "mirror_y", "noise"} and {r["sample_weight"] for r in samples} == {1.5}
     assert all(len(r["input"]) == cfg.sample_features for r in samples)
+    facts = {tuple(r[c] for c in ("target_team", "opponent_team", "target_color", "target_score", "opponent_score")) for r in samples}
+    assert facts == {("Us", "Them", "Blue", 3, 1)} and {r["source_log"].split("/")[-1] for r in samples} == {"2024.game.log"}
 
 
 def test_live_samples_and_listing(spark, folder):
     (folder / "bad.log").write_bytes(b"no")
     cfg = Config(target_name="Us", team_size=2, min_sequence_frames=5, window=replace(Config().window, length=4))
     found, errors = pipelines.live_samples(spark, [str(folder)], cfg)
-    assert {r["split"] for r in found.select("split").distinct().collect()} == {"train"} and errors.count() == 1
+    assert {r["split"] for r in found.select("split").distinct().collect()} == {"train"}
+    assert {r["path"].split("/")[-1]: r["error"] for r in errors.collect()} == {"bad.log": "not a log file", "2023.b.log.gz": "no team has the name Us (yellow unknown, blue unknown)"}
     assert [r["game_id"] for r in logs.list_games(spark, str(folder)).collect()] == ["2024_game_log", "bad_log"]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import time
 from collections.abc import Sequence
 from dataclasses import replace
 from pathlib import Path
@@ -31,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--reviews")
         if name == "auto":
             s.add_argument("--min-quality", type=float)
+            s.add_argument("--verbose", action="store_true", help="tell each game's frames and samples")
     s = sub.add_parser("samples")
     s.add_argument("dataset")
     s.add_argument("--limit", type=int, default=3)
@@ -59,11 +61,16 @@ def main(argv: Sequence[str] | None = None) -> int:
     cfg = _config(a)
     # The automatic run skips logs that can't be read and tells about them; the others stop.
     log = logs.read_logs(spark, *a.inputs, mode="permissive" if a.command == "auto" else "failfast")
+    began = time.perf_counter()
     logs.check_unique_games(log)
+    wrong = pipelines.problems(log, cfg)
     if a.command == "auto":
-        for r in log.where("kind = 'error'").select("path", "error").toLocalIterator():
+        for r in wrong.toLocalIterator():
             print(f"skipped {r['path']}: {r['error']}")
+    elif r := wrong.first():
+        raise SystemExit(f"{r['path']}: {r['error']}")
     packets = logs.packets(log)
+    checked = time.perf_counter()
     if a.command == "audit":
         rows = pipelines.audits(log, cfg)
         for line in rows.toJSON().toLocalIterator():
@@ -74,9 +81,14 @@ def main(argv: Sequence[str] | None = None) -> int:
         raise SystemExit("no tracker frames")
     reviews = datasets.reviews_from_json(spark, a.reviews) if getattr(a, "reviews", None) else None
     out = pipelines.build(frames, games, cfg, reviews, automatic=a.command == "auto")
-    datasets.write_dataset(out.samples, out.splits, out.stats, a.output)
+    datasets.write_dataset(out.samples, out.splits, out.stats, a.output, games=pipelines.game_table(log, cfg))
     spark.createDataFrame([(cfg.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.output}/config")
-    print(datasets.report(datasets.read_dataset(spark, a.output), games, out.splits))
+    written = datasets.read_dataset(spark, a.output)
+    if getattr(a, "verbose", False):
+        for r in written.groupBy("game_id", "split").count().orderBy("game_id").toLocalIterator():
+            print(f"{r['game_id']}: {r['count']} samples for {r['split']}")
+    seconds = {"check": checked - began, "run": time.perf_counter() - checked} if a.command == "auto" else None
+    print(datasets.report(written, games, out.splits, seconds))
     return 0
 
 

@@ -11,7 +11,7 @@ from ..config import Config
 def assign_splits(games: DataFrame, cfg: Config) -> DataFrame:
     """``game_id, split, phase, sample_count`` by rank of the game id: the first share trains, the next validates.
 
-    Ranks come from the ids alone.  ``sample_count`` is 0 until samples are counted.
+    Ranks come from the ids alone, one short row for each log, which one task sorts.  ``sample_count`` is 0 until samples are counted.
     """
     s = cfg.split
     ids = games.select("game_id", "phase")
@@ -47,11 +47,15 @@ def magnitudes_of_teams() -> Column:
     return F.flatten(F.transform(present, lambda r: F.array(size(r["vx"], r["vy"]), size(r["ax"], r["ay"]))))
 
 
-def pooled_stats(rows: DataFrame, values: Column) -> DataFrame:
-    """One row: mean and deviation of all values, given for velocity and acceleration alike, and their number."""
-    flat = rows.select(F.explode(values).alias("v"))
-    agg = flat.agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s"), F.count("v").alias("n"))
-    mean, dev = F.coalesce("m", F.lit(0.0)), F.when(F.col("n") == 0, 1.0).otherwise(F.greatest("s", F.lit(1e-6)))
-    return agg.select(
-        mean.alias("velocity_mean"), dev.alias("velocity_std"), mean.alias("acceleration_mean"), dev.alias("acceleration_std"), F.col("n").alias("sample_count")
-    )
+def pooled_stats(rows: DataFrame, values: Column, pooled: bool = True) -> DataFrame:
+    """One row: mean and deviation of speeds and of accelerations, and the number of values.
+
+    ``values`` has them in turn, speeds first.  ``pooled`` gives those of all values for both.
+    """
+    flat = rows.select(F.posexplode(values).alias("i", "v"))
+    part = {"velocity": F.lit(True), "acceleration": F.lit(True)} if pooled else {"velocity": F.col("i") % 2 == 0, "acceleration": F.col("i") % 2 == 1}
+    out = []
+    for name, own in part.items():
+        v = F.when(own, F.col("v"))
+        out += [F.coalesce(F.avg(v), F.lit(0.0)).alias(f"{name}_mean"), F.when(F.count(v) == 0, 1.0).otherwise(F.greatest(F.stddev_pop(v), F.lit(1e-6))).alias(f"{name}_std")]
+    return flat.agg(*out, F.count("v").alias("sample_count"))

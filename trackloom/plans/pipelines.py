@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..operators import audit, augment, clean, frames as fr, resample, samples, sequences, splits
 from ..operators.dynamics import estimate_dynamics
-from ..operators.ingest import drop_consecutive_duplicates, frames_from_tracker, game_id_from_path, last_referee, order_frames, resolve_target_color, source_filter
+from ..operators.ingest import drop_consecutive_duplicates, frames_from_tracker, game_id_from_path, last_referee, order_frames, resolve_target_color, source_filter, year_from_name
 from ..operators.tracking import track
 from ..sources import logs
 
@@ -22,12 +22,37 @@ class Output:
     samples: DataFrame
     splits: DataFrame
     stats: DataFrame
+    games: DataFrame
+
+
+#: What a sample says about its game.
+GAME_FACTS = ("source_log", "target_team", "opponent_team", "target_color", "target_score", "opponent_score")
+
+
+def games_from_logs(packets: DataFrame, referee_messages: DataFrame, cfg: Config) -> DataFrame:
+    """One row for each game with tracker packets: log, last referee state, phase, target colour.
+
+    A log without referee messages has no referee state.  The colour is null where no team has the name.
+    """
+    seen = packets.groupBy("game_id").agg(F.min("path").alias("source_log"))
+    games = seen.join(last_referee(referee_messages), "game_id", "left").withColumn("phase", F.coalesce("phase", F.lit("Unknown")))
+    return resolve_target_color(games, cfg.target_name, cfg.target_color)
+
+
+def problems(log: DataFrame, cfg: Config) -> DataFrame:
+    """``path, error`` of the logs that give no game: unreadable ones, those without tracker frames, and those without the target team."""
+    frame = F.col("kind").eqNullSafe("tracker") & (F.col("robots").isNotNull() | F.col("balls").isNotNull())
+    by_log = log.groupBy("path").agg(F.min("error").alias("broken"), F.count_if(frame).alias("n"))
+    games = games_from_logs(logs.packets(log), logs.referee_messages(log), cfg).select(F.col("source_log").alias("path"), "target_color", "referee")
+    teams = F.concat(F.lit("no team has the name "), F.lit(str(cfg.target_name)), F.lit(" (yellow "), F.coalesce("referee.yellow_name", F.lit("unknown")), F.lit(", blue "), F.coalesce("referee.blue_name", F.lit("unknown")), F.lit(")"))
+    why = F.when(F.col("broken").isNotNull(), F.col("broken")).when(F.col("n") == 0, "no tracker frames").when(F.col("target_color").isNull(), teams)
+    return by_log.join(games, "path", "left").select("path", why.alias("error")).where("error is not null")
 
 
 def frames_from_logs(packets: DataFrame, referee_messages: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
-    """Clean frames with dynamics, and one row for each game; games without the target team have none."""
+    """Clean frames with dynamics, and one row for each game; games without the target team have none (see ``problems``)."""
     raw = drop_consecutive_duplicates(source_filter(frames_from_tracker(packets), cfg.tracker_source))
-    games = resolve_target_color(last_referee(referee_messages), cfg.target_name, cfg.target_color).where("target_color is not null")
+    games = games_from_logs(packets, referee_messages, cfg).where("target_color is not null")
     tracked = track(order_frames(raw), cfg)
     return estimate_dynamics(fr.clean_frames(tracked, games, cfg), cfg), games
 
@@ -66,23 +91,36 @@ def build(frames: DataFrame, games: DataFrame, cfg: Config, reviews: DataFrame |
     made = samples.windows(stretched, cfg)
     if cfg.augment.occupancy_grid:
         made = made.join(samples.occupancy(stretched, cfg), ["game_id", "sequence_index", "stretch_index", "window_index"], "left")
-    made = augment.augment(splits.with_split(made, split, cfg), cfg)
-    stats = splits.pooled_stats(made.where("split = 'train'"), splits.magnitudes_of_inputs(F.col("input")))
-    return Output(ready, found, made, split, stats)
+    named = audit.metadata(games if "source_log" in games.columns else games.withColumn("source_log", F.col("game_id")))
+    made = splits.with_split(made, split, cfg).join(named.select("game_id", *GAME_FACTS), "game_id")
+    made = augment.augment(made, cfg)
+    stats = splits.pooled_stats(made.where("split = 'train'"), splits.magnitudes_of_inputs(F.col("input")), cfg.pooled_stats)
+    return Output(ready, found, made, split, stats, named)
+
+
+def game_table(log: DataFrame, cfg: Config) -> DataFrame:
+    """One row of metadata for each game of decoded logs."""
+    packets = logs.packets(log)
+    frames, games = frames_from_logs(packets, logs.referee_messages(log), cfg)
+    raw = source_filter(frames_from_tracker(packets), cfg.tracker_source)
+    rows = audit.metadata(games).withColumn("year", year_from_name(F.element_at(F.split("source_log", "/"), -1)))
+    rows = rows.join(audit.frame_audit(frames), "game_id").join(audit.message_audit(raw), "game_id")
+    return rows.select("game_id", "source_log", "year", "phase", *GAME_FACTS[1:], "sample_rate_hz", "duration_s", "tracker_source")
 
 
 def live_samples(spark: SparkSession, paths: list[str], cfg: Config) -> tuple[DataFrame, DataFrame]:
-    """Samples straight from logs, all for training, in the archive's schema; and the logs that can't be read, with why."""
+    """Samples straight from logs, all for training, in the archive's schema; and the logs that give no game, with why."""
     log = logs.read_logs(spark, *paths, mode="permissive")
     frames, games = frames_from_logs(logs.packets(log), logs.referee_messages(log), cfg)
     samples_of = build(frames, games, cfg).samples.withColumn("split", F.lit("train"))
-    return samples_of, log.where("kind = 'error'").select("path", "error")
+    return samples_of, problems(log, cfg)
 
 
 def audits(log: DataFrame, cfg: Config) -> DataFrame:
     """One audit row with notes for each game of decoded logs."""
     packets = logs.packets(log)
-    frames, _ = frames_from_logs(packets, logs.referee_messages(log), cfg)
+    frames, games = frames_from_logs(packets, logs.referee_messages(log), cfg)
     raw = source_filter(frames_from_tracker(packets), cfg.tracker_source)
+    named = audit.metadata(games).select("game_id", F.col("target_team").alias("target_team_resolved"))
     messages = log.groupBy(game_id_from_path(F.col("path")).alias("game_id")).agg(F.count("*").alias("total_messages"))
-    return audit.with_notes(audit.message_audit(raw).join(audit.frame_audit(frames), "game_id").join(messages, "game_id"))
+    return audit.with_notes(audit.message_audit(raw).join(audit.frame_audit(frames), "game_id").join(messages, "game_id").join(named, "game_id"))

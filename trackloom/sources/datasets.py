@@ -11,14 +11,19 @@ from pyspark.sql.types import StructType
 from ..config import Config
 
 
-def write_dataset(samples: DataFrame, splits: DataFrame, stats: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
-    """Samples by split and game, splits with their sample counts, statistics and a manifest of counts.
+def write_dataset(samples: DataFrame, splits: DataFrame, stats: DataFrame, path: str, rows_per_file: int = 100_000, games: DataFrame | None = None, tasks_per_game: int = 1) -> None:
+    """Samples by split and game, splits, statistics, games' metadata and a manifest of counts.
 
-    Nothing but Spark's writers touches the file system.
+    Nothing but Spark's writers touches the file system.  A game's samples are brought together
+    first, in ``tasks_per_game`` tasks, so that each folder gets that many files or as many as
+    ``rows_per_file`` makes of it.
     """
-    samples.write.partitionBy("split", "game_id").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(f"{path}/samples")
+    salt = F.pmod(F.xxhash64("sequence_index", "window_index", "ego_slot"), F.lit(tasks_per_game))
+    samples.repartition("split", "game_id", salt).write.partitionBy("split", "game_id").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(f"{path}/samples")
     splits.write.mode("overwrite").parquet(f"{path}/splits")
     stats.write.mode("overwrite").parquet(f"{path}/stats")
+    if games is not None:
+        games.write.mode("overwrite").parquet(f"{path}/games")
     samples.sparkSession.createDataFrame([(samples.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/schema")
     written = read_dataset(samples.sparkSession, path)
     manifest = written.groupBy("split", "game_id").agg(F.count("*").alias("samples")).withColumn("version", F.lit(2))
@@ -67,8 +72,9 @@ def config_with_source(text: str, tracker_source: str | None, name: str | None,
     return replace(cfg, tracker_source=tracker_source, target_name=name or None, target_color=color or cfg.target_color)
 
 
-def report(samples: DataFrame, games: DataFrame, splits: DataFrame) -> str:
-    """Counts by split and phase as JSON."""
+def report(samples: DataFrame, games: DataFrame, splits: DataFrame, seconds: dict[str, float] | None = None) -> str:
+    """Counts by split and phase, and seconds by step if given, as JSON."""
     by_split = {r["split"]: r["n"] for r in samples.groupBy("split").agg(F.count("*").alias("n")).collect()}
     by_phase = {r["phase"]: r["n"] for r in games.groupBy("phase").agg(F.count("*").alias("n")).collect()}
-    return json.dumps({"games": splits.count(), "samples": by_split, "phases": by_phase}, sort_keys=True)
+    timed = {"seconds": {k: round(v, 3) for k, v in seconds.items()}} if seconds else {}
+    return json.dumps({"games": splits.count(), "samples": by_split, "phases": by_phase} | timed, sort_keys=True)

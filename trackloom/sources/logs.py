@@ -121,7 +121,8 @@ def read_logs(spark: SparkSession, *paths: str, mode: str = "failfast") -> DataF
     """All messages of logs under files, folders or globs (``*.log``, ``*.log.gz``), one row each.
 
     ``failfast`` raises on a log that can't be read; ``permissive`` gives it one row with
-    ``error``.  Files are read by Spark, so any file system will do.
+    ``error``.  A log without messages has one row of kind ``empty``.  Files are read by Spark,
+    so any file system will do.
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError(mode)
@@ -133,6 +134,7 @@ def read_logs(spark: SparkSession, *paths: str, mode: str = "failfast") -> DataF
         for b in batches:
             for path, content in zip(b.column(0).to_pylist(), b.column(1)):
                 rows: list[dict] = []
+                pos = -1
                 try:
                     for pos, (kind, body) in enumerate(messages(content.as_py())):
                         row = {"path": path, "msg_pos": pos, "kind": {REFEREE_KIND: "referee", TRACKER_KIND: "tracker"}.get(kind, "other")}
@@ -148,6 +150,9 @@ def read_logs(spark: SparkSession, *paths: str, mode: str = "failfast") -> DataF
                     if mode == "failfast":
                         raise ValueError(f"{path}: {e}") from e
                     rows.append({"path": path, "kind": "error", "error": str(e)})
+                    pos = 0
+                if pos < 0:
+                    rows.append({"path": path, "kind": "empty"})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, arrow)
 
