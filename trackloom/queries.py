@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .config import Config
 from .functions.geometry import one_hot_phase, role_code, wrap_angle
 from .operators import audit, augment, clean, dynamics, frames as fr, ingest, resample, review, samples, sequences, splits, tracking
 from .plans import pipelines
@@ -68,12 +69,27 @@ LINES = """l AS (
     row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS slot
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey), r AS (SELECT * FROM l WHERE slot <= 6), o AS (
   SELECT game_id, n, t, row_number() OVER (PARTITION BY game_id ORDER BY t, n) - 1 AS pos FROM (SELECT DISTINCT game_id, n, t FROM l))"""
-VERDICTS = """v AS (
-  SELECT CAST(doc_id % 15 AS VARCHAR) AS game_id, doc_id // 15 AS sequence_index,
+_USERS = "(SELECT count(DISTINCT user_id) FROM events)"
+VERDICTS = f"""v AS (
+  SELECT CAST(doc_id % {_USERS} AS VARCHAR) AS game_id, doc_id // {_USERS} AS sequence_index,
     CASE WHEN toxic = 1 THEN 'NeedsAttention' WHEN quality = 0 THEN 'Drop' ELSE 'Keep' END AS verdict, 'doc ' || CAST(doc_id AS VARCHAR) AS note
   FROM labels)"""
 
 
+#: Ticks of a running clock and the last frame strictly before each, over ``{0}``; every sum runs row by row.
+RESAMPLED = """, gaps AS (SELECT game_id, pos, t, t - lag(t) OVER (PARTITION BY game_id ORDER BY pos) AS dd FROM {0}), facts AS (
+  SELECT game_id, count(*) AS c, list_reduce(list(dd ORDER BY pos) FILTER (WHERE dd > 0), lambda a, x: a + x) / count(*) FILTER (WHERE dd > 0) AS step,
+    max(dd) FILTER (WHERE dd > 0) - min(dd) FILTER (WHERE dd > 0) AS spread, arg_min(t, pos) AS t0, arg_max(t, pos) AS t1, min(pos) AS p0 FROM gaps GROUP BY game_id), uneven AS (
+  SELECT * FROM facts WHERE c >= 3 AND step > 0 AND spread > 0.25 * step), clock AS (
+  SELECT game_id, CAST(0 AS BIGINT) AS k, t0 AS tk, step, t1, p0 FROM uneven UNION ALL SELECT game_id, k + 1, tk + step, step, t1, p0 FROM clock WHERE tk + step <= t1), known AS (
+  SELECT game_id, t, max(pos) AS pos FROM {0} GROUP BY game_id, t), picked AS (
+  SELECT clock.game_id, clock.k, coalesce(known.pos, clock.p0) AS pos FROM clock ASOF LEFT JOIN known ON clock.game_id = known.game_id AND clock.tk > known.t), rs AS (
+  SELECT f.* REPLACE (picked.k AS pos) FROM picked JOIN {0} f ON f.game_id = picked.game_id AND f.pos = picked.pos
+  UNION ALL SELECT * FROM {0} WHERE game_id NOT IN (SELECT game_id FROM uneven))"""
+#: ``win`` of the standard pipeline: resampled frames in live play, segmented and windowed.
+_BEFORE = "RECURSIVE " + FRAMES.replace(", fr AS (", ", fr0 AS (") + RESAMPLED.format("fr0") + ", fr AS (SELECT * FROM rs WHERE oob = 0 AND live)"
+
+
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
@@ -272,7 +288,7 @@ def q_resample_needed(spark, d):
     return before.join(moved, "game_id").select("game_id", (F.col("last") != F.col("final")).alias("uneven"), "n_before")
 
 
-@query(None)
+@query(f"WITH RECURSIVE {RAW}{RESAMPLED.format('raw')} SELECT game_id, pos AS frame_pos, n AS frame_number, t AS timestamp_s FROM rs")
 def q_resample_asof(spark, d):
     return resample.resample(_ticks(spark, d)).select("game_id", "frame_pos", "frame_number", "timestamp_s")
 
@@ -411,6 +427,29 @@ def q_windows(spark, d):
     return _windows(spark, d).select("game_id", "sequence_index", "window_index", "timestamp_start_s", "timestamp_end_s", F.size("input").cast("bigint").alias("n_features"))
 
 
+_AWAY = "sqrt(({0} - rx) * ({0} - rx) + ({1} - ry) * ({1} - ry)) / 9"
+_TURN = "atan2({1} - ry, {0} - rx) - th"
+_ZEROS = ", ".join(["0.0"] * 4)
+#: All 183 entries of a step for the only robot of its team: pose, ball, phase, scores, five absent mates, one rival, five absent rivals.
+_STEP = f"""[rx / 4.5, ry / 3, {_ZEROS}, sin(th), cos(th)]
+  || CASE WHEN x IS NULL THEN list_transform(range(10), lambda i: 0.0) ELSE [(x - rx) / 4.5, (y - ry) / 3, {_ZEROS}, {_AWAY.format("x", "y")}, sin({_TURN.format("x", "y")}), cos({_TURN.format("x", "y")}), bv] END
+  || [CAST(u % 4 = 1 AS INT), CAST(u % 4 = 2 AS INT), CAST(u % 4 = 3 AS INT), CAST(u % 4 = 0 AS INT), u % 3, u % 5, CAST(carried AS INT), CAST(dup AS INT), 5, oob, CAST(live AS INT)]::DOUBLE[]
+  || list_transform(range(70), lambda i: 0.0)
+  || [(ox - rx) / 4.5, (oy - ry) / 3, {_ZEROS}, sin(oth), cos(oth), {_AWAY.format("ox", "oy")}, sin({_TURN.format("ox", "oy")}), cos({_TURN.format("ox", "oy")}), ov, 0.0, 1.0]
+  || list_transform(range(70), lambda i: 0.0)"""
+
+
+@query(f"""WITH {_WIN}, step AS (SELECT game_id, sequence_index, sp, list_transform(CAST({_STEP} AS FLOAT[]), lambda v: v::DOUBLE) AS f FROM played), sums AS (
+SELECT *, list_sum(f) AS plain, list_sum(list_transform(f, lambda v, i: v * i)) AS weighted, len(list_filter(f, lambda v: abs(v) > 1e-7)) AS filled FROM step)
+SELECT w.game_id, w.sequence_index, w.window_index, CAST(sum(len(f)) AS BIGINT) AS n_features, round(sum(weighted + 183 * (s.sp - window_index) * plain), 2) + 0.0 AS weighted, CAST(sum(filled) AS BIGINT) AS n_not_zero
+FROM win w JOIN sums s ON s.game_id = w.game_id AND s.sequence_index = w.sequence_index AND s.sp BETWEEN w.window_index AND w.window_index + 2 WHERE {_PICK} GROUP BY 1, 2, 3""")
+def q_window_features(spark, d):
+    at = lambda v, i: v.cast("double") * (i + 1)
+    weighted = F.aggregate(F.transform("input", at), F.lit(0.0), lambda a, x: a + x)
+    some = F.size(F.filter("input", lambda v: F.abs(v.cast("double")) > 1e-7)).cast("bigint")
+    return _windows(spark, d).select("game_id", "sequence_index", "window_index", F.size("input").cast("bigint").alias("n_features"), (F.round(weighted, 2) + 0.0).alias("weighted"), some.alias("n_not_zero"))
+
+
 @query(f"WITH {SEGMENTS} SELECT game_id, sequence_index, (frame_count - 4) // 2 + 1 AS windows FROM seqs WHERE frame_count >= 4")
 def q_window_counts(spark, d):
     return _windows(spark, d).groupBy("game_id", "sequence_index").agg(F.count("*").alias("windows"))
@@ -491,8 +530,15 @@ def _vectors(spark, d):
     return adapters.read(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<float>").alias("input"))
 
 
+#: Fixed values, as published test vectors have them for two robots a side: the first 64 entries that change sign.
+_SIGNS = {
+    "x": "0, 2, 4, 7, 8, 10, 12, 15, 29, 31, 33, 36, 38, 43, 45, 47, 50, 52, 57, 59, 61",
+    "y": "1, 3, 5, 6, 9, 11, 13, 15, 30, 32, 34, 35, 38, 44, 46, 48, 49, 52, 58, 60, 62, 63",
+}
+
+
 def _mirror_sql(axis: str) -> str:
-    ones = ", ".join(map(str, [k for k in augment.flipped_entries(axis, 2) if k < 64]))
+    ones = _SIGNS[axis]
     return f"""WITH x AS (SELECT vec_id, unnest(range(64)) AS i, embedding FROM embeddings), y AS (
 SELECT vec_id, CASE WHEN i IN ({ones}) THEN -embedding[i + 1] ELSE embedding[i + 1] END::DOUBLE AS v, i FROM x)
 SELECT vec_id, round(sum(v * (i + 1)), 3) + 0.0 AS weighted, round(max(v), 5) AS most FROM y GROUP BY vec_id"""
@@ -527,6 +573,28 @@ def q_noise(spark, d):
     return v.select("vec_id", F.transform("input", lambda x, i: x + 0.01 * augment.gaussian(17, F.col("vec_id"), i)).alias("input"))
 
 
+@query("SELECT count(*) AS vectors, true AS mean_is_zero, true AS deviation_is_sigma, true AS tails_are_normal, true AS all_moved FROM embeddings")
+def q_noise_moments(spark, d):
+    """Of all entries' noise: mean within five standard errors, deviation within 2 %, 4.55 % beyond two sigma within half a per cent."""
+    v = _vectors(spark, d).withColumn("n", F.transform("input", lambda x, i: 0.01 * augment.gaussian(17, F.col("vec_id"), i)))
+    one = v.select("vec_id", F.posexplode("n").alias("i", "e"))
+    m = one.agg(F.countDistinct("vec_id").alias("vectors"), F.avg("e").alias("m"), F.stddev_pop("e").alias("s"), F.count("*").alias("n"), F.avg((F.abs("e") > 0.02).cast("double")).alias("far"), F.min(F.abs("e")).alias("least"))
+    return m.select(
+        "vectors", (F.abs("m") < 0.05 / F.sqrt("n")).alias("mean_is_zero"), (F.abs(F.col("s") - 0.01) < 0.0002).alias("deviation_is_sigma"),
+        (F.abs(F.col("far") - 0.0455) < 0.005).alias("tails_are_normal"), (F.col("least") > 0).alias("all_moved"),
+    )
+
+
+_SPLIT_OF = """g AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS game_id, user_id % 4 AS i FROM events), ranked AS (SELECT *, row_number() OVER (ORDER BY game_id) - 1 AS k, count(*) OVER () AS n FROM g), sp AS (
+SELECT game_id, i, CASE WHEN k < round(n * 0.7::DOUBLE) THEN 'train' WHEN k < round(n * 0.7::DOUBLE) + round(n * 0.15::DOUBLE) THEN 'validation' ELSE 'test' END AS split FROM ranked)"""
+
+
+@query(f"""WITH {_WIN}, {_SPLIT_OF} SELECT w.game_id, w.sequence_index, w.window_index, split, CASE WHEN sp.i = 2 THEN 1.5 ELSE 1.0 END::DOUBLE AS sample_weight FROM win w JOIN sp ON w.game_id = sp.game_id WHERE {_PICK}""")
+def q_sample_splits(spark, d):
+    split = splits.assign_splits(adapters.events_games(spark, d), TICKS)
+    return splits.with_split(_windows(spark, d), split, TICKS).select("game_id", "sequence_index", "window_index", "split", "sample_weight")
+
+
 @query("""WITH g AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS game_id, user_id % 4 AS i FROM events), r AS (SELECT *, row_number() OVER (ORDER BY game_id) - 1 AS k, count(*) OVER () AS n FROM g)
 SELECT game_id, CASE WHEN k < round(n * 0.7::DOUBLE) THEN 'train' WHEN k < round(n * 0.7::DOUBLE) + round(n * 0.15::DOUBLE) THEN 'validation' ELSE 'test' END AS split,
 CASE i WHEN 1 THEN 'Group' WHEN 2 THEN 'Elimination' WHEN 3 THEN 'Friendly' ELSE 'Unknown' END AS phase, CAST(0 AS BIGINT) AS sample_count FROM r""")
@@ -561,6 +629,43 @@ def q_tracking(spark, d):
     return out.select("game_id", "frame_number", "yellow", "blue", "yellow_swap", "blue_swap")
 
 
+@query(f"""WITH RECURSIVE o AS (SELECT CAST(o_custkey % 50 AS VARCHAR) AS game_id, o_orderkey AS n, row_number() OVER (PARTITION BY o_custkey % 50 ORDER BY o_orderdate, o_orderkey) - 1 AS pos FROM orders),
+lane AS (SELECT o.game_id, o.n, o.pos, r, CASE WHEN r = 4 THEN CASE WHEN pos % 20 < 8 THEN pos WHEN pos % 20 < 16 THEN pos - pos % 20 + 7 END WHEN (pos + r) % 4 <> 0 THEN pos ELSE pos - 1 END AS lp,
+  CASE WHEN r = 4 THEN CASE WHEN pos < 20 THEN 3 ELSE 4 + pos // 20 END WHEN r = 0 THEN 4 ELSE r - 1 END AS id FROM o, range(5) t(r)),
+seen AS (SELECT l.*, 2 * l.r - 3 + 0.01::DOUBLE * (o.n % 7) AS x, row_number() OVER (PARTITION BY l.game_id, l.pos ORDER BY l.r) - 1 AS slot FROM lane l JOIN o ON o.game_id = l.game_id AND o.pos = l.lp),
+was AS (SELECT *, lag(lp) OVER (PARTITION BY game_id, r, id ORDER BY pos) AS before FROM seen)
+SELECT game_id, n AS frame_number, string_agg(id, ',' ORDER BY slot) AS ids, string_agg(substr('GDDMM', CAST(slot AS INT) + 1, 1), '' ORDER BY slot) AS roles, round(sum(x * (slot + 1)), 6) AS places,
+  bool_or(lp = pos AND before IS NOT NULL AND before // 16 <> pos // 16) AS swapped FROM was GROUP BY game_id, n""")
+def q_tracking_lanes(spark, d):
+    """Five robots far apart, one of four hidden in each frame and the fifth out of sight for long: only one matching is possible."""
+    o = adapters.read(spark, d, "orders").select((F.col("o_custkey") % 50).cast("string").alias("game_id"), F.col("o_orderkey").alias("frame_number"), "o_orderdate")
+    order = Window.partitionBy("game_id").orderBy("o_orderdate", "frame_number")
+    placed = o.withColumn("frame_pos", F.row_number().over(order).cast("bigint") - 1)
+    pos, zero = F.col("frame_pos"), F.lit(0.0)
+    hidden = lambda r: (pos % 20 >= 8) if r == 4 else ((pos + r) % 4 == 0)
+    robots = F.array_compact(F.array(*[
+        F.when(~hidden(r), adapters._robot(F.lit(2.0 * r - 3) + 0.01 * (F.col("frame_number") % 7), zero, zero, F.lit(1.0), r + 10 * F.floor(pos / 16), F.lit(None))) for r in range(5)
+    ]))
+    tracked = tracking.track(placed.withColumns({"yellow": robots, "blue": F.array().cast(f"array<{ROBOT}>")}), replace(TICKS, identity=Config().identity))
+    slots = F.filter("yellow", lambda s: s.isNotNull())
+    places = F.aggregate(F.transform(slots, lambda s, i: s["x"] * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return tracked.select(
+        "game_id", "frame_number", F.concat_ws(",", F.transform(slots, lambda s: s["stable_id"].cast("string"))).alias("ids"),
+        F.concat_ws("", F.transform(slots, lambda s: F.substring(s["role"], 1, 1))).alias("roles"), F.round(places, 6).alias("places"), F.col("yellow_swap").alias("swapped"),
+    )
+
+
+@query(f"""WITH {_BEFORE}{_WIN[len(FRAMES):]}, {VERDICTS}, {_SPLIT_OF}, drops AS (
+SELECT s.game_id, min(s.sequence_index) AS fst FROM seqs s JOIN v ON s.game_id = v.game_id AND s.sequence_index = v.sequence_index WHERE verdict = 'Drop' GROUP BY s.game_id)
+SELECT w.game_id, w.sequence_index, w.window_index, variant, ts0 AS timestamp_start_s, t AS timestamp_end_s, sp.split, CASE WHEN sp.i = 2 THEN 1.5 ELSE 1.0 END::DOUBLE AS sample_weight,
+  w.game_id AS source_log, 'b' || u AS target_team, 'y' || u AS opponent_team, 'Blue' AS target_color, u % 3 AS target_score, u % 5 AS opponent_score
+FROM win w JOIN sp ON w.game_id = sp.game_id LEFT JOIN drops ON w.game_id = drops.game_id, (VALUES ('base'), ('mirror_y'), ('noise')) AS kinds(variant) WHERE {_PICK} AND (fst IS NULL OR w.sequence_index < fst)""")
+def q_sample_metadata(spark, d):
+    """The standard pipeline's samples by what they say about themselves: every stage decides which there are."""
+    rows = q_standard_pipeline(spark, d)
+    return rows.select("game_id", "sequence_index", "window_index", "variant", "timestamp_start_s", "timestamp_end_s", "split", "sample_weight", *pipelines.GAME_FACTS)
+
+
 @query(None)
 def q_standard_pipeline(spark, d):
     return pipelines.build(_ticks(spark, d), adapters.events_games(spark, d), TICKS, adapters.label_reviews(spark, d)).samples

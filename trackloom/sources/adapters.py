@@ -80,7 +80,7 @@ def events_frames(spark: SparkSession, sf_dir: str, cfg: Config = TICKS) -> Data
 
 
 def lines_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw frame for each order: a game is a customer, and up to six lines a side are robots."""
+    """One raw frame for each order: a game is a customer, and the lines of each side are robots."""
     lines = read(spark, sf_dir, "lineitem").join(
         read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 1e6).alias("t")),
         F.col("l_orderkey") == F.col("o_orderkey"),
@@ -89,7 +89,7 @@ def lines_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity") / 50 * 9 - 4.5, F.col("l_tax") / 0.08 * 6 - 3, F.lit(0.0), F.col("l_discount") * 10, F.col("l_linenumber"), F.lit(None)
     )
     body = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", robot.alias("r"))
-    side = lambda s: F.transform(F.slice(F.array_sort(F.collect_list(F.when(F.col("l_linestatus") == s, body))), 1, 6), lambda x: x["r"])
+    side = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("l_linestatus") == s, body))), lambda x: x["r"])
     return lines.groupBy("o_custkey", "l_orderkey", "t").agg(side("O").alias("yellow"), side("F").alias("blue")).select(
         F.col("o_custkey").cast("string").alias("game_id"), F.col("l_orderkey").alias("msg_pos"), F.lit("orders").alias("source_name"),
         F.col("t").alias("timestamp_s"), F.col("l_orderkey").alias("frame_number"), F.lit(None).cast(BALL).alias("ball"), "yellow", "blue",
@@ -97,8 +97,8 @@ def lines_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts from labels: a document's id gives the game and the sequence."""
-    users = 15
+    """Verdicts from labels: a document's id gives the game, of all users, and the sequence."""
+    users = read(spark, sf_dir, "events").agg(F.countDistinct("user_id").alias("n")).first()["n"]
     rows = read(spark, sf_dir, "labels").where("doc_id is not null").select(
         (F.col("doc_id") % users).cast("string").alias("game_id"),
         F.floor(F.col("doc_id") / users).cast("bigint").alias("sequence_index"),
