@@ -83,13 +83,22 @@ def drop_spikes(frames: DataFrame, cfg: Config) -> DataFrame:
 def smooth_positions(frames: DataFrame, cfg: Config) -> DataFrame:
     """Median of x and y over the rows around, per slot and for the ball; edges and sparse slots stay."""
     half = cfg.clean.smoothing_window // 2
-    around = game().rowsBetween(-half, half)
+    steps = [k for k in range(-half, half + 1) if k]
+    beside = {f"_{c}_{k}": F.lag(c, -k).over(game()) for c in (*TEAMS, "ball") for k in steps}
     middle = F.lag(F.lit(True), half).over(game()).isNotNull() & F.lead(F.lit(True), half).over(game()).isNotNull() if half else F.lit(True)
 
-    def smooth(e: Column) -> Column:
-        enough = middle & e.isNotNull() & (F.count(e["x"]).over(around) >= 3)
-        med = lambda f: F.percentile(e[f], 0.5).over(around)
-        return F.when(enough, e.withField("x", med("x")).withField("y", med("y"))).otherwise(e)
-
-    slots = {c: F.array(*[smooth(F.get(c, F.lit(k))) for k in range(cfg.team_size)]) for c in TEAMS}
-    return frames.withColumns(slots | {"ball": smooth(F.col("ball"))})
+    def smooth(around: list[Column], e: Column) -> Column:
+        def median(f: str) -> Column:
+            known = F.array_sort(F.array_compact(F.array(*[r[f] for r in around])))
+            n = F.size(known)
+            return (F.get(known, F.floor((n - 1) / 2).cast("int")) + F.get(known, F.floor(n / 2).cast("int"))) / 2
+
+        seen = F.size(F.array_compact(F.array(*[r["x"] for r in around])))
+        return F.when(F.col("_middle") & e.isNotNull() & (seen >= 3), e.withField("x", median("x")).withField("y", median("y"))).otherwise(e)
+
+    held = frames.withColumns(beside | {"_middle": middle})
+    near = lambda c: [F.col(c), *[F.col(f"_{c}_{k}") for k in steps]]
+    slots = F.sequence(F.lit(0), F.lit(cfg.team_size - 1))
+    team = lambda c: F.transform(slots, lambda i: smooth([F.get(t, i) for t in near(c)], F.get(c, i)))
+    teams = {c: team(c) for c in TEAMS}
+    return held.withColumns(teams | {"ball": smooth(near("ball"), F.col("ball"))}).select(*frames.columns)

@@ -14,36 +14,28 @@ def resample(frames: DataFrame) -> DataFrame:
     The step is the mean of the positive steps, and ticks are summed up one by one from the
     first time, so that rounding matches a running clock.  Games of under three frames, without
     a positive step, or whose steps differ by at most a quarter of their mean stay as they are.
-    Frames keep their times; ``frame_pos`` is the tick.
+    Frames keep their times; ``frame_pos`` is the tick.  Frames are read once and shuffled by game.
     """
-    upto = game().rowsBetween(Window.unboundedPreceding, 0)
-    step = frames.withColumn("_d", F.col("timestamp_s") - F.lag("timestamp_s").over(game()))
+    upto, whole = game().rowsBetween(Window.unboundedPreceding, 0), game().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     up = F.when(F.col("_d") > 0, F.col("_d"))
-    summed = step.withColumns({"_run": F.sum(up).over(upto), "_up": up})
-    facts = summed.groupBy("game_id").agg(
-        F.count("*").alias("_n"), (F.max_by("_run", "frame_pos") / F.count("_up")).alias("_mean"), (F.max("_up") - F.min("_up")).alias("_spread"),
-        F.min_by("timestamp_s", "frame_pos").alias("_t0"), F.max_by("timestamp_s", "frame_pos").alias("_t1"), F.min("frame_pos").alias("_first"),
+    step = frames.withColumn("_d", F.col("timestamp_s") - F.lag("timestamp_s").over(game())).withColumn("_up", up)
+    facts = step.withColumn("_run", F.sum("_up").over(upto)).withColumns(
+        {
+            "_n": F.count("*").over(whole), "_mean": F.last("_run").over(whole) / F.count("_up").over(whole), "_spread": F.max("_up").over(whole) - F.min("_up").over(whole),
+            "_t0": F.first("timestamp_s").over(whole), "_t1": F.last("timestamp_s").over(whole), "_first": F.first("frame_pos").over(whole),
+        }
     )
-    uneven = (F.col("_n") >= 3) & (F.col("_mean") > 0) & (F.col("_spread") > 0.25 * F.col("_mean"))
-    facts = facts.withColumn("_uneven", F.coalesce(uneven, F.lit(False)))
-    steady = frames.join(facts.where("not _uneven").select("game_id"), "game_id", "left_semi")
-    moving = facts.where("_uneven")
-    ticks = moving.select("game_id", "_mean", "_t0", "_t1", "_first", F.explode(F.sequence(F.lit(0), F.ceil((F.col("_t1") - F.col("_t0")) / F.col("_mean")) + 2)).alias("_k"))
+    uneven = F.coalesce((F.col("_n") >= 3) & (F.col("_mean") > 0) & (F.col("_spread") > 0.25 * F.col("_mean")), F.lit(False))
+    # Frame rows have tick -1; a game's first row also brings the ticks of its clock.
+    most = F.when(uneven & (F.col("frame_pos") == F.col("_first")), F.ceil((F.col("_t1") - F.col("_t0")) / F.col("_mean")).cast("int") + 2).otherwise(-1)
+    body = F.struct(*frames.columns)
+    rows = facts.select("game_id", "_mean", "_t0", "_t1", uneven.alias("_uneven"), F.explode(F.sequence(F.lit(-1), most)).alias("_k"), body.alias("_f"))
+    tick = F.col("_k") >= 0
     clock = F.sum(F.when(F.col("_k") == 0, F.col("_t0")).otherwise(F.col("_mean"))).over(
-        Window.partitionBy("game_id").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("game_id", tick).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
     )
-    grid = ticks.withColumn("_t", clock).where("_t <= _t1").select(
-        "game_id", "_t", F.lit(0).alias("_o"), F.col("_k").cast("bigint").alias("_k"), F.lit(None).cast("bigint").alias("_p"), "_first"
-    )
-    known = frames.join(moving.select("game_id", "_first"), "game_id").select(
-        "game_id", F.col("timestamp_s").alias("_t"), F.lit(1).alias("_o"), F.lit(None).cast("bigint").alias("_k"), F.col("frame_pos").alias("_p"), "_first"
-    )
-    order = Window.partitionBy("game_id").orderBy("_t", "_o", "_p").rowsBetween(Window.unboundedPreceding, 0)
-    picked = (
-        grid.unionByName(known)
-        .withColumn("_last", F.coalesce(F.last("_p", ignorenulls=True).over(order), "_first"))
-        .where("_o = 0")
-        .select("game_id", "_k", F.col("_last").alias("frame_pos"))
-    )
-    out = picked.join(frames, ["game_id", "frame_pos"]).withColumn("frame_pos", F.col("_k")).select(*frames.columns)
-    return steady.select(*frames.columns).unionByName(out)
+    timed = rows.withColumn("_t", F.when(tick, clock).otherwise(F.col("_f.timestamp_s"))).where(~tick | (F.col("_t") <= F.col("_t1")))
+    order = Window.partitionBy("game_id").orderBy("_t", F.when(tick, 0).otherwise(1), "_f.frame_pos", "_k").rowsBetween(Window.unboundedPreceding, 0)
+    held = F.coalesce(F.last(F.when(~tick, F.col("_f")), ignorenulls=True).over(order), F.col("_f"))
+    picked = timed.withColumn("_f", F.when(tick, held).otherwise(F.col("_f"))).where(tick | ~F.col("_uneven"))
+    return picked.select(*[F.when(tick, F.col("_k").cast("bigint")).otherwise(F.col("_f.frame_pos")).alias(c) if c == "frame_pos" else F.col(f"_f.{c}").alias(c) for c in frames.columns])

@@ -1,6 +1,6 @@
 """Training samples: sliding windows, ego-centred features, targets and occupancy grids.
 
-Features of a frame are computed once for each ego and gathered over windows afterwards.
+Features of a frame are computed once for each ego; windows are cut from a sequence's array of them.
 """
 
 from __future__ import annotations
@@ -68,10 +68,11 @@ def score_features() -> list[Column]:
     ]
 
 
-def step_features(cfg: Config) -> Column:
-    """The features of one frame for the ego in ``ego_slot``; all zero if it isn't there."""
-    ego = F.get("target_team", F.col("ego_slot"))
-    mates = F.filter(F.transform(F.sequence(F.lit(0), F.lit(cfg.team_size - 1)), lambda i: F.struct(i.alias("i"), F.get("target_team", i).alias("r"))), lambda s: s["i"] != F.col("ego_slot"))
+def step_features(cfg: Config, slot: Column | None = None) -> Column:
+    """The features of one frame for the ego in ``slot`` (``ego_slot`` by default); all zero if it isn't there."""
+    slot = F.col("ego_slot") if slot is None else slot
+    ego = F.get("target_team", slot)
+    mates = F.filter(F.transform(F.sequence(F.lit(0), F.lit(cfg.team_size - 1)), lambda i: F.struct(i.alias("i"), F.get("target_team", i).alias("r"))), lambda s: s["i"] != slot)
     rivals = F.transform(F.sequence(F.lit(0), F.lit(cfg.team_size - 1)), lambda i: F.get("opponent_team", i))
     around = F.flatten(F.concat(F.transform(mates, lambda s: robot_features(ego, s["r"], cfg)), F.transform(rivals, lambda r: robot_features(ego, r, cfg))))
     whole = F.concat(F.array(*pose(ego, cfg)), ball_features(ego, F.col("ball"), cfg), one_hot_phase(F.col("phase")), F.array(*score_features()), around)
@@ -86,30 +87,35 @@ def windows(frames: DataFrame, cfg: Config) -> DataFrame:
     Sequences of at most L frames give none.
     """
     size, stride = cfg.window.length, cfg.window.stride
-    egos = frames.withColumn("ego_slot", F.explode(F.sequence(F.lit(0), F.lit(cfg.team_size - 1))))
-    mine = F.get("target_team", F.col("ego_slot"))
-    coded = egos.select(
-        "game_id", "phase", "sequence_index", "stretch_index", "ego_slot", "seq_pos", "timestamp_s", "sequence_kind", "quality_score", "warnings",
-        step_features(cfg).cast("array<float>").alias("step"), F.struct(mine["x"].alias("x"), mine["y"].alias("y"), mine["theta"].alias("theta"), mine["role"].alias("role")).alias("ego"),
-        mine.isNotNull().alias("here"),
-    )
-    track = Window.partitionBy("game_id", "sequence_index", "stretch_index", "ego_slot").orderBy("seq_pos")
-    held = track.rowsBetween(-(size - 1), 0)
-    nxt = F.lead("ego").over(track)
-    built = coded.withColumns(
-        {
-            "_steps": F.collect_list("step").over(held), "_next": nxt, "_next_here": F.lead("here").over(track),
-            "timestamp_start_s": F.first("timestamp_s").over(held), "timestamp_end_s": F.col("timestamp_s"),
-        }
-    )
-    at = F.col("seq_pos") - (size - 1)
-    picked = built.where((at >= 0) & (at % stride == 0) & F.col("here") & F.col("_next_here"))
-    e, n = F.col("ego"), F.col("_next")
-    target = F.array(n["x"] - e["x"], n["y"] - e["y"], wrap_angle(n["theta"] - e["theta"])).cast("array<float>")
-    return picked.select(
-        "game_id", "phase", "sequence_index", "stretch_index", at.alias("window_index"), "ego_slot", e["role"].alias("role_label"),
-        F.flatten("_steps").alias("input"), target.alias("target"), sample_weight(F.col("phase"), cfg).alias("sample_weight"), "sequence_kind",
-        "timestamp_start_s", "timestamp_end_s", F.col("warnings").alias("quality_flags"), "quality_score",
+    keys = ("game_id", "phase", "sequence_index", "stretch_index")
+    slots = F.sequence(F.lit(0), F.lit(cfg.team_size - 1))
+
+    def seen(slot: Column) -> Column:
+        r = F.get("target_team", slot)
+        ego = F.when(r.isNotNull(), F.struct(r["x"].alias("x"), r["y"].alias("y"), r["theta"].alias("theta"), r["role"].alias("role")))
+        return F.struct(ego.alias("ego"), step_features(cfg, slot).cast("array<float>").alias("step"))
+
+    coded = frames.select(*keys, "sequence_kind", "quality_score", "warnings", F.struct("seq_pos", "timestamp_s", F.transform(slots, seen).alias("egos")).alias("_f"))
+    # A sequence has a bounded number of frames: it is put in order as one array and cut to windows there.
+    whole = coded.groupBy(*keys).agg(F.first("sequence_kind").alias("sequence_kind"), F.first("quality_score").alias("quality_score"), F.first("warnings").alias("warnings"), F.array_sort(F.collect_list("_f")).alias("_f"))
+    last = F.floor((F.size("_f") - size - 1) / stride).cast("int")
+
+    def cut(at: Column, slot: Column) -> Column:
+        held = F.slice("_f", at + 1, size)
+        now, nxt = F.get(F.get("_f", at + (size - 1))["egos"], slot)["ego"], F.get(F.get("_f", at + size)["egos"], slot)["ego"]
+        target = F.array(nxt["x"] - now["x"], nxt["y"] - now["y"], wrap_angle(nxt["theta"] - now["theta"])).cast("array<float>")
+        made = F.struct(
+            at.cast("bigint").alias("window_index"), slot.alias("ego_slot"), now["role"].alias("role_label"),
+            F.flatten(F.transform(held, lambda f: F.get(f["egos"], slot)["step"])).alias("input"), target.alias("target"),
+            F.get("_f", at)["timestamp_s"].alias("timestamp_start_s"), F.get("_f", at + (size - 1))["timestamp_s"].alias("timestamp_end_s"),
+        )
+        return F.when(now.isNotNull() & nxt.isNotNull(), made)
+
+    windowed = F.flatten(F.transform(F.sequence(F.lit(0), last), lambda k: F.transform(slots, lambda slot: cut((k * stride).cast("int"), slot))))
+    made = whole.where(F.size("_f") > size).select(*keys, "sequence_kind", "quality_score", "warnings", F.explode(windowed).alias("_w")).where("_w is not null")
+    return made.select(
+        "game_id", "phase", "sequence_index", "stretch_index", "_w.window_index", "_w.ego_slot", "_w.role_label", "_w.input", "_w.target",
+        sample_weight(F.col("phase"), cfg).alias("sample_weight"), "sequence_kind", "_w.timestamp_start_s", "_w.timestamp_end_s", F.col("warnings").alias("quality_flags"), "quality_score",
     )
 
 
@@ -125,8 +131,7 @@ def cell(x: Column, half: float, cells: int) -> Column:
 def occupancy(frames: DataFrame, cfg: Config) -> DataFrame:
     """``game_id, sequence_index, stretch_index, window_index, grid``: three planes, the newest frame brightest.
 
-    Present objects are exploded to cells and combined by their largest intensity before the
-    planes are filled in.
+    Each window's lit cells are put in order, and the planes are written out around them.
     """
     size, stride = cfg.window.length, cfg.window.stride
     w, h = cfg.grid_width, cfg.grid_height
@@ -140,9 +145,15 @@ def occupancy(frames: DataFrame, cfg: Config) -> DataFrame:
     at = F.col("seq_pos") - (size - 1)
     kept = gathered.where((at >= 0) & (at % stride == 0) & F.col("_next").isNotNull()).withColumn("window_index", at)
     keys = ["game_id", "sequence_index", "stretch_index", "window_index"]
-    lit = kept.select(*keys, F.posexplode("_w").alias("_i", "_c")).select(*keys, F.explode("_c").alias("cell"), ((F.col("_i") + 1) / F.lit(float(size))).alias("v"))
-    best = lit.groupBy(*keys, "cell").agg(F.max("v").alias("v"))
-    planes = best.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("cell", "v"))).alias("_m"))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(3 * plane - 1)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0)))
-    empty = zeros(3 * plane)
-    return kept.select(*keys).join(planes, keys, "left").select(*keys, F.coalesce(filled, empty).cast("array<float>").alias("grid"))
+    # From the newest frame back, each frame adds the cells that no newer one has lit.
+    bright = lambda c, n: F.transform(c, lambda x: F.struct(x.alias("cell"), (n / F.lit(float(size))).alias("v")))
+    none = F.struct(F.array().cast("array<int>").alias("seen"), F.array().cast("array<struct<cell:int,v:double>>").alias("lit"), F.lit(size).alias("n"))
+    step = lambda a, c: F.struct(
+        F.array_union(a["seen"], c).alias("seen"), F.concat(a["lit"], bright(F.array_except(c, a["seen"]), a["n"])).alias("lit"), (a["n"] - 1).alias("n")
+    )
+    lit = kept.select(*keys, F.array_sort(F.aggregate(F.reverse("_w"), none, step, lambda a: a["lit"])).alias("_l"))
+    gap = lambda to, since: F.array_repeat(F.lit(0.0), to - since - 1)
+    before = lambda i: F.coalesce(F.get("_l", i - 1)["cell"], F.lit(-1))
+    parts = F.flatten(F.transform("_l", lambda x, i: F.concat(gap(x["cell"], before(i)), F.array(x["v"]))))
+    rest = gap(F.lit(3 * plane), before(F.size("_l")))
+    return lit.select(*keys, F.concat(parts, rest).cast("array<float>").alias("grid"))
