@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
+
 from trackloom.llm import pii
 
 PATTERNS = {
@@ -85,6 +87,44 @@ def test_dynamic_program_is_optimal(spark):
         assert abs(score - best(text, toks, 0)) < 1e-9
 
 
+def test_gradient_against_all_segmentations():
+    """The likelihood's slope, by enumerating every segmentation of a short stretch."""
+    text, gold = "a +1 555 b", [(2, 8, "phone")]
+    field = pii.Field()
+    toks = pii.tokens(text, 0, len(text))
+    grid = field.lattice(text, toks, grow=True)
+    segments = [(i, j, rows) for j, here in enumerate(grid) for i, rows in here]
+    want = next(k for k, (i, j, _) in enumerate(segments) if (toks[i][0], toks[j][1]) == gold[0][:2])
+    case = pii.Case(grid, [(want, pii.TYPES.index("phone"))])
+    w = np.random.default_rng(1).normal(0, 1, (len(field.index), len(pii.TYPES)))
+
+    def all_from(at):
+        if at == len(toks):
+            yield 0.0, ()
+            return
+        for score, found in all_from(at + 1):
+            yield score, found
+        for k, (i, j, rows) in enumerate(segments):
+            if i == at:
+                for t, x in enumerate(w[rows].sum(axis=0)):
+                    for score, found in all_from(j + 1):
+                        yield x + score, ((k, t), *found)
+
+    def loss():
+        every = list(all_from(0))
+        told = next(x for x, found in every if found == ((want, pii.TYPES.index("phone")),))
+        return np.logaddexp.reduce([x for x, _ in every]) - told
+
+    g = case.gradient(w, 0.0)
+    for r, c in [(0, 0), (1, 3), (len(case.rows) - 1, 2), (3, 3), (5, 1)]:
+        old, e = w[case.rows[r], c], 1e-5
+        w[case.rows[r], c] = old + e
+        up = loss()
+        w[case.rows[r], c] = old - e
+        assert abs((up - loss()) / (2 * e) - g[r, c]) < 1e-5
+        w[case.rows[r], c] = old
+
+
 def test_redaction_and_odd_rows(odd):
     model = pii.train_on(odd)
     out = pii.redact(odd, model)

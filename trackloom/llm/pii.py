@@ -188,15 +188,21 @@ class Field:
         return out[::-1]
 
     def fit(self, examples: list[tuple[str, list[Span]]], epochs: int = 6, rate: float = 0.2, decay: float = 1e-3, seed: int = 3) -> Field:
-        """Adagrad on the conditional log-likelihood; expectations by forward and backward sums."""
-        cases = []
+        """Adagrad on the conditional log-likelihood; expectations by forward and backward sums.
+
+        Examples whose spans no candidate segments can be are left out, and counted in ``unreachable``.
+        """
+        cases, self.unreachable = [], 0
         for text, gold in examples:
             toks = tokens(text, 0, len(text))
             begins, ends = {s: k for k, (s, _) in enumerate(toks)}, {e: k for k, (_, e) in enumerate(toks)}
             grid = self.lattice(text, toks, grow=True)
-            want = {(begins[s], ends[e]): TYPES.index(t) for s, e, t in gold if s in begins and e in ends}
-            if len(want) == len(gold) and all(any(i == a for a, _ in grid[j]) for i, j in want):
-                cases.append((grid, want))
+            place = {(i, j): k for k, (i, j) in enumerate((i, j) for j, here in enumerate(grid) for i, _ in here)}
+            want = [(place.get((begins.get(s), ends.get(e))), TYPES.index(t)) for s, e, t in gold]
+            if any(k is None for k, _ in want):
+                self.unreachable += 1
+            elif place:
+                cases.append(Case(grid, want))
         self.w = np.zeros((len(self.index), len(TYPES)))
         if "bias" in self.index:
             self.w[self.index["bias"]] = -2.0  # what was never seen is no span
@@ -204,31 +210,48 @@ class Field:
         order = np.random.default_rng(seed)
         for _ in range(epochs):
             for k in order.permutation(len(cases)):
-                grid, want = cases[k]
-                n = len(grid)
-                scores = [[self.w[rows].sum(axis=0) for _, rows in here] for here in grid]
-                f, b = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
-                f[0] = b[n] = 0.0
-                for j in range(n):
-                    f[j + 1] = np.logaddexp.reduce([f[j] + self.off, *(f[i] + np.logaddexp.reduce(s) for (i, _), s in zip(grid[j], scores[j]))])
-                for j in range(n - 1, -1, -1):
-                    b[j] = np.logaddexp(b[j], b[j + 1] + self.off)
-                    for (i, _), s in zip(grid[j], scores[j]):
-                        b[i] = np.logaddexp(b[i], b[j + 1] + np.logaddexp.reduce(s))
-                for j in range(n):
-                    for (i, rows), s in zip(grid[j], scores[j]):
-                        g = np.exp(f[i] + s + b[j + 1] - f[n])
-                        t = want.get((i, j))
-                        if t is not None:
-                            g[t] -= 1
-                        elif g.max() < 1e-4:
-                            continue
-                        g = g + decay * self.w[rows]
-                        gain[rows] += g * g
-                        self.w[rows] -= rate * g / np.sqrt(gain[rows])
+                c = cases[k]
+                g = c.gradient(self.w, self.off) + decay * self.w[c.rows]
+                gain[c.rows] += g * g
+                self.w[c.rows] -= rate * g / np.sqrt(gain[c.rows])
         return self
 
 
+class Case:
+    """One training stretch: its candidate segments in order of their ends, and their features as one array."""
+
+    def __init__(self, grid: list[list[tuple[int, list[int]]]], want: list[tuple[int, int]]):
+        segments = [(i, j, rows) for j, here in enumerate(grid) for i, rows in here]
+        self.n = len(grid)
+        self.begin, self.end = (np.array([x[c] for x in segments]) for c in (0, 1))
+        self.cuts = np.searchsorted(self.end, np.arange(self.n + 1))
+        self.sizes = np.array([len(x[2]) for x in segments])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.rows, self.of = np.unique(np.concatenate([x[2] for x in segments]), return_inverse=True)
+        self.want = want
+
+    def gradient(self, w: np.ndarray, off: float) -> np.ndarray:
+        """Of the negative log-likelihood, for the weights of ``rows``."""
+        scores = np.add.reduceat(w[self.rows][self.of], self.starts, axis=0)
+        total = np.logaddexp.reduce(scores, axis=1)
+        f, b = np.full(self.n + 1, -np.inf), np.full(self.n + 1, -np.inf)
+        f[0] = b[self.n] = 0.0
+        for j in range(self.n):
+            here = slice(self.cuts[j], self.cuts[j + 1])
+            f[j + 1] = np.logaddexp.reduce(np.append(f[self.begin[here]] + total[here], f[j] + off))
+        for j in range(self.n - 1, -1, -1):
+            here = slice(self.cuts[j], self.cuts[j + 1])
+            b[j] = np.logaddexp(b[j], b[j + 1] + off)
+            at = self.begin[here]
+            b[at] = np.logaddexp(b[at], b[j + 1] + total[here])
+        g = np.exp((f[self.begin] + b[self.end + 1] - f[self.n])[:, None] + scores)
+        for k, t in self.want:
+            g[k, t] -= 1
+        out = np.zeros((len(self.rows), w.shape[1]))
+        np.add.at(out, self.of, np.repeat(g, self.sizes, axis=0))
+        return out
+
+
 def teach(text: str) -> list[Span]:
     """Training spans of a stretch: the patterns', and long mixed keys; longer spans win overlaps."""
     found = base_spans(text) + [(*m.span(), "secret") for m in _SECRET.finditer(text)]
