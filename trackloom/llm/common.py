@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,26 +15,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
+    """The folder that driver and executors share: a cluster has to name it, one machine gets a temporary one."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.conf.get("trackloom.scratch.dir", None)
         if not found:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
             found = "file://" + tempfile.mkdtemp(prefix="trackloom-")
             spark.conf.set("trackloom.scratch.dir", found)
     return found.rstrip("/")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def scratch_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/trackloom-{what}-{uuid.uuid4().hex}"
+    """A new folder's path in the shared folder; it is deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/trackloom-{what}-{uuid.uuid4().hex}"
+    system, p = _hadoop(spark, path)
+    system.mkdirs(p)
+    system.deleteOnExit(p)
+    return path
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, what)
     schema = df.schema
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    df.write.mode("append").parquet(path)
+    out = df.sparkSession.read.schema(schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``materialize`` wrote, once nothing that is still to be computed reads it."""
+    for df in frames:
+        system, p = _hadoop(df.sparkSession, df._scratch)
+        system.delete(p, True)
 
 
 def partitions(spark: SparkSession) -> int:

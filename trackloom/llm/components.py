@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -44,7 +44,8 @@ def connected_components(links: DataFrame, left: str, right: str) -> DataFrame:
         mark = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if tuple(mark) == seen or mark[0] == 0:
             break
-        seen = tuple(mark)
-        edges = materialize(_stars(_stars(edges, True), False), "edges")
+        seen, old = tuple(mark), edges
+        edges = materialize(_stars(_stars(old, True), False), "edges")
+        discard(old)
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())

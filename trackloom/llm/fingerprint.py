@@ -57,7 +57,12 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return src.mapInArrow(work, "doc_id long, fingerprint string, check string")
 
 
-def crowded(hashes: DataFrame, bits: int = 1 << 22) -> list[int]:
+def bits_for(rows: int) -> int:
+    """Bits for a bitmap of that many rows: twice as many, up to 2 ** 25."""
+    return 1 << max(12, min(25, (2 * rows).bit_length()))
+
+
+def crowded(hashes: DataFrame, bits: int) -> list[int]:
     """A bitmap of ``bits`` bits with the fingerprints that occur more than once.
 
     Built from combined partial counts; at most ``bits / 64`` words reach the driver, whatever
@@ -73,7 +78,7 @@ def crowded(hashes: DataFrame, bits: int = 1 << 22) -> list[int]:
     return out
 
 
-def verified(df: DataFrame, hashes: DataFrame, id_col: str = "doc_id", text_col: str = "text", hex_digits: int = 32, bits: int = 1 << 22) -> DataFrame:
+def verified(df: DataFrame, hashes: DataFrame, id_col: str = "doc_id", text_col: str = "text", hex_digits: int = 32, bits: int | None = None) -> DataFrame:
     """``fingerprint, check, class_id`` for the fingerprints that several rows share.
 
     The canonical bytes of these rows, and of no others but a few that the bitmap can't tell,
@@ -81,6 +86,7 @@ def verified(df: DataFrame, hashes: DataFrame, id_col: str = "doc_id", text_col:
     combines equal rows before it shuffles, so that a group with a third of the rows sends one
     row for each task.
     """
+    bits = bits or bits_for(hashes.count())
     sent = df.sparkSession.sparkContext.broadcast(crowded(hashes, bits))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +118,7 @@ def with_class(rows: DataFrame, found: DataFrame) -> DataFrame:
     ).drop("_shared")
 
 
-def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hex_digits: int = 32, bits: int = 1 << 22) -> DataFrame:
+def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hex_digits: int = 32, bits: int | None = None) -> DataFrame:
     """``doc_id, fingerprint, class_id`` for every row: equal canonical bytes share a class.
 
     ``class_id`` is the smallest id of the class; null ids are passed over, and a class of null

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import bitmap, materialize, may_hold, numbered, partitions
+from .common import bitmap, discard, materialize, may_hold, numbered, partitions
 from .components import connected_components
 
 TABLES, ROWS = 24, 4
@@ -218,7 +218,9 @@ def similar_links(src: DataFrame, size: int = 5, similarity: float = 0.8, block:
     pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     have = materialize(_shingles(src, pairs, size), "shingles")
     links = materialize(_verified(pairs, have, similarity), "links")
-    links = links.union(materialize(_missing_links(buckets, links, have, similarity, block), "more-links"))
+    more = materialize(_missing_links(buckets, links, have, similarity, block), "more-links")
+    discard(pairs, have, buckets)
+    links = links.union(more)
     return rows.select("n", "node").join(nodes.select("node", "id"), "node").select("n", "id"), links
 
 

@@ -121,7 +121,7 @@ def write_archives(records: DataFrame, path: str, archive_bytes: int = 32_000_00
     archives = records.select(record_text().alias("value")).mapInArrow(pack, "value binary")
     (
         archives.select(F.col("value").cast("string").alias("value"))
-        .write.option("lineSep", EMPTY_MEMBER.decode("latin-1"))
+        .write.mode("append").option("lineSep", EMPTY_MEMBER.decode("latin-1"))
         .option("encoding", "ISO-8859-1")
         .option("compression", "none")
         .option("maxRecordsPerFile", 1)
