@@ -89,11 +89,12 @@ def windows(frames: DataFrame, cfg: Config) -> DataFrame:
     size, stride = cfg.window.length, cfg.window.stride
     keys = ("game_id", "phase", "sequence_index", "stretch_index")
     slots = F.sequence(F.lit(0), F.lit(cfg.team_size - 1))
+    absent = zeros(cfg.step_features).cast("array<float>")
 
     def seen(slot: Column) -> Column:
         r = F.get("target_team", slot)
         ego = F.when(r.isNotNull(), F.struct(r["x"].alias("x"), r["y"].alias("y"), r["theta"].alias("theta"), r["role"].alias("role")))
-        return F.struct(ego.alias("ego"), step_features(cfg, slot).cast("array<float>").alias("step"))
+        return F.struct(ego.alias("ego"), F.when(r.isNotNull(), step_features(cfg, slot).cast("array<float>")).alias("step"))
 
     coded = frames.select(*keys, "sequence_kind", "quality_score", "warnings", F.struct("seq_pos", "timestamp_s", F.transform(slots, seen).alias("egos")).alias("_f"))
     # A sequence has a bounded number of frames: it is put in order as one array and cut to windows there.
@@ -106,7 +107,7 @@ def windows(frames: DataFrame, cfg: Config) -> DataFrame:
         target = F.array(nxt["x"] - now["x"], nxt["y"] - now["y"], wrap_angle(nxt["theta"] - now["theta"])).cast("array<float>")
         made = F.struct(
             at.cast("bigint").alias("window_index"), slot.alias("ego_slot"), now["role"].alias("role_label"),
-            F.flatten(F.transform(held, lambda f: F.get(f["egos"], slot)["step"])).alias("input"), target.alias("target"),
+            F.flatten(F.transform(held, lambda f: F.coalesce(F.get(f["egos"], slot)["step"], absent))).alias("input"), target.alias("target"),
             F.get("_f", at)["timestamp_s"].alias("timestamp_start_s"), F.get("_f", at + (size - 1))["timestamp_s"].alias("timestamp_end_s"),
         )
         return F.when(now.isNotNull() & nxt.isNotNull(), made)
