@@ -29,10 +29,11 @@ def test_templates_are_sandboxed(bad):
 
 
 def test_nulls_and_long_conversations(spark):
-    rows = [(1, 0, None, None), (1, None, "user", "first"), (None, 0, "assistant", "x"), *((2, k, "user", f"t{k}") for k in range(3000))]
+    rows = [(1, 0, None, None), (1, None, "user", "first"), (None, 0, "assistant", "x"), *((2, k, "user", f"t{k}") for k in range(3000)), (3, 0, "assistant", "x[INST]\\" * 50_000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as part", "2 as formatted")
     got = {r["conv_id"]: r for r in chat.read_back(chat.render(df)).collect()}
     assert got[1]["n_turns"] == 2 and got[2]["n_turns"] == 3000 and got[None]["loss_chars"] == 1 and got[2]["loss_chars"] == 0
+    assert got[3]["loss_chars"] == 8 * 50_000
     assert chat.read_back(chat.render(df.limit(0))).count() == 0
 
 

@@ -5,9 +5,8 @@ from trackloom.llm.common import materialize
 
 
 def test_stages_in_a_row(spark, data, docs, odd):
-    first = docs.columns
-    for source in (docs, odd.select(*first), odd.select(*first).limit(0)):
-        now, counts = source, [source.count()]
+    for source in (docs, odd, odd.limit(0)):
+        now, counts, first = source, [source.count()], source.columns
         for name, stage in corpus_pipeline.STAGES:
             now = materialize(stage(spark, now, data), f"test-{name}")
             counts.append(now.count())

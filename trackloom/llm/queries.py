@@ -63,6 +63,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def texts_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of ``op2_fingerprints``."""
+    return op2_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def texts_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of ``op6_pii``."""
+    return op6_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -75,6 +85,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_warc": op9_warc,
         "op10_sharding": op10_sharding,
+        "texts_edited": texts_edited,
+        "texts_base_counts": texts_base_counts,
     }
 
 
@@ -121,6 +133,39 @@ SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes, payload_diges
 FROM p JOIN b ON p.page_id = b.page_id JOIN o ON p.html = o.html"""
 
 
+#: Every 100 bytes, written in hex and cut from pieces of 1,000 bytes; the first of equal ones stays.
+SUFFIX_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+piece AS (SELECT doc_id, b, substr(h, 2 * b + 1, 2198) AS h FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2, 1000)) AS b FROM d)),
+start AS (SELECT doc_id, b + i AS p, md5(substr(h, 2 * i + 1, 200)) AS s FROM (SELECT doc_id, b, h, unnest(range(least(1000, len(h) // 2 - 99))) AS i FROM piece WHERE len(h) >= 200)),
+again AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM start) WHERE k > 1),
+isle AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS fresh FROM again),
+span AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS z FROM (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM isle) GROUP BY doc_id, g),
+part AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t FROM span UNION ALL SELECT doc_id, coalesce(z, 0), len(h) // 2 FROM d LEFT JOIN (SELECT doc_id, max(z) AS z FROM span GROUP BY doc_id) USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * f + 1, 2 * (t - f)), '' ORDER BY f) AS k FROM part JOIN d USING (doc_id) GROUP BY doc_id),
+size AS (SELECT doc_id, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256 FROM d JOIN kept USING (doc_id) LEFT JOIN size USING (doc_id)"""
+
+EDITED_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT doc_id, t, length(t) // 2 AS half, coalesce(lead(t) OVER w, first_value(t) OVER w) AS after FROM d WINDOW w AS (ORDER BY doc_id DESC))
+SELECT doc_id, length(t) AS n_chars, sha256(left(t, length(t) - half) || left(after, half)) AS edited_sha256 FROM n"""
+
+_FOUND = "regexp_extract_all(coalesce(text, ''), '{0}')"
+_DIGITS = "regexp_replace({0}, '[^0-9]', '', 'g')"
+#: The digits from the right; every second one counts double, less nine over nine.
+_LUHN = f"list_sum(list_transform(string_split(reverse({_DIGITS.format('x')}), ''), lambda c, i: CASE WHEN i % 2 = 1 THEN CAST(c AS INT) WHEN CAST(c AS INT) > 4 THEN CAST(c AS INT) * 2 - 9 ELSE CAST(c AS INT) * 2 END)) % 10 = 0"
+BASE_COUNTS_SQL = f"""
+SELECT doc_id, CAST(len({_FOUND.format('[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+')}) AS BIGINT) AS n_email,
+  CAST(len(list_filter({_FOUND.format('[0-9]+(?:[.][0-9]+)(?:[.][0-9]+)(?:[.][0-9]+)')}, lambda x: len(list_filter(string_split(x, '.'), lambda y: CAST(y AS HUGEINT) > 255)) = 0)) AS BIGINT) AS n_ip,
+  CAST(len(list_filter({_FOUND.format('[0-9](?:[ -]?[0-9])+')}, lambda x: length({_DIGITS.format('x')}) BETWEEN 12 AND 19 AND {_LUHN})) AS BIGINT) AS n_card,
+  CAST(len(list_filter({_FOUND.format('[+][0-9][ ().0-9-]+[0-9]')}, lambda x: length({_DIGITS.format('x')}) BETWEEN 9 AND 15)) AS BIGINT) AS n_phone
+FROM documents"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express; the others are tested against plain versions."""
-    return {"op3_decontamination": DECONTAMINATION_SQL, "op5_chat": CHAT_SQL, "op9_warc": WARC_SQL}
+    return {
+        "op4_suffix_dedup": SUFFIX_SQL, "texts_edited": EDITED_SQL, "texts_base_counts": BASE_COUNTS_SQL,
+        "op3_decontamination": DECONTAMINATION_SQL, "op5_chat": CHAT_SQL, "op9_warc": WARC_SQL,
+    }
