@@ -19,7 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8."""
+    """One document of each group of near copies: SimHash and MinHash candidates, five-word shingles, similarity 0.8."""
     return neardup.drop_near_duplicates(docs)
 
 
