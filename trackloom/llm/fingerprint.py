@@ -112,7 +112,12 @@ def verified(df: DataFrame, hashes: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def with_class(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Add ``class_id``; a fingerprint that occurs once is a class of its own."""
+    """Add ``class_id``; a fingerprint that occurs once is a class of its own.
+
+    The classes are written first, so that both sides of the join are plain shuffles, of which
+    Spark splits those that one fingerprint fills.
+    """
+    found = materialize(found, "classes")
     return rows.join(found.withColumn("_shared", F.lit(True)), ["fingerprint", "check"], "left").withColumn(
         "class_id", F.when(F.col("_shared"), F.col("class_id")).otherwise(F.col("doc_id"))
     ).drop("_shared")
