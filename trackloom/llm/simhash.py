@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hex64, materialize
+from .common import discard, hex64, materialize
 from .components import connected_components
 
 BITS = 64
@@ -140,5 +140,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = materialize(connected_components(link(nodes.select("fp"), radius), "fp", "other"), "simhash-roots")
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = named.join(least, "root").select("fp", "component_id", "n_same")
+    # Written first, so that both sides of the join are plain shuffles, of which Spark splits those that one fingerprint fills.
+    named = materialize(named.join(least, "root").select("fp", "component_id", "n_same"), "simhash-classes")
+    discard(nodes, roots)
     return rows.join(named, "fp").select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id", "n_same")
