@@ -73,7 +73,8 @@ MAX_CHARS = 80
 _DOT = r" ?(?:\.|[\[(]dot[\])]|(?<= )dot(?= )) ?"
 #: ``[at] site [dot] org``, ``(at)site.org``, and `` at site dot org``, where one dot at least is spelt out.
 _AT = re.compile(rf" ?[\[(]at[\])] ?[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+| at [A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*? dot [A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*")
-_TRIGGER = re.compile(rf"[0-9@]+|{_AT.pattern}")
+_PLAIN = re.compile("[0-9@]+")
+_TRIGGER = re.compile(rf"{_PLAIN.pattern}|{_AT.pattern}")
 _SECRET = re.compile(r"(?<![A-Za-z0-9])(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{20,64}(?![A-Za-z0-9])")
 #: A long mixed key is one token, whatever its runs.
 _TOKEN = re.compile(_SECRET.pattern + r"|[0-9]+|[^\W\d_]+|[^\w\s]|_")
@@ -82,7 +83,8 @@ _TOKEN = re.compile(_SECRET.pattern + r"|[0-9]+|[^\W\d_]+|[^\w\s]|_")
 def stretches(text: str) -> Iterator[tuple[int, int]]:
     """Stretches of whole words around digits, at-signs and spelt-out ones, two words to the left and one to the right."""
     last = None
-    for m in _TRIGGER.finditer(text):
+    spelt = " dot " in text or "at]" in text or "at)" in text  # without these marks no address is spelt out
+    for m in (_TRIGGER if spelt else _PLAIN).finditer(text):
         if last is not None and m.start() - last[1] <= 24 and "\n" not in text[last[1] : m.start()]:
             last = (last[0], m.end())
             continue
