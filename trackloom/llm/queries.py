@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, fingerprint, pii, sharding, simhash, suffix_dedup, toxicity, warc
+from . import bpe, chat, decontamination, fingerprint, lexical, pii, quality, sharding, simhash, spelling, suffix_dedup, toxicity, warc
 from .common import scratch_path, table
 
 
@@ -63,6 +63,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.train_on(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def texts_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can tell of ``op2_fingerprints``."""
     return op2_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
@@ -85,6 +99,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_warc": op9_warc,
         "op10_sharding": op10_sharding,
+        "op11_quality": op11_quality,
+        "op12_spelling": op12_spelling,
+        "op13_lexical": op13_lexical,
         "texts_edited": texts_edited,
         "texts_base_counts": texts_base_counts,
     }
@@ -151,6 +168,34 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 n AS (SELECT doc_id, t, length(t) // 2 AS half, coalesce(lead(t) OVER w, first_value(t) OVER w) AS after FROM d WINDOW w AS (ORDER BY doc_id DESC))
 SELECT doc_id, length(t) AS n_chars, sha256(left(t, length(t) - half) || left(after, half)) AS edited_sha256 FROM n"""
 
+#: crc32 by its table: each byte's remainder, eight bits at a time.
+_STEP = "CASE WHEN {0} % 2 = 1 THEN xor({0} // 2, 3988292384) ELSE {0} // 2 END"
+VARIANTS_SQL = f"""
+WITH RECURSIVE rem AS (SELECT range AS b, 0 AS k, range AS c FROM range(256) UNION ALL SELECT b, k + 1, {_STEP.format('c')} FROM rem WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM rem WHERE k = 8),
+run AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS w FROM documents) WHERE length(w) >= 7 GROUP BY ALL),
+keyed AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h), 2), lambda i: instr('0123456789ABCDEF', h[i]) * 16 + instr('0123456789ABCDEF', h[i + 1]) - 17)),
+  lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) AS crc FROM (SELECT w, n, hex(encode(doc_id || ':' || w)) AS h FROM run), crc),
+word AS (SELECT w AS word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN crc % 31 = 0 THEN left(w, CAST(crc % length(w) AS INT)) || substr(w, CAST(crc % length(w) AS INT) + 2) ELSE w END AS w, n FROM keyed)
+  WHERE length(w) >= 7 GROUP BY w HAVING sum(n) >= 2),
+gone AS (SELECT word, i, left(word, CAST(i - 1 AS INT)) || substr(word, CAST(i + 1 AS INT)) AS v FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM word)),
+near AS (SELECT a.word, b.word AS other FROM gone a JOIN gone b ON a.v = b.v AND a.i = b.i AND a.word <> b.word UNION SELECT word, v FROM gone SEMI JOIN (SELECT word AS v FROM word) USING (v)
+  UNION SELECT v, word FROM gone SEMI JOIN (SELECT word AS v FROM word) USING (v)),
+best AS (SELECT near.word, count(*) AS n_near, arg_min(other, (-o.n, other)) AS other, max(o.n) AS other_n FROM near JOIN word o ON o.word = other GROUP BY near.word),
+led AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n FROM word LEFT JOIN best USING (word)),
+way AS (SELECT word, word AS root, form AS next FROM led UNION ALL SELECT way.word, led.word, led.form FROM way JOIN led ON led.word = way.next)
+SELECT led.word, form, root, n, n_near, form_n FROM led JOIN way ON way.word = led.word AND way.next IS NULL"""
+
+_TERMS = f"regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+SEARCH_SQL = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents), sized AS (SELECT doc_id, len(ts) AS n, ts FROM d WHERE len(ts) > 0),
+all_docs AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS term FROM sized) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, all_docs GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+hit AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT) AS score FROM asked JOIN w USING (term) JOIN tf USING (term), all_docs GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM hit WHERE score > 0) WHERE rank <= 50"""
+
 _FOUND = "regexp_extract_all(coalesce(text, ''), '{0}')"
 _DIGITS = "regexp_replace({0}, '[^0-9]', '', 'g')"
 #: The digits from the right; every second one counts double, less nine over nine.
@@ -167,5 +212,5 @@ def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express; the others are tested against plain versions."""
     return {
         "op4_suffix_dedup": SUFFIX_SQL, "texts_edited": EDITED_SQL, "texts_base_counts": BASE_COUNTS_SQL,
-        "op3_decontamination": DECONTAMINATION_SQL, "op5_chat": CHAT_SQL, "op9_warc": WARC_SQL,
+        "op3_decontamination": DECONTAMINATION_SQL, "op5_chat": CHAT_SQL, "op9_warc": WARC_SQL, "op12_spelling": VARIANTS_SQL, "op13_lexical": SEARCH_SQL,
     }
