@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+import io
 import json
 import struct
 from dataclasses import replace
@@ -95,6 +96,103 @@ def test_bad_logs(spark, folder):
         logs.check_unique_games(logs.read_logs(spark, str(folder), mode="permissive"))
 
 
+def plain_messages(data: bytes):
+    """The framing, whole in memory."""
+    data, at, out = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data, 16, []
+    while at + 16 <= len(data):
+        _, kind, size = struct.unpack_from(">qii", data, at)
+        out.append((kind, data[at + 16 : at + 16 + size]))
+        at += 16 + size
+    return out
+
+
+@pytest.mark.parametrize("split", [1, 700, 5000, 1 << 30])
+def test_a_log_is_read_in_ranges(spark, folder, split):
+    rows = logs.read_logs(spark, str(folder), split_bytes=split)
+    got = sorted((r["path"].split("/")[-1], r["msg_pos"], r["kind"], r["frame_number"], r["command"]) for r in rows.collect())
+    want = []
+    for path in (folder / "2024.game.log", folder / "sub/2023.b.log.gz"):
+        for pos, (kind, body) in enumerate(plain_messages(path.read_bytes())):
+            r = logs.decoded(str(path), pos, kind, body)
+            want.append((path.name, pos, r["kind"], r.get("frame_number"), r.get("command")))
+    key = lambda r: (r[0], r[1])
+    assert sorted(got, key=key) == sorted(want, key=key)
+    if split < 1 << 30:
+        assert rows.rdd.getNumPartitions() > (5 if split == 5000 else 30)
+
+
+def test_columns_and_kinds_are_pruned(spark, folder):
+    heads = logs.read_logs(spark, str(folder), columns=["path", "msg_pos"], split_bytes=700)
+    assert heads.columns == ["path", "msg_pos"] and heads.count() == 245
+    referee = logs.read_logs(spark, str(folder), columns=["msg_pos", "command"], kinds=["referee"])
+    assert [tuple(r) for r in referee.collect()] == [(0, 2)]
+    assert logs.read_logs(spark, str(folder), kinds=["tracker"]).select("kind").distinct().collect() == [("tracker",)]
+    read = []
+
+    class Counted(io.BytesIO):
+        def read(self, n=-1):
+            read.append(n)
+            return super().read(n)
+
+    data = (folder / "2024.game.log").read_bytes()
+    assert sum(1 for _ in logs.walk(Counted(data[16:]), 0, None, len(data) - 16, lambda kind: kind == 3)) == 243
+    assert sum(read) < 243 * 16 + 200  # headers, and the one body that is wanted
+
+
+def test_the_source_lists_a_folder_itself(spark, folder):
+    from trackloom.sources.logsource import TrackerLogs
+
+    spark.dataSource.register(TrackerLogs)
+    rows = spark.read.format("tracker_log").option("splitBytes", 900).load(str(folder))
+    assert rows.count() == 245 and rows.rdd.getNumPartitions() > 20
+    assert rows.where("kind = 'tracker'").count() == 242
+
+
+def test_a_range_holds_one_message_at_a_time(tmp_path):
+    """A log of 60 MB is read with under 8 MB of Python's memory."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from trackloom.sources import logsource
+
+    body = packet(1) + field(15, "x" * 30_000)
+    path = tmp_path / "long.log"
+    with open(path, "wb") as f:
+        f.write(log([]))
+        for _ in range(2000):
+            f.write(struct.pack(">qii", 0, 5, len(body)) + body)
+    size = path.stat().st_size
+    pieces = logsource.ranges_of(str(path), size, 8 << 20)
+    assert len(pieces) == 8 and pieces[0][0] == 0 and all(a[1] == b[0] for a, b in zip(pieces, pieces[1:]))
+    schema = pa.schema([("msg_pos", pa.int64()), ("frame_number", pa.int64())])
+    tracemalloc.start()
+    places = [p for a, z, first in pieces for b in logsource.rows_of(str(path), lambda: logsource.open_log(str(path)), size, schema, "failfast", set(), a, z, first) for p in b.column(0).to_pylist()]
+    assert places == list(range(2000)) and tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()
+
+
+def test_a_log_that_ends_inside_a_message(spark, folder):
+    whole = log([(5, packet(k)) for k in range(50)])
+    (folder / "cut.log").write_bytes(whole[:-7])
+    (folder / "cut2.log.gz").write_bytes(gzip.compress(whole)[:-40])
+    (folder / "none.log").write_bytes(log([]))
+    for split in (300, 1 << 30):
+        rows = logs.read_logs(spark, str(folder), mode="permissive", split_bytes=split)
+        by = {(r["path"].split("/")[-1], r["kind"]): r["n"] for r in rows.groupBy("path", "kind").agg(F.count("*").alias("n")).collect()}
+        assert by["cut.log", "tracker"] == 49 and by["cut.log", "error"] == 1 and by["cut2.log.gz", "error"] == 1 and by["none.log", "empty"] == 1
+        with pytest.raises(Exception, match="the log ends inside a message"):
+            logs.read_logs(spark, str(folder / "cut.log"), split_bytes=split).count()
+
+
+def test_unknown_file_systems_are_read_by_spark(spark, folder, monkeypatch):
+    from trackloom.sources import logsource
+
+    want = sorted(map(str, logs.read_logs(spark, str(folder)).collect()))
+    monkeypatch.setattr(logsource, "known_system", lambda path: False)
+    assert sorted(map(str, logs.read_logs(spark, str(folder)).collect())) == want
+
+
 def test_dataset_round_trip(spark, data, tmp_path):
     cfg = adapters.TICKS
     out = pipelines.build(adapters.events_frames(spark, data), adapters.events_games(spark, data), cfg)

@@ -7,14 +7,19 @@ can't be decoded is skipped, like messages of other kinds.
 
 from __future__ import annotations
 
-import gzip
+import io
+import json
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from ..shipping import ship
 
 MAGIC = b"SSL_LOG_FILE"
 REFEREE_KIND, TRACKER_KIND = 3, 5
@@ -27,19 +32,41 @@ MESSAGES = (
 )
 
 
-def messages(data: bytes) -> Iterator[tuple[int, bytes]]:
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    if data[:12] != MAGIC:
-        raise ValueError("not a log file")
-    at = 16
-    while at + 16 <= len(data):
-        _, kind, size = struct.unpack_from(">qii", data, at)
+def walk(f: BinaryIO, at: int, end: int | None, size: int | None, wanted: Callable[[int], bool] = lambda kind: True) -> Iterator[tuple[int, int, bytes | None]]:
+    """``place, kind, body`` of the messages that begin in front of ``end``; bodies that aren't wanted are passed over.
+
+    ``f`` stands at ``at``, and ``size`` is the file's if that is known, so that a wrong length is
+    told before anything is read.
+    """
+    while end is None or at < end:
+        head = f.read(16)
+        if len(head) < 16:
+            return
+        _, kind, n = struct.unpack(">qii", head)
         at += 16
-        if size < 0 or at + size > len(data):
+        if n < 0 or (size is not None and at + n > size):
             raise ValueError("the log ends inside a message")
-        yield kind, data[at : at + size]
-        at += size
+        body = f.read(n) if wanted(kind) else None
+        if body is None:
+            left = n
+            if f.seekable():
+                f.seek(at + n)
+                left = 0
+            while left:
+                got = len(f.read(min(left, 1 << 20)))
+                if not got:
+                    raise ValueError("the log ends inside a message")
+                left -= got
+        elif len(body) < n:
+            raise ValueError("the log ends inside a message")
+        yield at - 16, kind, body
+        at += n
+
+
+def begin(f: BinaryIO) -> None:
+    """Pass over the mark and the version, or tell that this is no log."""
+    if f.read(16)[:12] != MAGIC:
+        raise ValueError("not a log file")
 
 
 def wire(data: bytes) -> dict[int, list]:
@@ -117,47 +144,59 @@ def referee(body: bytes) -> dict:
     }
 
 
-def read_logs(spark: SparkSession, *paths: str, mode: str = "failfast") -> DataFrame:
+def decoded(path: str, pos: int, kind: int, body: bytes | None) -> dict:
+    """A message as a row; a body that can't be decoded makes it ``undecodable``, one that wasn't read stays empty."""
+    row = {"path": path, "msg_pos": pos, "kind": {REFEREE_KIND: "referee", TRACKER_KIND: "tracker"}.get(kind, "other")}
+    try:
+        row |= {} if body is None else referee(body) if kind == REFEREE_KIND else tracker(body) if kind == TRACKER_KIND else {}
+    except (ValueError, IndexError, struct.error):
+        row["kind"] = "undecodable"
+    return row
+
+
+def read_logs(
+    spark: SparkSession, *paths: str, mode: str = "failfast", columns: Sequence[str] | None = None, kinds: Sequence[str] | None = None, split_bytes: int = 128 << 20
+) -> DataFrame:
     """All messages of logs under files, folders or globs (``*.log``, ``*.log.gz``), one row each.
 
     ``failfast`` raises on a log that can't be read; ``permissive`` gives it one row with
-    ``error``.  A log without messages has one row of kind ``empty``.  Files are read by Spark,
-    so any file system will do.
+    ``error``.  A log without messages has one row of kind ``empty``.  ``columns`` and ``kinds``
+    prune: bodies that nothing asks for are neither read nor decoded.
+
+    Spark lists the files, and logs over ``split_bytes`` are cut at messages by a job that reads
+    their headers only; ranges are what the ``tracker_log`` data source reads, each in constant
+    memory.  Compressed logs aren't cut, but streamed.  A file system that pyarrow doesn't know
+    is read through Spark's ``binaryFile``, whole logs at a time.
     """
+    from .logsource import TrackerLogs, known_system, plan
+
     if mode not in ("failfast", "permissive"):
         raise ValueError(mode)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
     schema = spark.createDataFrame([], MESSAGES).schema
+    if columns is not None:
+        schema = StructType([schema[c] for c in columns])
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    files = listed.where(F.col("path").rlike(r"\.log(\.gz)?$"))
+    found = [(r["path"], r["length"]) for r in files.select("path", "length").collect()]  # as short as Spark's own listing
+    if not all(known_system(p) for p, _ in found[:1]):
+        return _whole_logs(files, schema, mode, kinds)
+    ship(spark)
+    spark.dataSource.register(TrackerLogs)
+    options = {"ranges": json.dumps(plan(spark, found, split_bytes)), "mode": mode, "splitBytes": str(split_bytes)}
+    return spark.read.format("tracker_log").schema(schema).options(**options | ({"kinds": ",".join(kinds)} if kinds else {})).load()
+
+
+def _whole_logs(files: DataFrame, schema: StructType, mode: str, kinds: Sequence[str] | None) -> DataFrame:
+    from .logsource import rows_of
+
     arrow = to_arrow_schema(schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, content in zip(b.column(0).to_pylist(), b.column(1)):
-                rows: list[dict] = []
-                pos = -1
-                try:
-                    for pos, (kind, body) in enumerate(messages(content.as_py())):
-                        row = {"path": path, "msg_pos": pos, "kind": {REFEREE_KIND: "referee", TRACKER_KIND: "tracker"}.get(kind, "other")}
-                        try:
-                            row |= referee(body) if kind == REFEREE_KIND else tracker(body) if kind == TRACKER_KIND else {}
-                        except (ValueError, IndexError, struct.error):
-                            row["kind"] = "undecodable"
-                        rows.append(row)
-                        if len(rows) == 1024:
-                            yield pa.RecordBatch.from_pylist(rows, arrow)
-                            rows = []
-                except ValueError as e:
-                    if mode == "failfast":
-                        raise ValueError(f"{path}: {e}") from e
-                    rows.append({"path": path, "kind": "error", "error": str(e)})
-                    pos = 0
-                if pos < 0:
-                    rows.append({"path": path, "kind": "empty"})
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, arrow)
-
-    logs = files.where(F.col("path").rlike(r"\.log(\.gz)?$"))
-    return logs.select("path", "content").mapInArrow(work, schema)
+                yield from rows_of(path, lambda c=content: io.BytesIO(c.as_py()), None, arrow, mode, set(kinds or ()))
+
+    return files.select("path", "content").mapInArrow(work, schema)
 
 
 def list_games(spark: SparkSession, folder: str) -> DataFrame:
