@@ -84,9 +84,12 @@ def counted(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str) -> Da
                     if len(known) > 300_000:
                         known.clear()
                     counts = Counter(found)
-                    for x in counts.keys() - known.keys():
-                        known[x] = asked_for(x)
-                    own = [x for x in counts if known[x]]
+                    own = []
+                    for x in counts:
+                        if (yes := known.get(x)) is None:
+                            yes = known[x] = asked_for(x)
+                        if yes:
+                            own.append(x)
                     ns.append(len(found))
                     terms.append(own)
                     tfs.append([counts[x] for x in own])
