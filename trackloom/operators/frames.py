@@ -73,15 +73,26 @@ def attacks_positive(color: Column) -> Column:
     return F.coalesce(F.when(color == "Blue", ~side).when(color == "Yellow", side), F.lit(False))
 
 
-def clean_frames(tracked: DataFrame, games: DataFrame, cfg: Config) -> DataFrame:
-    """Frames from tracked raw frames and one row of ``game_id, referee, target_color`` for each game.
-
-    The game's last referee state holds for all of its frames.
-    """
+def with_targets(tracked: DataFrame, games: DataFrame) -> DataFrame:
+    """Teams by target and opponent, with the game's last referee state, which holds for all of its frames."""
     target = F.col("target_color")
     joined = tracked.join(games.select("game_id", "referee", "target_color"), "game_id")
     mine = lambda a, b: F.when(target == "Yellow", F.col(a)).otherwise(F.col(b))
-    teams = joined.withColumns({"target_team": mine("yellow", "blue"), "opponent_team": mine("blue", "yellow")})
+    return joined.withColumns({"target_team": mine("yellow", "blue"), "opponent_team": mine("blue", "yellow")})
+
+
+def clean_frames(tracked: DataFrame, games: DataFrame, cfg: Config) -> DataFrame:
+    """Frames from tracked raw frames and one row of ``game_id, referee, target_color`` for each game."""
+    return flagged(with_targets(tracked, games), cfg)
+
+
+def reach(cfg: Config) -> int:
+    """How many frames back the flags look."""
+    return max(1, cfg.carried_ball_frames - 1)
+
+
+def flagged(teams: DataFrame, cfg: Config) -> DataFrame:
+    """Frames with bounds, flags, live play and direction, from teams by target."""
     bounded = apply_bounds(teams, cfg)
     carried = run_length(bounded, near_ball(cfg), "_run")
     flags = F.struct(
@@ -96,7 +107,7 @@ def clean_frames(tracked: DataFrame, games: DataFrame, cfg: Config) -> DataFrame
     return carried.withColumn("flags", flags).select(
         "game_id", "frame_pos", "timestamp_s", "frame_number", "ball", "target_team", "opponent_team", "referee",
         (F.col("flags.referee_live") | F.col("flags.heuristic_live")).alias("live"),
-        attacks_positive(target).alias("target_attacks_positive_x"), F.lit("Unknown").alias("sequence_kind"), "flags",
+        attacks_positive(F.col("target_color")).alias("target_attacks_positive_x"), F.lit("Unknown").alias("sequence_kind"), "flags",
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import BALL, ROBOT
+from .scans import of_time, running_sum
 
 
 def source_filter(raw: DataFrame, source: str | None) -> DataFrame:
@@ -65,10 +66,15 @@ def last_referee(messages: DataFrame) -> DataFrame:
     return last.withColumn("phase", F.when(kind == 1, "Group").when(kind == 2, "Elimination").when(kind == 3, "Friendly").otherwise("Unknown"))
 
 
-def order_frames(raw: DataFrame) -> DataFrame:
-    """Number frames of a game by time and frame number; ties stay in message order."""
-    order = Window.partitionBy("game_id").orderBy("timestamp_s", "frame_number", "msg_pos")
-    return raw.withColumn("frame_pos", F.row_number().over(order).cast("bigint") - 1)
+def order_frames(raw: DataFrame, piece_s: float | None = None) -> DataFrame:
+    """Number frames of a game by time and frame number; ties stay in message order.
+
+    With ``piece_s``, a game's frames are shared out by time, in pieces of so many seconds.
+    """
+    order = ["timestamp_s", "frame_number", "msg_pos"]
+    if piece_s is not None:
+        return running_sum(raw, F.lit(1).cast("bigint"), order, of_time(piece_s), "_n").withColumn("frame_pos", F.col("_n") - 1).drop("_n")
+    return raw.withColumn("frame_pos", F.row_number().over(Window.partitionBy("game_id").orderBy(*order)).cast("bigint") - 1)
 
 
 def resolve_target_color(referee: DataFrame, name: str | None, color: str = "Blue") -> DataFrame:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.geometry import distance
+from . import scans
 from .frames import game
 
 
-def possession_break(cfg: Config) -> Column:
+def possession_break(cfg: Config, prev: Callable[[str], Column]) -> Column:
     """Against the row before: a missing ball, a jump of the ball, or a change of carrying or live play."""
-    prev = lambda c: F.lag(c).over(game())
-    ball, last = F.col("ball"), F.lag("ball").over(game())
+    ball, last = F.col("ball"), prev("ball")
     return (
         ball.isNull()
         | last.isNull()
@@ -23,12 +25,20 @@ def possession_break(cfg: Config) -> Column:
     )
 
 
-def segment(frames: DataFrame, cfg: Config) -> DataFrame:
-    """Add ``segment``: it grows by one wherever a gap in time or a possession break is."""
-    gap = F.col("timestamp_s") - F.lag("timestamp_s").over(game()) > cfg.max_gap_s
-    first = F.lag("frame_pos").over(game()).isNull()
-    starts = frames.withColumn("_s", (first | gap | possession_break(cfg)).cast("int"))
-    return starts.withColumn("segment", F.sum("_s").over(game().rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
+def segment(frames: DataFrame, cfg: Config, piece_rows: int | None = None) -> DataFrame:
+    """Add ``segment``: it grows by one wherever a gap in time or a possession break is.
+
+    With ``piece_rows``, a game's frames are shared out by ``frame_pos`` in pieces of at most so many.
+    """
+    prev = (lambda c: F.lag(c).over(game())) if piece_rows is None else (lambda c: F.col("_before")[c])
+    gap = F.col("timestamp_s") - prev("timestamp_s") > cfg.max_gap_s
+    starts = (prev("frame_pos").isNull() | gap | possession_break(cfg, prev)).cast("int")
+    if piece_rows is None:
+        return frames.withColumn("_s", starts).withColumn("segment", F.sum("_s").over(game().rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
+    order, piece = ["frame_pos"], scans.of_position(piece_rows)
+    body = F.struct("timestamp_s", "frame_pos", "ball", "flags", "live")
+    known = scans.last_before(frames, body, order, piece, "_before", F.col("frame_pos"))
+    return scans.running_sum(known.withColumn("_s", starts).drop("_before"), F.col("_s"), order, piece, "segment").drop("_s")
 
 
 def summarise(segmented: DataFrame, cfg: Config) -> DataFrame:

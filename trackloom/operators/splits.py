@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
+from .scans import ranked
 
 
 def assign_splits(games: DataFrame, cfg: Config) -> DataFrame:
     """``game_id, split, phase, sample_count`` by rank of the game id: the first share trains, the next validates.
 
-    Ranks come from the ids alone, one short row for each log, which one task sorts.  ``sample_count`` is 0 until samples are counted.
+    Ranges of ids are ranked by tasks.  ``sample_count`` is 0 until samples are counted.
     """
     s = cfg.split
-    ids = games.select("game_id", "phase")
-    total = F.count("*").over(Window.partitionBy())
-    rank = F.row_number().over(Window.partitionBy().orderBy("game_id")) - 1
-    cut = F.round(total * s.train).cast("bigint")
-    second = cut + F.round(total * s.validation).cast("bigint")
-    ranked = ids.withColumns({"_r": rank, "_a": cut, "_b": second})
-    split = F.when(F.col("_r") < F.col("_a"), "train").when(F.col("_r") < F.col("_b"), "validation").otherwise("test")
-    return ranked.select("game_id", split.alias("split"), "phase", F.lit(0).cast("bigint").alias("sample_count"))
+    known, total = ranked(games.select("game_id", "phase"), ["game_id"], "_r")
+    cut = F.round(F.lit(total) * s.train).cast("bigint")
+    second = cut + F.round(F.lit(total) * s.validation).cast("bigint")
+    split = F.when(F.col("_r") < cut, "train").when(F.col("_r") < second, "validation").otherwise("test")
+    return known.select("game_id", split.alias("split"), "phase", F.lit(0).cast("bigint").alias("sample_count"))
 
 
 def with_split(samples: DataFrame, splits: DataFrame, cfg: Config) -> DataFrame:

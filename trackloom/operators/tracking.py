@@ -18,6 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..config import Config, IdentityConfig
 from ..schemas import ROBOT
+from .matching import UNIT, cheapest
 
 
 @dataclass
@@ -43,29 +44,10 @@ def assign(tracks: list[Track], seen: list[dict], gate: float, penalty: float) -
 
     A track without a match costs ``penalty``; matches above ``gate`` are not allowed.  Among
     equal costs the first in depth-first order wins, where leaving a track unmatched comes
-    before its observations in order.  Partial matchings that can't get under the best cost
-    are cut off, also by a bound on what the remaining tracks cost at least.
+    before its observations in order.  Costs are equal when they are so to a billionth of a metre.
     """
-    options = [[(o, c) for o, b in enumerate(seen) if (c := motion_cost(t.state, b)) <= gate] for t in tracks]
-    rest = [0.0] * (len(tracks) + 1)
-    for k in range(len(tracks) - 1, -1, -1):
-        rest[k] = rest[k + 1] + min([penalty, *(c for _, c in options[k])])
-    best: tuple[float, list[tuple[int, int]]] = (math.inf, [])
-    stack: list[tuple[int, float, tuple[tuple[int, int], ...], frozenset[int]]] = [(0, 0.0, (), frozenset())]
-    slack = 1e-9
-    while stack:
-        k, cost, pairs, used = stack.pop()
-        if cost + rest[k] > best[0] + slack:
-            continue
-        if k == len(tracks):
-            if cost < best[0]:
-                best = (cost, list(pairs))
-            continue
-        for o, c in reversed(options[k]):
-            if o not in used and cost + c < best[0]:
-                stack.append((k + 1, cost + c, (*pairs, (k, o)), used | {o}))
-        stack.append((k + 1, cost + penalty, pairs, used))
-    return best[1]
+    costs = [{o: round(c * UNIT) for o, b in enumerate(seen) if (c := motion_cost(t.state, b)) <= gate} for t in tracks]
+    return [(t, o) for t, o in enumerate(cheapest(costs, round(penalty * UNIT))) if o is not None]
 
 
 def label_roles(tracks: list[Track]) -> None:

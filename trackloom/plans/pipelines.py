@@ -11,6 +11,7 @@ from ..config import Config
 from ..operators import audit, augment, clean, frames as fr, resample, samples, sequences, splits
 from ..operators.dynamics import estimate_dynamics
 from ..operators.ingest import drop_consecutive_duplicates, frames_from_tracker, game_id_from_path, last_referee, order_frames, resolve_target_color, source_filter, year_from_name
+from ..operators.scans import in_pieces
 from ..operators.tracking import track
 from ..sources import logs
 
@@ -49,16 +50,26 @@ def problems(log: DataFrame, cfg: Config) -> DataFrame:
     return by_log.join(games, "path", "left").select("path", why.alias("error")).where("error is not null")
 
 
-def frames_from_logs(packets: DataFrame, referee_messages: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
+def moving_frames(tracked: DataFrame, games: DataFrame, cfg: Config, piece_rows: int | None = None) -> DataFrame:
+    """Clean frames with dynamics of tracked ones; with ``piece_rows``, tasks share a game in pieces of so many frames."""
+    teams = fr.with_targets(tracked, games)
+    if piece_rows is None:
+        return estimate_dynamics(fr.flagged(teams, cfg), cfg)
+    return in_pieces(teams, piece_rows, max(2, fr.reach(cfg)), 1, lambda piece: estimate_dynamics(fr.flagged(piece, cfg), cfg))
+
+
+def frames_from_logs(packets: DataFrame, referee_messages: DataFrame, cfg: Config, piece_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Clean frames with dynamics, and one row for each game; games without the target team have none (see ``problems``)."""
     raw = drop_consecutive_duplicates(source_filter(frames_from_tracker(packets), cfg.tracker_source))
     games = games_from_logs(packets, referee_messages, cfg).where("target_color is not null")
     tracked = track(order_frames(raw), cfg)
-    return estimate_dynamics(fr.clean_frames(tracked, games, cfg), cfg), games
+    return moving_frames(tracked, games, cfg, piece_rows), games
 
 
-def standard_frames(frames: DataFrame, cfg: Config) -> DataFrame:
-    return fr.canonicalise(fr.live_only(resample.resample(frames), cfg))
+def standard_frames(frames: DataFrame, cfg: Config, piece_s: float | None = None) -> DataFrame:
+    """Resampled frames in live play, towards positive x; with ``piece_s``, tasks share a game's time in pieces of so many seconds."""
+    even = resample.resample(frames) if piece_s is None else resample.resample_split(frames, piece_s)
+    return fr.canonicalise(fr.live_only(even, cfg))
 
 
 def automatic_frames(frames: DataFrame, cfg: Config) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from .config import Config
 from .functions.geometry import one_hot_phase, role_code, wrap_angle
-from .operators import audit, augment, clean, dynamics, frames as fr, ingest, resample, review, samples, sequences, splits, tracking
+from .operators import audit, augment, clean, dynamics, frames as fr, ingest, resample, review, samples, scans, sequences, splits, tracking
 from .plans import pipelines
 from .schemas import ROBOT
+from .scratch import scratch_path
 from .sources import adapters
 from .sources.adapters import TICKS
 
@@ -677,5 +678,69 @@ def q_automatic_pipeline(spark, d):
     return pipelines.build(_ticks(spark, d), adapters.events_games(spark, d), cfg, automatic=True).samples
 
 
+#: The same SQL over three long games instead of one for each user.
+_LONG = ("CAST(user_id AS VARCHAR) AS game_id, user_id AS u", "CAST(user_id % 3 + 1 AS VARCHAR) AS game_id, user_id % 3 + 1 AS u")
+_PIECE_S = 5 * 86400.0
+
+
+@query(SQL["q_velocity"].replace(*_LONG))
+def q_long_velocity(spark, d):
+    """Flags and velocities of long games whose frames are shared out in pieces of 100."""
+    days = lambda f: dynamics.estimate_dynamics(f.withColumn("timestamp_s", F.col("timestamp_s") / 86400), TICKS)
+    moved = scans.in_pieces(adapters.long_teams(spark, d, _PIECE_S), 100, max(2, fr.reach(TICKS)), 1, lambda piece: days(fr.flagged(piece, TICKS)))
+    return moved.select("game_id", "frame_number", (F.round("ball.vx", 5) + 0.0).alias("ball_vx"), (F.round(_slot()["vx"], 5) + 0.0).alias("robot_vx"), (F.round(_slot()["omega"], 5) + 0.0).alias("robot_omega"))
+
+
+def _long_frames(spark: SparkSession, d: str) -> DataFrame:
+    return scans.in_pieces(adapters.long_teams(spark, d, _PIECE_S), 100, fr.reach(TICKS), 0, lambda piece: fr.flagged(piece, TICKS))
+
+
+@query(SQL["q_segments"].replace(*_LONG))
+def q_long_segments(spark, d):
+    return sequences.segment(_long_frames(spark, d), TICKS, piece_rows=100).select("game_id", "frame_number", "segment")
+
+
+@query(SQL["q_resample_asof"].replace(*_LONG))
+def q_long_resample(spark, d):
+    return resample.resample_split(_long_frames(spark, d), _PIECE_S).select("game_id", "frame_pos", "frame_number", "timestamp_s")
+
+
+@query(SQL["q_review_search"])
+def q_review_index(spark, d):
+    """The search through an index at rest: postings of trigrams, intersected and checked."""
+    found = review.with_verdicts(_segmented(spark, d)[1], adapters.label_reviews(spark, d))
+    path = scratch_path(spark, "review-index")
+    review.write_index(found, path)
+    return review.search_index(spark, path, "C 1", "Keep")
+
+
+@query("""WITH o AS (SELECT CAST(o_custkey % 20 AS VARCHAR) AS game_id, o_orderkey AS n, row_number() OVER (PARTITION BY o_custkey % 20 ORDER BY o_orderdate, o_orderkey) - 1 AS pos FROM orders),
+f AS (SELECT *, pos % 2 = 0 AS wide, n % 2 = 1 AS odd, n % 5 < 2 AS third FROM o),
+g AS (SELECT *, sum(CASE WHEN wide AND odd AND pos > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY game_id ORDER BY pos) % 2 AS fst, first_value(third) OVER (PARTITION BY game_id ORDER BY pos) AS began FROM f)
+SELECT game_id, n AS frame_number, concat_ws(',', fst, 1 - fst, 2, 3) AS ids,
+  concat_ws(',', CASE WHEN NOT wide THEN 0 WHEN pos = 0 AND odd THEN 3 ELSE -3 END, CASE WHEN NOT wide THEN 0 WHEN pos = 0 AND odd THEN -3 ELSE 3 END, 20, 20) AS xs,
+  concat_ws(',', CASE WHEN wide THEN 0 WHEN n % 3 = 0 THEN 2 ELSE -2 END, CASE WHEN wide THEN 0 WHEN n % 3 = 0 THEN -2 ELSE 2 END,
+    CASE WHEN NOT wide THEN 0 WHEN third = began THEN 1 ELSE -1 END, CASE WHEN NOT wide THEN 0 WHEN third = began THEN -1 ELSE 1 END) AS ys,
+  concat_ws(',', CASE WHEN began THEN 30 ELSE 0 END, CASE WHEN began THEN 0 ELSE 30 END) AS headings FROM g""")
+def q_tracking_ties(spark, d):
+    """Four robots: two that are equally far from both observations, so the order decides, and two that only their heading tells apart."""
+    o = adapters.read(spark, d, "orders").select((F.col("o_custkey") % 20).cast("string").alias("game_id"), F.col("o_orderkey").alias("frame_number"), "o_orderdate")
+    placed = o.withColumn("frame_pos", F.row_number().over(Window.partitionBy("game_id").orderBy("o_orderdate", "frame_number")).cast("bigint") - 1)
+    n, wide = F.col("frame_number"), F.col("frame_pos") % 2 == 0
+    side = F.when(n % 2 == 1, 0.3).otherwise(-0.3)
+    up = F.when(n % 3 == 0, 0.2).otherwise(-0.2)
+    at = lambda x, y, theta: adapters._robot(x, y, theta, F.lit(1.0), F.lit(None), F.lit(None))
+    zero, far = F.lit(0.0), F.lit(2.0)
+    pair = [at(F.when(wide, s * side).otherwise(0.0), F.when(wide, 0.0).otherwise(s * up), zero) for s in (1, -1)]
+    turned = [at(far, F.when(wide, y).otherwise(0.0), F.when((n % 5 < 2) == first, 3.0).otherwise(0.0)) for y, first in ((0.1, True), (-0.1, False))]
+    tracked = tracking.track(placed.withColumns({"yellow": F.array(*pair, *turned), "blue": F.array().cast(f"array<{ROBOT}>")}), replace(TICKS, identity=Config().identity))
+    slots = F.filter("yellow", lambda s: s.isNotNull())
+    tenths = lambda s, c: F.concat_ws(",", F.transform(s, lambda r: F.round(r[c] * 10).cast("int").cast("string")))
+    return tracked.select(
+        "game_id", "frame_number", F.concat_ws(",", F.transform(slots, lambda s: s["stable_id"].cast("string"))).alias("ids"),
+        tenths(slots, "x").alias("xs"), tenths(slots, "y").alias("ys"), tenths(F.slice(slots, 3, 2), "theta").alias("headings"),
+    )
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     return q_sequence_summary(spark, d)

@@ -54,11 +54,27 @@ def events_tracked(spark: SparkSession, sf_dir: str, size: int = 6) -> DataFrame
     """The raw frames in order, with slots in place of observations, as if tracked."""
     from ..operators.ingest import order_frames
 
-    raw = order_frames(events_raw(spark, sf_dir))
+    return in_slots(order_frames(events_raw(spark, sf_dir)), size)
+
+
+def in_slots(raw: DataFrame, size: int = 6) -> DataFrame:
     pad = F.array_repeat(F.lit(None).cast(ROBOT), size - 1)
     return raw.withColumns({"yellow": F.concat("yellow", pad), "blue": F.concat("blue", pad), "yellow_swap": F.lit(False), "blue_swap": F.lit(False)})
 
 
+def long_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same frames in three long games: every third user plays in each one, named after users 1 to 3."""
+    return events_raw(spark, sf_dir).withColumn("game_id", (F.col("game_id").cast("bigint") % 3 + 1).cast("string"))
+
+
+def long_teams(spark: SparkSession, sf_dir: str, piece_s: float, cfg: Config = TICKS) -> DataFrame:
+    """Long games in order, numbered piece by piece, with teams by target."""
+    from ..operators.frames import with_targets
+    from ..operators.ingest import order_frames
+
+    return with_targets(in_slots(order_frames(long_raw(spark, sf_dir), piece_s), cfg.team_size), events_games(spark, sf_dir))
+
+
 def events_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One game for each user: phase, sides and scores follow from the id."""
     u = read(spark, sf_dir, "events").select("user_id").where("user_id is not null").distinct()
