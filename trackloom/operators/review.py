@@ -41,7 +41,12 @@ def game_payload(games: DataFrame, sequences: DataFrame, reviews: DataFrame) ->
 
 
 def in_bins(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, start: str, end: str) -> DataFrame:
-    """The pairs of ``points`` and ``ranges`` that agree in ``keys`` and where ``at`` is from ``start`` to ``end``.
+    """The pairs of ``points`` and ``ranges`` that agree in ``keys`` and where ``at`` is from ``start`` to ``end``."""
+    return meetings(points, ranges, keys, at, start, end).where(F.col(at).between(F.col(start), F.col(end)))
+
+
+def meetings(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, start: str, end: str) -> DataFrame:
+    """The pairs that meet in a bin, among them all whose range holds the point.
 
     A range is filed under the one or two bins of a width that it spans: the power of eight that
     is as long as the range or just over.  Points look into their bin of every width that
@@ -56,8 +61,7 @@ def in_bins(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, star
     width = [F.when(F.col("_level") == k, F.array_distinct(F.array(bin_of(start, k), bin_of(end, k)))) for k in levels]
     filed = sized.withColumn("_bin", F.explode(F.coalesce(*width) if width else F.array().cast("array<bigint>")))
     looks = F.array(*[F.struct(F.lit(k).alias("_level"), bin_of(at, k).alias("_bin")) for k in levels]).cast("array<struct<_level:int,_bin:bigint>>")
-    met = points.withColumn("_look", F.explode(looks)).select(*points.columns, "_look.*").join(filed, [*keys, "_level", "_bin"])
-    return met.where(F.col(at).between(F.col(start), F.col(end))).drop("_level", "_bin")
+    return points.withColumn("_look", F.explode(looks)).select(*points.columns, "_look.*").join(filed, [*keys, "_level", "_bin"]).drop("_level", "_bin")
 
 
 def frames_in_range(frames: DataFrame, sequences: DataFrame) -> DataFrame:

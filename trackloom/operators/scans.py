@@ -31,7 +31,7 @@ def of_position(rows: int) -> Column:
 def of_time(seconds: float, time: str = "timestamp_s") -> Column:
     """Times of no number are after all others, like in a sort; null comes first."""
     t = F.col(time)
-    return F.when(F.isnan(t), F.lit(_LAST)).otherwise(F.greatest(F.lit(-_LAST), F.least(F.lit(_LAST - 1), F.floor(t / seconds).cast("bigint"))))
+    return F.when(F.isnan(t), F.lit(_LAST)).when(t.isNotNull(), F.greatest(F.lit(-_LAST), F.least(F.lit(_LAST - 1), F.floor(t / seconds).cast("bigint"))))
 
 
 def in_pieces(frames: DataFrame, rows: int, before: int, after: int, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
