@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from .config import Config
 from .plans import pipelines
+from .scratch import written
 from .shipping import ship
 from .sources import datasets, logs
 
@@ -60,12 +61,13 @@ def main(argv: Sequence[str] | None = None) -> int:
         return 0
     cfg = _config(a)
     # The automatic run skips logs that can't be read and tells about them; the others stop.
-    log = logs.read_logs(spark, *a.inputs, mode="permissive" if a.command == "auto" else "failfast")
     began = time.perf_counter()
+    log = written(logs.read_logs(spark, *a.inputs, mode="permissive" if a.command == "auto" else "failfast"), "messages")
     logs.check_unique_games(log)
     wrong = pipelines.problems(log, cfg)
+    failed = 0
     if a.command == "auto":
-        for r in wrong.toLocalIterator():
+        for failed, r in enumerate(wrong.toLocalIterator(), 1):
             print(f"skipped {r['path']}: {r['error']}")
     elif r := wrong.first():
         raise SystemExit(f"{r['path']}: {r['error']}")
@@ -76,19 +78,23 @@ def main(argv: Sequence[str] | None = None) -> int:
         for line in rows.toJSON().toLocalIterator():
             print(line)
         return 0
-    frames, games = pipelines.frames_from_logs(packets, logs.referee_messages(log), cfg)
     if packets.isEmpty():
         raise SystemExit("no tracker frames")
+    # Decoded once, tracked once: both tables are read several times below.
+    frames, games = (written(t, name) for t, name in zip(pipelines.frames_from_logs(packets, logs.referee_messages(log), cfg), ("frames", "games")))
     reviews = datasets.reviews_from_json(spark, a.reviews) if getattr(a, "reviews", None) else None
     out = pipelines.build(frames, games, cfg, reviews, automatic=a.command == "auto")
-    datasets.write_dataset(out.samples, out.splits, out.stats, a.output, games=pipelines.game_table(log, cfg))
+    told = datasets.write_dataset(
+        out.samples, out.splits, None, a.output, games=pipelines.game_table(log, cfg, (frames, games)), sequences=out.sequences, pooled=cfg.pooled_stats
+    )
     spark.createDataFrame([(cfg.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.output}/config")
-    written = datasets.read_dataset(spark, a.output)
     if getattr(a, "verbose", False):
-        for r in written.groupBy("game_id", "split").count().orderBy("game_id").toLocalIterator():
-            print(f"{r['game_id']}: {r['count']} samples for {r['split']}")
-    seconds = {"check": checked - began, "run": time.perf_counter() - checked} if a.command == "auto" else None
-    print(datasets.report(written, games, out.splits, seconds))
+        for r in datasets.read_manifest(spark, a.output).orderBy("game_id").toLocalIterator():
+            print(f"{r['game_id']}: {r['samples']} samples for {r['split']}")
+    auto = a.command == "auto"
+    seconds = {"check": checked - began, "run": time.perf_counter() - checked} if auto else None
+    found = {"logs_found": log.select("path").distinct().count(), "failed": failed} if auto else {}
+    print(datasets.report(told, games, out.splits, seconds, path=a.output, **found))
     return 0
 
 

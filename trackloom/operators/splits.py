@@ -45,6 +45,10 @@ def magnitudes_of_teams() -> Column:
     return F.flatten(F.transform(present, lambda r: F.array(size(r["vx"], r["vy"]), size(r["ax"], r["ay"]))))
 
 
+def _stats(n: Column, mean: Column, deviation: Column, name: str) -> list[Column]:
+    return [F.when(n > 0, mean).otherwise(0.0).alias(f"{name}_mean"), F.when(n > 0, F.greatest(deviation, F.lit(1e-6))).otherwise(1.0).alias(f"{name}_std")]
+
+
 def pooled_stats(rows: DataFrame, values: Column, pooled: bool = True) -> DataFrame:
     """One row: mean and deviation of speeds and of accelerations, and the number of values.
 
@@ -55,5 +59,34 @@ def pooled_stats(rows: DataFrame, values: Column, pooled: bool = True) -> DataFr
     out = []
     for name, own in part.items():
         v = F.when(own, F.col("v"))
-        out += [F.coalesce(F.avg(v), F.lit(0.0)).alias(f"{name}_mean"), F.when(F.count(v) == 0, 1.0).otherwise(F.greatest(F.stddev_pop(v), F.lit(1e-6))).alias(f"{name}_std")]
+        out += _stats(F.count(v), F.avg(v), F.stddev_pop(v), name)
     return flat.agg(*out, F.count("v").alias("sample_count"))
+
+
+KINDS = ("velocity", "acceleration")
+
+
+def moments(rows: DataFrame, values: Column, by: list[str]) -> DataFrame:
+    """``by, kind, n, mean, m2``: of each group's speeds and accelerations their number, mean and squared deviations.
+
+    These add up (``merged_stats``), so that statistics of more games need the new games only.
+    """
+    flat = rows.select(*by, F.posexplode(values).alias("i", "v")).where("v is not null")
+    kind = F.when(F.col("i") % 2 == 0, KINDS[0]).otherwise(KINDS[1])
+    return flat.groupBy(*by, kind.alias("kind")).agg(F.count("v").alias("n"), F.avg("v").alias("mean"), (F.var_pop("v") * F.count("v")).alias("m2"))
+
+
+def merged_stats(parts: DataFrame, pooled: bool = True) -> DataFrame:
+    """The row of ``pooled_stats`` from moments: squared deviations plus those of the groups' means from the whole mean.
+
+    The whole means are known before anything is subtracted from them, so nothing cancels out.
+    """
+    whole = parts.groupBy("kind").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("mean")).alias("s")).collect()  # two rows
+    counts = {k: sum(r["n"] for r in whole if pooled or r["kind"] == k) for k in KINDS}
+    means = {k: sum(r["s"] for r in whole if pooled or r["kind"] == k) / counts[k] if counts[k] else 0.0 for k in KINDS}
+    out = []
+    for k in KINDS:
+        off = F.col("mean") - means[k]
+        square = F.when(F.lit(pooled) | (F.col("kind") == k), F.col("m2") + F.col("n") * off * off)
+        out += _stats(F.lit(counts[k]), F.lit(means[k]), F.sqrt(F.sum(square) / max(counts[k], 1)), k)
+    return parts.agg(*out, F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("sample_count"))

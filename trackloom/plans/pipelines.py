@@ -109,10 +109,10 @@ def build(frames: DataFrame, games: DataFrame, cfg: Config, reviews: DataFrame |
     return Output(ready, found, made, split, stats, named)
 
 
-def game_table(log: DataFrame, cfg: Config) -> DataFrame:
-    """One row of metadata for each game of decoded logs."""
+def game_table(log: DataFrame, cfg: Config, built: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """One row of metadata for each game of decoded logs; ``built`` has their frames and games if they are there already."""
     packets = logs.packets(log)
-    frames, games = frames_from_logs(packets, logs.referee_messages(log), cfg)
+    frames, games = built or frames_from_logs(packets, logs.referee_messages(log), cfg)
     raw = source_filter(frames_from_tracker(packets), cfg.tracker_source)
     rows = audit.metadata(games).withColumn("year", year_from_name(F.element_at(F.split("source_log", "/"), -1)))
     rows = rows.join(audit.frame_audit(frames), "game_id").join(audit.message_audit(raw), "game_id")
