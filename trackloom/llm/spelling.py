@@ -42,15 +42,15 @@ def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     return edited.where(F.length("word") >= least_chars).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_n)
 
 
-def near_in_list(query: str, listed: list[str]) -> Iterator[int]:
-    """Places in the sorted list of the words exactly one edit from ``query``.
+def near_in_list(query: str, listed: list[str], start: int = 0) -> Iterator[int]:
+    """Places in the sorted list, from ``start``, of the words exactly one edit from ``query``.
 
     ``row[d]`` holds the cells of depth d on the three diagonals around the main one: the edits
     from the query's first d-1, d and d+1 code points to the word's first d; more than one is two.
     """
     width = len(query)
     rows: list[tuple[int, int, int]] = [(2, 0, 1)]
-    k, before, kept = 0, "", 0
+    k, before, kept = start, "", 0
     while k < len(listed):
         word = listed[k]
         d, most = 0, min(kept, len(word))
@@ -149,12 +149,12 @@ def near_pairs(vocabulary: DataFrame, most: int = FILE_ROWS) -> DataFrame:
         turn = (lambda w: free(w)[::-1]) if left == 0 else free
         short = sorted((turn(w), w) for w in found if len(w) == m)
         longer = sorted((turn(w), w) for w in found if len(w) == m + 1)
-        for listed in (short, longer):
-            keys = [x for x, _ in listed]
-            for x, w in short:
-                for k in near_in_list(x, keys):
-                    if len(listed[k][1]) > m or listed[k][1] > w:
-                        yield w, listed[k][1]
+        keys, long_keys = [x for x, _ in short], [x for x, _ in longer]
+        for place, (x, w) in enumerate(short):
+            for k in near_in_list(x, keys, place + 1):
+                yield min(w, short[k][1]), max(w, short[k][1])
+            for k in near_in_list(x, long_keys):
+                yield w, longer[k][1]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, found, out = None, [], []
