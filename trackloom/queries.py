@@ -672,10 +672,40 @@ def q_standard_pipeline(spark, d):
     return pipelines.build(_ticks(spark, d), adapters.events_games(spark, d), TICKS, adapters.label_reviews(spark, d)).samples
 
 
-@query(None)
+#: Settings under which every step of the cleaning leaves something out and over a thousand samples stay.
+_AUTO = replace(
+    TICKS, max_gap_s=864000.0, min_sequence_frames=4, max_sequence_frames=60, window=replace(TICKS.window, stride=1),
+    clean=replace(TICKS.clean, teleport_m=0.00003, spike_m=7.0, min_visibility=0.02, min_ball_visibility=0.02, min_quality=0.9),
+)
+#: The cleaning, step by step: repeated times, hidden robots, jumps, spikes, medians of three, hidden balls; then the gate.
+_CLEANED = """, c1 AS (SELECT * EXCLUDE (_d) FROM (SELECT *, t - lag(t) OVER (PARTITION BY game_id ORDER BY pos) AS _d FROM fr1) WHERE _d IS NULL OR abs(_d) > 2.220446049250313e-16),
+c2 AS (SELECT * FROM c1 WHERE rv >= 0.02 AND ov >= 0.02),
+c3 AS (SELECT * EXCLUDE (_t, _r, _o, _b) FROM (SELECT *, t - lag(t) OVER w AS _t, sqrt((rx - lag(rx) OVER w) * (rx - lag(rx) OVER w) + (ry - lag(ry) OVER w) * (ry - lag(ry) OVER w)) AS _r,
+    sqrt((ox - lag(ox) OVER w) * (ox - lag(ox) OVER w) + (oy - lag(oy) OVER w) * (oy - lag(oy) OVER w)) AS _o, sqrt((x - lag(x) OVER w) * (x - lag(x) OVER w) + (y - lag(y) OVER w) * (y - lag(y) OVER w)) AS _b
+  FROM c2 WINDOW w AS (PARTITION BY game_id ORDER BY pos)) WHERE NOT coalesce(_t > 0 AND (coalesce(greatest(_r, _o) > 0.00003::DOUBLE * greatest(_t / 0.033::DOUBLE, 1), false) OR coalesce(_b > 0.00006::DOUBLE * greatest(_t / 0.033::DOUBLE, 1), false)), false)),
+c4 AS (SELECT *, (t - lag(t) OVER w) / (lead(t) OVER w - lag(t) OVER w) AS _s, lag(rx) OVER w AS r0, lead(rx) OVER w AS r1, lag(ry) OVER w AS s0, lead(ry) OVER w AS s1,
+    lag(ox) OVER w AS o0, lead(ox) OVER w AS o1, lag(oy) OVER w AS q0, lead(oy) OVER w AS q1 FROM c3 WINDOW w AS (PARTITION BY game_id ORDER BY pos)),
+c5 AS (SELECT * EXCLUDE (_s, r0, r1, s0, s1, o0, o1, q0, q1) FROM c4 WHERE NOT coalesce(
+  (rx - r0 - _s * (r1 - r0)) * (rx - r0 - _s * (r1 - r0)) + (ry - s0 - _s * (s1 - s0)) * (ry - s0 - _s * (s1 - s0)) > 49
+  OR (ox - o0 - _s * (o1 - o0)) * (ox - o0 - _s * (o1 - o0)) + (oy - q0 - _s * (q1 - q0)) * (oy - q0 - _s * (q1 - q0)) > 49, false)),
+mid AS (SELECT *, """ + ", ".join(
+    f"CASE WHEN lag({c}) OVER w IS NOT NULL AND lead({c}) OVER w IS NOT NULL AND {c} IS NOT NULL THEN list_sort([lag({c}) OVER w, {c}, lead({c}) OVER w])[2] ELSE {c} END AS m_{c}"
+    for c in ("rx", "ry", "ox", "oy", "x", "y")
+) + """ FROM c5 WINDOW w AS (PARTITION BY game_id ORDER BY pos)),
+fr AS (SELECT * REPLACE (m_rx AS rx, m_ry AS ry, m_ox AS ox, m_oy AS oy, CASE WHEN bv >= 0.02 THEN m_x END AS x, CASE WHEN bv >= 0.02 THEN m_y END AS y) FROM mid)"""
+_AUTO_WIN = _WIN[len(FRAMES):].replace("> 86400", "> 864000").replace("BETWEEN 5 AND 12", "BETWEEN 4 AND 60").replace(", seqs AS (", ", seqs0 AS (")
+_GATED = ", seqs AS (SELECT * REPLACE (row_number() OVER (PARTITION BY game_id ORDER BY first_pos) - 1 AS sequence_index) FROM seqs0 WHERE quality_score >= 0.9)"
+
+
+@query(f"""WITH {_BEFORE.replace(", fr AS (", ", fr1 AS (")}{_CLEANED}{_AUTO_WIN.replace(", played AS (", _GATED + ", played AS (")}, {_SPLIT_OF}
+SELECT w.game_id, w.sequence_index, w.window_index, ts0 AS timestamp_start_s, t AS timestamp_end_s, sp.split, variant, round(quality_score, 6) AS quality_score,
+  round(CASE WHEN u % 2 = 0 THEN rx - nrx ELSE nrx - rx END, 3) + 0.0 AS dx, round(CASE WHEN variant = 'mirror_y' THEN ry - nry ELSE nry - ry END, 3) + 0.0 AS dy
+FROM win w JOIN sp ON w.game_id = sp.game_id JOIN seqs q ON q.game_id = w.game_id AND q.sequence_index = w.sequence_index, (VALUES ('base'), ('mirror_y'), ('noise')) AS kinds(variant) WHERE window_index >= 0 AND nrx IS NOT NULL""")
 def q_automatic_pipeline(spark, d):
-    cfg = replace(TICKS, clean=replace(TICKS.clean, teleport_m=0.5, min_visibility=0.1), min_sequence_frames=4)
-    return pipelines.build(_ticks(spark, d), adapters.events_games(spark, d), cfg, automatic=True).samples
+    """The automatic pipeline's samples: what the cleaning and the gate leave, and where the smoothed robot goes next."""
+    rows = pipelines.build(_ticks(spark, d), adapters.events_games(spark, d), _AUTO, automatic=True).samples
+    t = lambda k, n: (F.round(F.get("target", F.lit(k)).cast("double"), 3) + 0.0).alias(n)
+    return rows.select("game_id", "sequence_index", "window_index", "timestamp_start_s", "timestamp_end_s", "split", "variant", F.round("quality_score", 6).alias("quality_score"), t(0, "dx"), t(1, "dy"))
 
 
 #: The same SQL over three long games instead of one for each user.
