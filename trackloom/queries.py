@@ -12,7 +12,7 @@ from .config import Config
 from .functions.geometry import one_hot_phase, role_code, wrap_angle
 from .operators import audit, augment, clean, dynamics, frames as fr, ingest, resample, review, samples, scans, sequences, splits, tracking
 from .plans import pipelines
-from .schemas import ROBOT
+from .schemas import BALL, FLAGS, REFEREE, ROBOT
 from .scratch import scratch_path
 from .sources import adapters
 from .sources.adapters import TICKS
@@ -630,14 +630,7 @@ def q_tracking(spark, d):
     return out.select("game_id", "frame_number", "yellow", "blue", "yellow_swap", "blue_swap")
 
 
-@query(f"""WITH RECURSIVE o AS (SELECT CAST(o_custkey % 50 AS VARCHAR) AS game_id, o_orderkey AS n, row_number() OVER (PARTITION BY o_custkey % 50 ORDER BY o_orderdate, o_orderkey) - 1 AS pos FROM orders),
-lane AS (SELECT o.game_id, o.n, o.pos, r, CASE WHEN r = 4 THEN CASE WHEN pos % 20 < 8 THEN pos WHEN pos % 20 < 16 THEN pos - pos % 20 + 7 END WHEN (pos + r) % 4 <> 0 THEN pos ELSE pos - 1 END AS lp,
-  CASE WHEN r = 4 THEN CASE WHEN pos < 20 THEN 3 ELSE 4 + pos // 20 END WHEN r = 0 THEN 4 ELSE r - 1 END AS id FROM o, range(5) t(r)),
-seen AS (SELECT l.*, 2 * l.r - 3 + 0.01::DOUBLE * (o.n % 7) AS x, row_number() OVER (PARTITION BY l.game_id, l.pos ORDER BY l.r) - 1 AS slot FROM lane l JOIN o ON o.game_id = l.game_id AND o.pos = l.lp),
-was AS (SELECT *, lag(lp) OVER (PARTITION BY game_id, r, id ORDER BY pos) AS before FROM seen)
-SELECT game_id, n AS frame_number, string_agg(id, ',' ORDER BY slot) AS ids, string_agg(substr('GDDMM', CAST(slot AS INT) + 1, 1), '' ORDER BY slot) AS roles, round(sum(x * (slot + 1)), 6) AS places,
-  bool_or(lp = pos AND before IS NOT NULL AND before // 16 <> pos // 16) AS swapped FROM was GROUP BY game_id, n""")
-def q_tracking_lanes(spark, d):
+def _lanes(spark: SparkSession, d: str) -> DataFrame:
     """Five robots far apart, one of four hidden in each frame and the fifth out of sight for long: only one matching is possible."""
     o = adapters.read(spark, d, "orders").select((F.col("o_custkey") % 50).cast("string").alias("game_id"), F.col("o_orderkey").alias("frame_number"), "o_orderdate")
     order = Window.partitionBy("game_id").orderBy("o_orderdate", "frame_number")
@@ -647,7 +640,18 @@ def q_tracking_lanes(spark, d):
     robots = F.array_compact(F.array(*[
         F.when(~hidden(r), adapters._robot(F.lit(2.0 * r - 3) + 0.01 * (F.col("frame_number") % 7), zero, zero, F.lit(1.0), r + 10 * F.floor(pos / 16), F.lit(None))) for r in range(5)
     ]))
-    tracked = tracking.track(placed.withColumns({"yellow": robots, "blue": F.array().cast(f"array<{ROBOT}>")}), replace(TICKS, identity=Config().identity))
+    return tracking.track(placed.withColumns({"yellow": robots, "blue": F.array().cast(f"array<{ROBOT}>")}), replace(TICKS, identity=Config().identity))
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT CAST(o_custkey % 50 AS VARCHAR) AS game_id, o_orderkey AS n, row_number() OVER (PARTITION BY o_custkey % 50 ORDER BY o_orderdate, o_orderkey) - 1 AS pos FROM orders),
+lane AS (SELECT o.game_id, o.n, o.pos, r, CASE WHEN r = 4 THEN CASE WHEN pos % 20 < 8 THEN pos WHEN pos % 20 < 16 THEN pos - pos % 20 + 7 END WHEN (pos + r) % 4 <> 0 THEN pos ELSE pos - 1 END AS lp,
+  CASE WHEN r = 4 THEN CASE WHEN pos < 20 THEN 3 ELSE 4 + pos // 20 END WHEN r = 0 THEN 4 ELSE r - 1 END AS id FROM o, range(5) t(r)),
+seen AS (SELECT l.*, 2 * l.r - 3 + 0.01::DOUBLE * (o.n % 7) AS x, row_number() OVER (PARTITION BY l.game_id, l.pos ORDER BY l.r) - 1 AS slot FROM lane l JOIN o ON o.game_id = l.game_id AND o.pos = l.lp),
+was AS (SELECT *, lag(lp) OVER (PARTITION BY game_id, r, id ORDER BY pos) AS before FROM seen)
+SELECT game_id, n AS frame_number, string_agg(id, ',' ORDER BY slot) AS ids, string_agg(substr('GDDMM', CAST(slot AS INT) + 1, 1), '' ORDER BY slot) AS roles, round(sum(x * (slot + 1)), 6) AS places,
+  bool_or(lp = pos AND before IS NOT NULL AND before // 16 <> pos // 16) AS swapped FROM was GROUP BY game_id, n""")
+def q_tracking_lanes(spark, d):
+    tracked = _lanes(spark, d)
     slots = F.filter("yellow", lambda s: s.isNotNull())
     places = F.aggregate(F.transform(slots, lambda s, i: s["x"] * (i + 1)), F.lit(0.0), lambda a, x: a + x)
     return tracked.select(
@@ -708,6 +712,48 @@ def q_automatic_pipeline(spark, d):
     return rows.select("game_id", "sequence_index", "window_index", "timestamp_start_s", "timestamp_end_s", "split", "variant", F.round("quality_score", 6).alias("quality_score"), t(0, "dx"), t(1, "dy"))
 
 
+@query(SQL["q_tracking_lanes"].split("SELECT game_id, n AS frame_number")[0] + """, frame AS (
+SELECT game_id, n, pos, count(*) FILTER (WHERE r < 4) AS present, bool_or(lp = pos AND before IS NOT NULL AND before // 16 <> pos // 16) AS swapped FROM was GROUP BY ALL),
+f AS (SELECT *, epoch(o_orderdate) AS t FROM frame JOIN orders ON o_orderkey = n),
+b AS (SELECT *, coalesce(abs(t - lag(t) OVER w) <= 2.220446049250313e-16, false) AS dup, CASE WHEN pos IN (0, 2) OR t - lag(t) OVER w > 1728000 THEN 1 ELSE 0 END AS s FROM f WINDOW w AS (PARTITION BY game_id ORDER BY pos)),
+g AS (SELECT *, sum(s) OVER (PARTITION BY game_id ORDER BY pos) AS segment FROM b),
+k AS (SELECT game_id, min(pos) AS first_pos, count(*) AS frames, count(*) FILTER (WHERE swapped) AS swaps, count(*) FILTER (WHERE pos >= 2) AS carried, avg(CAST(dup AS INT)) AS dups, avg((6 - present) / 6::DOUBLE) AS missing FROM g GROUP BY game_id, segment),
+q AS (SELECT *, CASE WHEN swaps > 0 THEN 'Transition' WHEN carried > frames // 3 THEN 'OpenPlay' ELSE 'Unknown' END AS kind FROM k WHERE frames BETWEEN 3 AND 40)
+SELECT game_id, row_number() OVER (PARTITION BY game_id ORDER BY first_pos) - 1 AS sequence_index, frames AS frame_count, kind AS sequence_kind,
+  round(least(1.0::DOUBLE, 0.65::DOUBLE + (1 - dups) * 0.1::DOUBLE + (1 - missing) * 0.15::DOUBLE + (1 - swaps / frames) * 0.2::DOUBLE + CASE WHEN kind = 'OpenPlay' THEN 0.05::DOUBLE ELSE 0 END), 6) AS score,
+  concat_ws(',', CASE WHEN dups > 0.03 THEN 'duplicate-timestamps' END, CASE WHEN missing > 0.1 THEN 'missing-robots' END, CASE WHEN swaps > 0 THEN 'identity-instability' END, 'mixed-live-state') AS warnings FROM q""")
+def q_transition_sequences(spark, d):
+    """Sequences of tracked lanes, most with a swap of identities; the ball lies still, and one robot is off the field."""
+    cfg = replace(TICKS, max_gap_s=1728000.0, min_sequence_frames=3, max_sequence_frames=40)
+    tracked = _lanes(spark, d).withColumns({"timestamp_s": F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 1e6, "ball": F.struct(*[F.lit(0.0) for _ in range(7)], F.lit(1.0)).cast(BALL)})
+    games = tracked.select("game_id").distinct().withColumns({"referee": F.lit(None).cast(REFEREE), "target_color": F.lit("Yellow")})
+    found = sequences.summarise(sequences.segment(fr.clean_frames(tracked, games, cfg), cfg), cfg)
+    return found.select("game_id", "sequence_index", "frame_count", "sequence_kind", F.round("quality_score", 6).alias("score"), F.concat_ws(",", "warnings").alias("warnings"))
+
+
+@query(f"""WITH {LINES}, e AS (SELECT *, slot - 1 AS i FROM r WHERE side = 'O'), m AS (
+SELECT a.game_id, a.n, a.i, CASE WHEN b.i < a.i THEN b.i ELSE b.i - 1 END * 14 AS first, b.x - a.x AS dx, b.y - a.y AS dy, b.v FROM e a JOIN e b ON a.n = b.n AND a.i <> b.i)
+SELECT game_id, n AS frame_number, CAST(i AS INT) AS ego_slot, count(*) AS mates, round(sum((first + 1) * dx / 4.5::DOUBLE + (first + 2) * dy / 3 + (first + 8) + (first + 9) * sqrt(dx * dx + dy * dy) / 9
+  + (first + 10) * sin(atan2(dy, dx)) + (first + 11) * cos(atan2(dy, dx)) + (first + 12) * v + (first + 14)), 4) + 0.0 AS weighted FROM m GROUP BY ALL""")
+def q_mates_features(spark, d):
+    """All entries that an ego's mates have in a step, as a weighted sum, for every robot with mates."""
+    f = _lines(spark, d).withColumns(
+        {"flags": F.lit(None).cast(FLAGS), "referee": F.lit(None).cast(REFEREE), "live": F.lit(False), "phase": F.lit("Unknown"), "ego_slot": F.explode(F.sequence(F.lit(0), F.lit(5)))}
+    )
+    seen = fr.count_present(F.col("target_team"))
+    step = f.where(F.get("target_team", "ego_slot").isNotNull() & (seen > 1)).withColumn("mates", F.slice(samples.step_features(TICKS), 30, 70))
+    weighted = F.aggregate(F.transform("mates", lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return step.select("game_id", "frame_number", "ego_slot", (seen - 1).alias("mates"), (F.round(weighted, 4) + 0.0).alias("weighted"))
+
+
+@query(SQL["q_norm_stats_vectors"])
+def q_norm_stats_merged(spark, d):
+    """The same statistics from moments of seven groups of vectors, merged."""
+    parts = splits.moments(_vectors(spark, d).withColumn("part", F.col("vec_id") % 7), splits.magnitudes_of_inputs(F.col("input")), ["part"])
+    s = splits.merged_stats(parts)
+    return s.select(*[F.round(c, 5).alias(c) for c in s.columns[:4]], "sample_count")
+
+
 #: The same SQL over three long games instead of one for each user.
 _LONG = ("CAST(user_id AS VARCHAR) AS game_id, user_id AS u", "CAST(user_id % 3 + 1 AS VARCHAR) AS game_id, user_id % 3 + 1 AS u")
 _PIECE_S = 5 * 86400.0
