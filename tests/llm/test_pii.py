@@ -87,6 +87,49 @@ def test_dynamic_program_is_optimal(spark):
         assert abs(score - best(text, toks, 0)) < 1e-9
 
 
+def numeric(n: int) -> dict[str, str]:
+    r = random.Random(9)
+    return {
+        "ones": "1 " * (n // 2), "csv": ",".join(str(r.randrange(10**5)) for _ in range(n // 6)), "two": " ".join(str(r.randrange(10, 100)) for _ in range(n // 3)),
+        "hex": " ".join(f"{r.randrange(256):02x}" for _ in range(n // 3)), "floats": " ".join(f"{r.uniform(-99, 99):.4f}" for _ in range(n // 8)),
+        "one number": "7" * n, "dates": "\n".join(f"2024-01-{r.randrange(30):02} 10:{r.randrange(60):02}:33.123 GET /a/{r.randrange(10**6)} 200" for _ in range(n // 40)),
+    }
+
+
+def test_numeric_text_has_few_candidates():
+    """Less than two for each character, of any length, and each inside the bounds."""
+    for name, text in numeric(20_000).items():
+        found = list(pii.candidates(text, 0, len(text)))
+        assert len(found) < 2 * len(text), name
+        assert all(e - a <= pii.MAX_CHARS and "\n" not in text[a:e] for _, _, a, e in found)
+    assert not list(pii.candidates("1 " * 1000, 0, 2000))
+
+
+def test_groups_are_settled_like_the_whole():
+    """Viterbi over all candidates of a stretch at once gives the same segments."""
+    field = pii.Field().fit([("call +1 (504) 555-2652 now", [(5, 22, "phone")]), ("at 10.0.0.1 or 5", [(3, 11, "ip")]), ("no 12 here", []), ("card 4111 1111 1111 1111", [(5, 24, "card")])] * 5)
+    field.w[field.index["bias"]] += 1.5  # so that candidates overlap
+    for name, text in numeric(600).items():
+        toks = pii.tokens(text, 0, len(text))
+        scored: dict[int, list] = {}
+        for i, j, a, e in pii.candidates(text, 0, len(text)):
+            assert (toks[i][0], toks[j][1]) == (a, e)
+            scored.setdefault(j, []).append((i, *field.score(text, a, e)))
+        best = [0.0]
+        for j in range(len(toks)):
+            best.append(max([best[j]] + [best[i] + by for i, by, _ in scored.get(j, ())]))
+        spans = list(field.decode(text, 0, len(text)))
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        assert abs(sum(field.score(text, a, e)[0] for a, e, _ in spans) - best[-1]) < 1e-6, name
+
+
+def test_a_long_numeric_text_is_reported_whole(spark):
+    model = pii.Field().fit([("call +1 (504) 555-2652 now", [(5, 22, "phone")]), ("no 12 here", [])] * 5)
+    text = "1 " * 100_000 + "+1 (504) 555-2652 x " + "12,34," * 20_000
+    rows = pii.report(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
+    assert rows[0]["n_phone"] == 1 and "phone:200000:200017" in rows[0]["spans"]
+
+
 def test_gradient_against_all_segmentations():
     """The likelihood's slope, by enumerating every segmentation of a short stretch."""
     text, gold = "a +1 555 b", [(2, 8, "phone")]

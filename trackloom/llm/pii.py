@@ -15,6 +15,7 @@ import hashlib
 import pickle
 import re
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -166,28 +167,29 @@ class Field:
             out.append(here)
         return out
 
-    def decode(self, text: str, start: int, end: int) -> list[Span]:
-        """The best segmentation of one stretch: Viterbi over bounded segments."""
-        toks = tokens(text, start, end)
-        best, back = [0.0], [None]
-        for j, here in enumerate(self.lattice(text, toks)):
-            score, via = best[j] + self.off, None
-            for i, rows in here:
-                by = self.w[rows].sum(axis=0)
-                t = int(by.argmax())
-                if best[i] + by[t] > score:
-                    score, via = best[i] + by[t], (i, t)
-            best.append(score)
-            back.append(via)
-        out, j = [], len(toks)
-        while j:
-            if back[j] is None:
-                j -= 1
-            else:
-                i, t = back[j]
-                out.append((toks[i][0], toks[j - 1][1], TYPES[t]))
-                j = i
-        return out[::-1]
+    def score(self, text: str, start: int, end: int) -> tuple[float, int]:
+        """The best type's sum of weights for one candidate, and the type."""
+        by = self.w[self.rows(features(text, start, end), False)].sum(axis=0)
+        t = int(by.argmax())
+        return float(by[t]), t
+
+    def decode(self, text: str, start: int, end: int) -> Iterator[Span]:
+        """The best segmentation of one stretch: Viterbi over bounded segments.
+
+        A token outside any span counts 0, so only candidates above 0 can be in the best one.
+        Those that overlap, directly or through others, are settled together and forgotten.
+        """
+        group: list[tuple[int, int, int, int, float, int]] = []
+        reach = 0
+        for i, j, a, e in candidates(text, start, end):
+            by, t = self.score(text, a, e)
+            if by > 0:
+                if group and i > reach:
+                    yield from _settle(group)
+                    group = []
+                reach = max(reach, j) if group else j
+                group.append((i, j, a, e, by, t))
+        yield from _settle(group)
 
     def fit(self, examples: list[tuple[str, list[Span]]], epochs: int = 6, rate: float = 0.2, decay: float = 1e-3, seed: int = 3) -> Field:
         """Adagrad on the conditional log-likelihood; expectations by forward and backward sums.
@@ -219,6 +221,89 @@ class Field:
         return self
 
 
+#: What a span can be: runs and digits of numbers, the length of a key.
+MAX_RUNS, LEAST_DIGITS, MOST_DIGITS = 6, 9, 24
+_SPELT = re.compile(rf"@|{_AT.pattern}")
+
+
+def candidates(text: str, start: int, end: int) -> Iterator[tuple[int, int, int, int]]:
+    """``first token, last token, start, end`` of the segments that can be a span, by their first token.
+
+    They have up to ``MAX_CHARS`` characters of one line, and an at-sign or a spelt-out one, or a
+    long mixed key, or four runs of digits with three dots between, or 9 to 24 digits in at most six runs
+    that begin like a number and end like one.  That is counted token by token, so a table of
+    numbers has a few candidates for each number, whatever its length.
+    """
+    ahead: deque[tuple[int, int, int, bool]] = deque()  # start, end, digits, whether it is a key
+    more = _TOKEN.finditer(text, start, end)
+    marks = [m.span() for m in _SPELT.finditer(text, start, end)]
+    at, i, before, done = 0, 0, None, False
+    while True:
+        while not done and (not ahead or ahead[-1][1] - ahead[0][0] <= MAX_CHARS):
+            m = next(more, None)
+            if m is None:
+                done = True
+            else:
+                s = m[0]
+                digits = len(s) if s.isascii() and s.isdigit() else sum(map(s.count, "0123456789")) if len(s) >= 20 else 0
+                ahead.append((*m.span(), digits, 0 < digits < len(s)))
+        if not ahead:
+            return
+        a = ahead[0][0]
+        while at < len(marks) and marks[at][0] < a:
+            at += 1
+        spelt = marks[at][1] if at < len(marks) else len(text) + 1
+        if before is None or before < a or not (text[a - 1].isalnum() and text[a].isalnum()):
+            line = text.find("\n", a, a + MAX_CHARS + 1)
+            last = a + MAX_CHARS if line < 0 else min(line, a + MAX_CHARS)
+            digits = runs = dots = 0
+            opens, joined = text[a].isalnum() or text[a] in "+(", a
+            for k, (b, e, n, key) in enumerate(ahead):
+                if e > last:
+                    break
+                if key:
+                    digits, runs = digits + n, runs + len(re.findall("[0-9]+", text[b:e]))
+                elif n:
+                    digits, runs = digits + n, runs + 1
+                elif text[b] == ".":
+                    dots += 1
+                joined = b
+                number = opens and text[b].isalnum() and ((LEAST_DIGITS <= digits <= MOST_DIGITS and runs <= MAX_RUNS) or (dots == 3 and runs == 4))
+                if number or spelt <= e or (key and joined == a):
+                    yield i, i + k, a, e
+                elif (digits > MOST_DIGITS or runs > MAX_RUNS) and spelt > last:
+                    break
+        before = ahead.popleft()[1]
+        i += 1
+
+
+def _settle(group: list[tuple[int, int, int, int, float, int]]) -> list[Span]:
+    """The heaviest candidates of a group that don't overlap; of equal ones the shortest, and none before any."""
+    if not group:
+        return []
+    first, last = group[0][0], max(c[1] for c in group)
+    by_end: dict[int, list[tuple[int, int, int, int, float, int]]] = {}
+    for c in group:
+        by_end.setdefault(c[1], []).append(c)
+    best, back = [0.0], [None]
+    for j in range(first, last + 1):
+        score, via = best[-1], None
+        for c in sorted(by_end.get(j, ()), key=lambda c: -c[0]):
+            if best[c[0] - first] + c[4] > score:
+                score, via = best[c[0] - first] + c[4], c
+        best.append(score)
+        back.append(via)
+    out, j = [], last - first + 1
+    while j:
+        if back[j] is None:
+            j -= 1
+        else:
+            i, _, a, e, _, t = back[j]
+            out.append((a, e, TYPES[t]))
+            j = i - first
+    return out[::-1]
+
+
 class Case:
     """One training stretch: its candidate segments in order of their ends, and their features as one array."""
 
