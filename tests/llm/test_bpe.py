@@ -89,6 +89,56 @@ def test_a_join_that_does_not_agree_is_encoded_whole():
     assert tool.encode(t).tolist() == ids_of(t) and tool.wholes == 1
 
 
+BODIES = {
+    "cyrillic": ("абвгдежзиклмнопрст", " "), "greek": ("αβγδεζηθικλμνξο", " "), "han": ("的一是不了人我在有他这中大来上国个到说们", "，"), "tabs": ("abcdefgh", "\t"),
+    "lines": ("abcdefgh", "\n"), "accents": ("éèàüößñ", " "), "numbers": ("0123456789", ", "), "kana": ("あいうえおかきくけこ", "。"), "arabic": ("ابتثجحخد", " "),
+}
+
+
+def test_every_script_shares_its_chunks():
+    for name, (letters, between) in BODIES.items():
+        r = random.Random(3)
+        words = ["".join(r.choices(letters, k=r.randrange(2, 8))) for _ in range(400)]
+        body = between.join(r.choices(words, k=6000))
+        tool = bpe.Encoder(bpe.vocabulary())
+        assert tool.encode(body).tolist() == ids_of(body), name
+        fresh, reused = tool.fresh, tool.reused
+        again = f"in front {body} behind"
+        assert tool.encode(again).tolist() == ids_of(again), name
+        assert (tool.reused - reused) / (tool.reused - reused + tool.fresh - fresh) > 0.8 and tool.wholes == 0, name
+
+
+def test_kinds_of_characters_split_as_the_library_does():
+    """Wherever the kinds say so, the library begins a token, whatever stands on either side."""
+    r = random.Random(4)
+    some = ["a", "é", "я", "中", "1", "٣", "½", " ", "\n", "\t", "\u3000", "\xa0", "'", "’", "!", "，", "🙂", "\u0301", "\x1c", "\x85", "s", "t", "ll"]
+    tool = bpe.Encoder(bpe.vocabulary())
+    for _ in range(4000):
+        left, right = "".join(r.choices(some, k=r.randrange(1, 6))), "".join(r.choices(some, k=r.randrange(1, 6)))
+        if bpe.splits(bpe.kind_of(left[-1]), bpe.kind_of(right[0])):
+            assert ids_of(left + right) == ids_of(left) + ids_of(right) == tool.encode(left + right).tolist(), (left, right)
+
+
+def test_no_chunk_is_long(spark):
+    for run in ("=", " ", "ab", "<br>", "é", "中", "🙂"):
+        text = "words before. " + run * (200_000 // len(run)) + " and after"
+        chunks = bpe.chunks_of(text)
+        assert b"".join(chunks).decode() == text and max(map(len, chunks)) <= 8 * bpe.MEAN_CHUNK
+        assert all(c.decode() for c in chunks)  # none is cut inside a character
+    five = "=" * 5_000_000
+    shared = bpe.shared_chunks(spark.createDataFrame([(1, "one " + five), (2, "two " + five)], "doc_id long, text string"))
+    assert 0 < sum(len(k) + len(v) for k, v in shared.items()) < 64 << 10
+    texts = [" ".join(f"w{i}" for i in range(20_000))] * 2
+    few = bpe.shared_chunks(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), most_bytes=10_000)
+    assert 5_000 < sum(map(len, few)) <= 10_000
+
+
+def test_digests_of_odd_rows(odd):
+    texts = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in odd.select("doc_id", "text").collect())
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["decoded_sha256"]) for r in bpe.digests(odd).collect())
+    assert got == sorted((a, b, len(ids_of(t)), hashlib.sha256(t.encode()).hexdigest()) for a, b, t in texts)
+
+
 def test_columns_and_odd_rows(odd):
     out = bpe.encode(odd)
     assert out.columns == [*(c for c in odd.columns if c not in ("token_ids", "round_trip")), "token_ids"]

@@ -8,10 +8,11 @@ there for a while.
 
 Chunks are encoded by themselves, which can differ from encoding the whole at the joins.  Each
 join is therefore encoded again, over a stretch that grows to both sides until it begins and
-ends with tokens that its chunks have too, at places where the encodings must agree: in front
-of a single space between two ASCII characters that are not white space.  There the
+ends with tokens that its chunks have too, at places where the encodings must agree: where the
 pre-tokenizer starts a new piece whatever stands on either side, and merges do not cross
-pieces.  A chunk without such places joins its neighbours whole; a stretch that still doesn't
+pieces.  Its pieces hold one kind of character (letters, numbers, white space, others) behind at most one
+space, so that is wherever the kind changes, except behind white space and between an apostrophe
+and a letter.  A chunk without such places joins its neighbours whole; a stretch that still doesn't
 agree is a reason to encode the text in one piece.
 
 The special token is split off first, as the tokenizer does.
@@ -21,9 +22,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import unicodedata
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +44,15 @@ MEAN_CHUNK = 512
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, 9)], np.uint64)
 
 
+#: Fixed value: what the pre-tokenizer takes for white space.
+WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def cuts(data: bytes, mean: int = MEAN_CHUNK) -> list[int]:
-    """Byte positions where chunks end, by a rolling hash of eight bytes; never inside a character."""
+    """Byte positions where chunks end, by a rolling hash of eight bytes; never inside a character.
+
+    No chunk is longer than eight times the mean: a run without a cut is cut there, counted from the cut before it.
+    """
     if len(data) <= 16:
         return []
     x = np.frombuffer(data, np.uint8).astype(np.uint64)
@@ -51,7 +62,58 @@ def cuts(data: bytes, mean: int = MEAN_CHUNK) -> list[int]:
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     at = np.flatnonzero(h >> np.uint64(40) < np.uint64((1 << 24) // mean)) + 8
-    return at[(x[at] & np.uint64(0xC0)) != 0x80].tolist()
+    found = at[(x[at] & np.uint64(0xC0)) != 0x80].tolist()
+    most = 8 * mean
+    if all(b - a <= most for a, b in pairwise([0, *found, len(data)])):
+        return found
+    out, last = [], 0
+    for end in [*found, len(data)]:
+        while end - last > most:
+            last += most
+            while data[last] & 0xC0 == 0x80:
+                last -= 1
+            out.append(last)
+        if end < len(data):
+            out.append(end)
+            last = end
+    return out
+
+
+@cache
+def kind_of(char: str) -> str | None:
+    """``L``, ``N``, ``S`` or ``P`` for any other; an apostrophe is itself, and what isn't assigned is unknown."""
+    if char in WHITE:
+        return "S"
+    kind = unicodedata.category(char)
+    return None if kind == "Cn" else "'" if char == "'" else kind[0] if kind[0] in "LN" else "P"
+
+
+def splits(before: str | None, after: str | None) -> bool:
+    """Whether a new piece begins between characters of these kinds, whatever stands beside them."""
+    if before is None or after is None or before == "S":
+        return False
+    if before == "'":
+        return after in "SN"
+    return before != ("P" if after == "'" else after)
+
+
+def _edge(data: bytes, last: bool) -> str | None:
+    """The kind of the first or last character of some bytes, if all of it is there."""
+    if last:
+        at = max(len(data) - 1, 0)
+        while at > 0 and len(data) - at < 4 and data[at] & 0xC0 == 0x80:
+            at -= 1
+        data = data[at:]
+    else:
+        n = 1
+        while n < min(4, len(data)) and data[n] & 0xC0 == 0x80:
+            n += 1
+        data = data[:n]
+    try:
+        text = data.decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+    return kind_of(text) if len(text) == 1 else None
 
 
 def chunks_of(part: str) -> list[bytes]:
@@ -76,9 +138,8 @@ class Encoder:
         for piece, n in ranks.items():
             self.token[n] = piece
         self.token[SPECIAL_ID] = SPECIAL.encode()
-        graphic = range(0x21, 0x7F)
-        self.opens = [len(t) > 1 and t[0] == 0x20 and t[1] in graphic for t in self.token]
-        self.shuts = [bool(t) and t[-1] in graphic for t in self.token]
+        self.first = [_edge(t, False) for t in self.token]
+        self.last = [_edge(t, True) for t in self.token]
         self.kept: dict[bytes, tuple] = {}
         self.shared: dict[bytes, bytes] = {}
         self.keep_bytes, self.held, self.fresh, self.reused, self.wholes = keep_bytes, 0, 0, 0, 0
@@ -91,7 +152,11 @@ class Encoder:
         """The first two of ``places`` where a token begins at which any encodings agree."""
         out: list[int] = []
         for k in places:
-            if self.opens[ids[k]] and self.shuts[ids[k - 1]]:
+            # A character can be in several tokens: then its bytes are put together.
+            before = self.last[ids[k - 1]] or _edge(self._bytes(ids[max(0, k - 4) : k]), True)
+            if before is None or before == "S" or self.token[ids[k]][0] & 0xC0 == 0x80:
+                continue
+            if splits(before, self.first[ids[k]] or _edge(self._bytes(ids[k : k + 4]), False)):
                 out.append(k)
                 if len(out) == 2:
                     break
@@ -168,12 +233,12 @@ def encoder(path: str, shared: dict[bytes, bytes] | None = None) -> Encoder:
     return _ENCODERS[path]
 
 
-def shared_chunks(df: DataFrame, text_col: str = "text", ranks_path: str | None = None, most: int = 20_000) -> dict[bytes, bytes]:
+def shared_chunks(df: DataFrame, text_col: str = "text", ranks_path: str | None = None, most: int = 20_000, most_bytes: int = 16 << 20) -> dict[bytes, bytes]:
     """The ids, two bytes each, of the ``most`` chunks whose reuse saves most bytes, by their bytes.
 
     All chunks of all documents are counted by a 128-bit hash.  The chunks chosen are encoded
-    once each.  ``most`` bounds what is broadcast (a chunk has about ``MEAN_CHUNK`` bytes) and
-    changes no result: other chunks are encoded where they stand.
+    once each.  ``most`` and ``most_bytes`` bound what is broadcast (a chunk has at most eight times
+    ``MEAN_CHUNK`` bytes) and change no result: other chunks are encoded where they stand.
     """
     texts = df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
@@ -204,7 +269,13 @@ def shared_chunks(df: DataFrame, text_col: str = "text", ranks_path: str | None
 
     counted = texts.mapInArrow(count, "h binary, n long, size long").groupBy("h").agg(F.sum("n").alias("n"), F.max("size").alias("size")).where("n > 1")
     best = counted.orderBy(F.desc(F.expr("(n - 1) * size")), "h").limit(most)
-    wanted = df.sparkSession.sparkContext.broadcast({bytes(r["h"]) for r in best.select("h").collect()})
+    chosen, room = set(), most_bytes
+    for r in best.select("h", "size").collect():
+        room -= r["size"]
+        if room < 0:
+            break
+        chosen.add(bytes(r["h"]))
+    wanted = df.sparkSession.sparkContext.broadcast(chosen)
     if not wanted.value:
         return {}
 
@@ -289,7 +360,10 @@ def decode(df: DataFrame, ids_col: str = "token_ids", ranks_path: str | None = N
 
 
 def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, most_shared: int = 20_000) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row, without moving ids out of the task."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row, without moving ids out of the task.
+
+    A null text is the empty one: no ids, and digests of nothing.  A null id stays null.
+    """
     sent = df.sparkSession.sparkContext.broadcast(shared_chunks(df, text_col, ranks_path, most_shared))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
