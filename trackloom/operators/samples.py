@@ -112,8 +112,10 @@ def windows(frames: DataFrame, cfg: Config) -> DataFrame:
         )
         return F.when(now.isNotNull() & nxt.isNotNull(), made)
 
-    windowed = F.flatten(F.transform(F.sequence(F.lit(0), last), lambda k: F.transform(slots, lambda slot: cut((k * stride).cast("int"), slot))))
-    made = whole.where(F.size("_f") > size).select(*keys, "sequence_kind", "quality_score", "warnings", F.explode(windowed).alias("_w")).where("_w is not null")
+    # Starts and egos are listed first and one window is cut for each, so no row holds several.
+    starts = F.transform(F.sequence(F.lit(0), last), lambda k: F.transform(slots, lambda slot: F.struct((k * stride).cast("int").alias("at"), slot.alias("slot"))))
+    listed = whole.where(F.size("_f") > size).withColumn("_p", F.explode(F.flatten(starts)))
+    made = listed.select(*keys, "sequence_kind", "quality_score", "warnings", cut(F.col("_p.at"), F.col("_p.slot")).alias("_w")).where("_w is not null")
     return made.select(
         "game_id", "phase", "sequence_index", "stretch_index", "_w.window_index", "_w.ego_slot", "_w.role_label", "_w.input", "_w.target",
         sample_weight(F.col("phase"), cfg).alias("sample_weight"), "sequence_kind", "_w.timestamp_start_s", "_w.timestamp_end_s", F.col("warnings").alias("quality_flags"), "quality_score",
