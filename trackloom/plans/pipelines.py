@@ -13,6 +13,7 @@ from ..operators.dynamics import estimate_dynamics
 from ..operators.ingest import drop_consecutive_duplicates, frames_from_tracker, game_id_from_path, last_referee, order_frames, resolve_target_color, source_filter, year_from_name
 from ..operators.scans import in_pieces
 from ..operators.tracking import track
+from ..scratch import written
 from ..sources import logs
 
 
@@ -90,7 +91,8 @@ def build(frames: DataFrame, games: DataFrame, cfg: Config, reviews: DataFrame |
     The automatic pipeline has a quality gate and no reviews.
     """
     ready = automatic_frames(frames, cfg) if automatic else standard_frames(frames, cfg)
-    segmented = sequences.segment(ready, cfg)
+    # Read twice below, and again for grids: segments come from a table of their own.
+    segmented = written(sequences.segment(ready, cfg), "segments")
     found = sequences.summarise(segmented, cfg)
     if automatic:
         found = sequences.quality_gate(found, cfg.clean.min_quality)
