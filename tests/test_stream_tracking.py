@@ -97,3 +97,50 @@ def test_the_state_survives_its_text():
         tracking.advance(trackers["yellow"], seen, 2, CFG.identity)
     again, pos = online.recall(online.remember(trackers, 7))
     assert pos == 7 and again == trackers and online.recall(None) == ({s: tracking.Tracker() for s in online.SIDES}, 0)
+
+
+def test_growing_logs_are_followed(spark, tmp_path):
+    """Batches have whole messages only, and a restarted stream goes on where it was."""
+    import gzip
+    import struct
+
+    from tests.test_sources import field, log, packet
+    from trackloom.sources import logs
+    from trackloom.sources.logsource import TrackerLogs
+
+    spark.dataSource.register(TrackerLogs)
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    message = lambda k: struct.pack(">qii", 0, 5, len(packet(k))) + packet(k)
+    whole = {name: log([]) + b"".join(message(k) for k in range(40)) for name in ("a.log", "b.log")}
+    sink = str(tmp_path / "out")
+
+    def follow():
+        stream = spark.readStream.format("tracker_log").option("mode", "permissive").load(str(folder))
+        q = stream.select("path", "msg_pos", "kind", "frame_number").writeStream.format("parquet").option("path", sink).option("checkpointLocation", str(tmp_path / "state")).start()
+        q.processAllAvailable()
+        q.stop()
+
+    def grow(name, share):
+        data = whole[name]
+        (folder / name).write_bytes(data[: int(len(data) * share)])
+
+    grow("a.log", 0.31)  # ends inside a message
+    (folder / "b.log").write_bytes(whole["b.log"][:9])
+    follow()
+    first = spark.read.parquet(sink).count()
+    assert 0 < first < 40
+    grow("a.log", 0.77)
+    grow("b.log", 0.5)
+    (folder / "c.log.gz").write_bytes(gzip.compress(log([(5, packet(1)), (3, field(1, 5))])))
+    (folder / "bad.log").write_bytes(b"this is not a log at all")
+    follow()
+    for name in whole:
+        grow(name, 1.0)
+    follow()
+    follow()
+    cols = ["path", "msg_pos", "kind", "frame_number"]
+    name = F.element_at(F.split("path", "/"), -1).alias("path")
+    got = spark.read.parquet(sink).select(name, *cols[1:])
+    want = logs.read_logs(spark, str(folder), mode="permissive").select(name, *cols[1:])
+    assert told(got, cols) == told(want, cols) and got.count() == 83

@@ -18,7 +18,7 @@ from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -181,6 +181,74 @@ class LogReader(DataSourceReader):
             yield from rows_of(path, lambda p=path: open_log(p), size, arrow, self.options.get("mode", "failfast"), kinds, start, end, first)
 
 
+class LogFollower(DataSourceStreamReader):
+    """Logs of a folder as they grow: each batch has the messages that are whole by then.
+
+    An offset has the bytes and messages that are read of each log, so a batch can be read again
+    after a failure.  Only headers of new bytes are read to plan one.  A compressed log is taken once, as it is
+    when it is first seen; a log that can't be read is one row, or stops a fail-fast stream.
+    """
+
+    def __init__(self, schema: StructType, options: Mapping[str, str]):
+        self.inner = LogReader(schema, options)
+        self.path = options.get("path", "")
+        self.seen: dict[str, list[int]] = {}
+
+    def initialOffset(self) -> dict:
+        return {}
+
+    def latestOffset(self) -> dict:
+        for path, size in _listed(self.path):
+            at, pos = self.seen.get(path, (0, 0))
+            if at < size and (found := _whole_until(path, at, pos, size)) is not None:
+                self.seen[path] = found
+        return dict(self.seen)
+
+    def partitions(self, start: dict, end: dict) -> list[Ranges]:
+        for path, (at, pos) in end.items():  # what a restarted stream has read already
+            if self.seen.get(path, (0, 0))[0] < at:
+                self.seen[path] = [at, pos]
+        pieces = []
+        for path, (z, _) in sorted(end.items()):
+            a, pos = start.get(path, (0, 0))
+            if a < z:
+                pieces.append([path, z, a, z, pos])
+        return [Ranges([p]) for p in pieces] or [Ranges([])]
+
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        return self.inner.read(partition)
+
+
+#: Instead of a number of messages: a log that is read once, compressed or not one at all.
+_ONCE = -1
+
+
+def _whole_until(path: str, at: int, pos: int, size: int) -> list[int] | None:
+    """Bytes and messages of a log up to its last whole message, from where it is read to; None if none is new."""
+    if pos == _ONCE or size < 16:
+        return None
+    with open_log(path) as raw:
+        if at == 0:
+            if unpacked(raw) is not raw:
+                return [size, _ONCE]
+            try:
+                logs.begin(raw)
+            except ValueError:
+                return [size, _ONCE]
+            at = 16
+        raw.seek(at)
+        last, n = at, pos
+        try:
+            for last, _, _ in logs.walk(raw, at, None, size, lambda kind: False):
+                n += 1
+        except ValueError:  # the next message is still being written
+            pass
+        if n == pos:
+            return None
+        raw.seek(last)
+        return [last + 16 + int.from_bytes(raw.read(16)[12:16], "big"), n]
+
+
 def _listed(path: str) -> list[tuple[str, int]]:
     """Logs under a file or folder, by path."""
     from pyarrow import fs
@@ -193,7 +261,7 @@ def _listed(path: str) -> list[tuple[str, int]]:
 
 
 class TrackerLogs(DataSource):
-    """``spark.read.format("tracker_log").load(folder)``, once it is registered; ``logs.read_logs`` does so.
+    """``spark.read.format("tracker_log").load(folder)``, or ``readStream``, once it is registered; ``logs.read_logs`` does so.
 
     Options: ``mode`` (``failfast``, ``permissive``), ``kinds``, ``splitBytes``.
     """
@@ -207,3 +275,6 @@ class TrackerLogs(DataSource):
 
     def reader(self, schema: StructType) -> LogReader:
         return LogReader(schema, self.options)
+
+    def streamReader(self, schema: StructType) -> LogFollower:
+        return LogFollower(schema, self.options)
