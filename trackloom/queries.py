@@ -407,6 +407,17 @@ def q_game_payload(spark, d):
     return p.select("game_id", F.size("sequences").cast("bigint").alias("sequences"), frames.alias("frames"))
 
 
+@query(f"""WITH {SEGMENTS}, {VERDICTS} SELECT s.game_id, u % 2 = 0 AS blue_on_positive_half, row_number() OVER (PARTITION BY s.game_id ORDER BY s.sequence_index) - 1 AS place, s.sequence_index, start_frame, end_frame,
+  start_time_s, end_time_s, frame_count, round(quality_score, 6) AS quality_score, sequence_kind, coalesce(verdict, 'Unreviewed') AS verdict, coalesce(note, '') AS note
+FROM seqs s JOIN (SELECT DISTINCT game_id, u FROM e) g ON g.game_id = s.game_id LEFT JOIN v ON v.game_id = s.game_id AND v.sequence_index = s.sequence_index""")
+def q_game_payload_rows(spark, d):
+    """All that a game's payload says of its sequences, in the order of its list."""
+    p = review.game_payload(adapters.events_games(spark, d), _segmented(spark, d)[1], adapters.label_reviews(spark, d))
+    rows = p.select("game_id", F.col("referee.blue_team_on_positive_half").alias("blue_on_positive_half"), F.posexplode("sequences").alias("place", "s"))
+    own = ("sequence_index", "start_frame", "end_frame", "start_time_s", "end_time_s", "frame_count", "sequence_kind", "verdict", "note")
+    return rows.select("game_id", "blue_on_positive_half", F.col("place").cast("bigint").alias("place"), *[f"s.{c}" for c in own], F.round("s.quality_score", 6).alias("quality_score"))
+
+
 @query(f"""WITH {FRAMES} SELECT f.game_id, f.n AS frame_number, round(x, 6) AS clean_x, round(bx, 6) AS raw_x, least(pos + 1, 11) AS trail FROM fr f""")
 def q_compare_raw(spark, d):
     out = review.compare_with_raw(_ticks(spark, d), adapters.events_raw(spark, d))
