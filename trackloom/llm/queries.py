@@ -87,6 +87,13 @@ def texts_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
 
 
+def texts_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of ``op10_sharding``: sizes, checksums, and that the slots of a shard have no gap."""
+    placed = op10_sharding(spark, sf_dir)
+    shards = placed.groupBy("shard").agg((F.max("slot") + 1 == F.count("*")).alias("full"), (F.countDistinct("slot") == F.count("*")).alias("apart"))
+    return placed.join(F.broadcast(shards), "shard").select("doc_id", "size", "text_crc32", "law", "full", "apart", (F.col("shard").between(0, 15)).alias("known"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -104,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op13_lexical": op13_lexical,
         "texts_edited": texts_edited,
         "texts_base_counts": texts_base_counts,
+        "texts_placed": texts_placed,
     }
 
 
@@ -186,6 +194,12 @@ led AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 *
 way AS (SELECT word, word AS root, form AS next FROM led UNION ALL SELECT way.word, led.word, led.form FROM way JOIN led ON led.word = way.next)
 SELECT led.word, form, root, n, n_near, form_n FROM led JOIN way ON way.word = led.word AND way.next IS NULL"""
 
+PLACED_SQL = f"""
+WITH RECURSIVE rem AS (SELECT range AS b, 0 AS k, range AS c FROM range(256) UNION ALL SELECT b, k + 1, {_STEP.format('c')} FROM rem WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM rem WHERE k = 8), d AS (SELECT doc_id, string_split(hex(encode(coalesce(text, ''))), '') AS h FROM documents)
+SELECT doc_id, len(list_filter(h, lambda x: x <> '')) // 2 + 1 AS size, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h), 2), lambda i: instr('0123456789ABCDEF', h[i]) * 16 + instr('0123456789ABCDEF', h[i + 1]) - 17)),
+  lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) AS text_crc32, 'key' AS law, true AS "full", true AS apart, true AS known FROM d, crc"""
+
 _TERMS = f"regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 SEARCH_SQL = f"""
 WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents), sized AS (SELECT doc_id, len(ts) AS n, ts FROM d WHERE len(ts) > 0),
@@ -211,6 +225,6 @@ FROM documents"""
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express; the others are tested against plain versions."""
     return {
-        "op4_suffix_dedup": SUFFIX_SQL, "texts_edited": EDITED_SQL, "texts_base_counts": BASE_COUNTS_SQL,
+        "op4_suffix_dedup": SUFFIX_SQL, "texts_edited": EDITED_SQL, "texts_base_counts": BASE_COUNTS_SQL, "texts_placed": PLACED_SQL,
         "op3_decontamination": DECONTAMINATION_SQL, "op5_chat": CHAT_SQL, "op9_warc": WARC_SQL, "op12_spelling": VARIANTS_SQL, "op13_lexical": SEARCH_SQL,
     }
