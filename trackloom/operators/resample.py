@@ -33,8 +33,9 @@ def resample(frames: DataFrame) -> DataFrame:
     uneven = F.coalesce((F.col("_n") >= 3) & (F.col("_mean") > 0) & (F.col("_spread") > 0.25 * F.col("_mean")), F.lit(False))
     # Frame rows have tick -1; a game's first row also brings the ticks of its clock.
     most = F.when(uneven & (F.col("frame_pos") == F.col("_first")), F.ceil((F.col("_t1") - F.col("_t0")) / F.col("_mean")).cast("int") + 2).otherwise(-1)
-    body = F.struct(*frames.columns)
-    rows = facts.select("game_id", "_mean", "_t0", "_t1", uneven.alias("_uneven"), F.explode(F.sequence(F.lit(-1), most)).alias("_k"), body.alias("_f"))
+    # Of the ticks, only the first can have no frame before it: the others leave the frame that brought them behind.
+    body = F.when(F.col("_k") <= 0, F.struct(*frames.columns))
+    rows = facts.withColumns({"_uneven": uneven, "_k": F.explode(F.sequence(F.lit(-1), most))}).select("game_id", "_mean", "_t0", "_t1", "_uneven", "_k", body.alias("_f"))
     tick = F.col("_k") >= 0
     clock = F.sum(F.when(F.col("_k") == 0, F.col("_t0")).otherwise(F.col("_mean"))).over(
         Window.partitionBy("game_id", tick).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
