@@ -14,6 +14,7 @@ from trackloom.config import Config
 from trackloom.operators import dynamics, frames as fr, ingest, matching, resample, review, scans, sequences
 from trackloom.plans import pipelines
 from trackloom.schemas import BALL, REFEREE, ROBOT
+from trackloom.scratch import written
 from trackloom.sources.adapters import in_slots
 
 
@@ -132,6 +133,16 @@ def test_resampling_in_pieces(spark, long_game, games, seconds):
     assert resample.resample_split(every.limit(0), seconds).count() == 0
 
 
+def test_cleaning_in_pieces(long_game, games):
+    rows = 60
+    cfg = replace(CFG, clean=replace(CFG.clean, teleport_m=4.0, spike_m=4.0, min_target_robots=1, min_opponent_robots=1))
+    frames = written(pipelines.moving_frames(in_slots(ingest.order_frames(long_game), 2), games, cfg), "frames")
+    whole = pipelines.automatic_frames(frames, cfg)
+    parts = pipelines.automatic_frames(frames, cfg, piece_s=5.0, piece_rows=rows)
+    assert parts.columns == whole.columns and told(parts) == told(whole)
+    assert 100 < whole.count() < fr.live_only(resample.resample(frames), cfg).count()
+
+
 def test_sums_and_last_values_over_pieces(spark):
     r = random.Random(3)
     rows = [(r.choice("ab"), k, r.randrange(5) or None, r.choice([None, "x", "y", "z"])) for k in range(500)]

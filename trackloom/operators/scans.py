@@ -52,6 +52,17 @@ def in_pieces(frames: DataFrame, rows: int, before: int, after: int, operator: C
     return out.where(core).withColumn("game_id", F.substring(split, F.lit(1), F.length(split) - F.length(F.substring_index(split, _MARK, -1)) - 1))
 
 
+def step_in_pieces(frames: DataFrame, rows: int, before: int, after: int, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``in_pieces`` for frames whose ``frame_pos`` has gaps, as filters leave them: they are counted anew for the step.
+
+    Each step is written, so that a chain of them doesn't compute the ones before again and again.
+    """
+    counted = running_sum(frames, F.lit(1).cast("bigint"), ["frame_pos"], of_position(rows), "_n")
+    dense = written(counted.withColumns({"_kept_pos": F.col("frame_pos"), "frame_pos": F.col("_n") - 1}).drop("_n"), "step")
+    out = in_pieces(dense, rows, before, after, operator).withColumn("frame_pos", F.col("_kept_pos")).drop("_kept_pos")
+    return out.select(*frames.columns)
+
+
 def _order(columns: list[Column | str]) -> WindowSpec:
     return Window.partitionBy("game_id", "_piece").orderBy(*columns)
 

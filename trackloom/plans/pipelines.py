@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from ..config import Config
 from ..operators import audit, augment, clean, frames as fr, resample, samples, sequences, splits
 from ..operators.dynamics import estimate_dynamics
 from ..operators.ingest import drop_consecutive_duplicates, frames_from_tracker, game_id_from_path, last_referee, order_frames, resolve_target_color, source_filter, year_from_name
-from ..operators.scans import in_pieces
+from ..operators.scans import in_pieces, step_in_pieces
 from ..operators.tracking import track
 from ..scratch import written
 from ..sources import logs
@@ -73,26 +74,35 @@ def standard_frames(frames: DataFrame, cfg: Config, piece_s: float | None = None
     return fr.canonicalise(fr.live_only(even, cfg))
 
 
-def automatic_frames(frames: DataFrame, cfg: Config) -> DataFrame:
-    """The standard frames, cleaned."""
-    out = standard_frames(frames, cfg)
+def automatic_frames(frames: DataFrame, cfg: Config, piece_s: float | None = None, piece_rows: int | None = None) -> DataFrame:
+    """The standard frames, cleaned; with ``piece_s`` and ``piece_rows``, tasks share a game in every step."""
+
+    def step(f: DataFrame, before: int, after: int, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        return operator(f) if piece_rows is None else step_in_pieces(f, piece_rows, before, after, operator)
+
+    out = standard_frames(frames, cfg, piece_s)
     if cfg.clean.drop_duplicate_timestamps:
-        out = clean.drop_duplicate_timestamps(out)
+        out = step(out, 1, 0, clean.drop_duplicate_timestamps)
     out = clean.complete_teams(clean.null_low_visibility(out, cfg), cfg)
-    out = clean.drop_spikes(clean.drop_teleports(out, cfg), cfg)
+    out = step(out, 1, 0, lambda f: clean.drop_teleports(f, cfg))
+    out = step(out, 1, 1, lambda f: clean.drop_spikes(f, cfg))
     if cfg.clean.smooth:
-        out = clean.smooth_positions(out, cfg)
+        half = cfg.clean.smoothing_window // 2
+        out = step(out, half, half, lambda f: clean.smooth_positions(f, cfg))
     return clean.null_low_ball_visibility(fr.canonicalise(out), cfg)
 
 
-def build(frames: DataFrame, games: DataFrame, cfg: Config, reviews: DataFrame | None = None, automatic: bool = False) -> Output:
+def build(
+    frames: DataFrame, games: DataFrame, cfg: Config, reviews: DataFrame | None = None, automatic: bool = False, piece_s: float | None = None, piece_rows: int | None = None
+) -> Output:
     """Sequences, samples, splits and train statistics of prepared frames.
 
-    The automatic pipeline has a quality gate and no reviews.
+    The automatic pipeline has a quality gate and no reviews.  With ``piece_s`` and ``piece_rows``,
+    tasks share a game in pieces of so many seconds and frames; the result is the same.
     """
-    ready = automatic_frames(frames, cfg) if automatic else standard_frames(frames, cfg)
+    ready = automatic_frames(frames, cfg, piece_s, piece_rows) if automatic else standard_frames(frames, cfg, piece_s)
     # Read twice below, and again for grids: segments come from a table of their own.
-    segmented = written(sequences.segment(ready, cfg), "segments")
+    segmented = written(sequences.segment(ready, cfg, piece_rows), "segments")
     found = sequences.summarise(segmented, cfg)
     if automatic:
         found = sequences.quality_gate(found, cfg.clean.min_quality)
