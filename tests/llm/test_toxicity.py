@@ -120,3 +120,44 @@ def test_training_reads_sampled_rows_only(spark):
     sizes = [seen().getStageInfo(s).numTasks for j in jobs for s in seen().getJobInfo(j).stageIds if seen().getStageInfo(s)]
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert 6 in sizes
+
+
+def test_all_labelled_rows_are_learnt(spark):
+    """One word is toxic only in rows that come after the first 3,000 toxic ones by a hash of the id."""
+    ids = spark.range(9000).where(~toxicity.held_out(F.col("id"))).withColumn("toxic", (F.col("id") % 2).cast("int"))
+    later = {r["id"] for r in ids.where("toxic = 1").orderBy(F.xxhash64("id"), "id").offset(3000).collect()}
+    assert len(later) > 400
+    r = random.Random(5)
+    rows = []
+    for i in range(9000):
+        words = ["".join(r.choices("abcdefghi", k=4)) for _ in range(4)]
+        rows.append((i, " ".join(words + ["zorbling" if i in later else "bozo"] * (i % 2)), i % 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train_on(df, df)
+    news = spark.createDataFrame([(k, f"{r.choice('abcd')}bca zorbling hgfe") for k in range(20)] + [(99, "abca dehi hgfe")], "doc_id long, text string")
+    score = {x["doc_id"]: x["score"] for x in toxicity.score(news, model).collect()}
+    assert all((s >= 0.5) == (k != 99) for k, s in score.items())
+
+
+def test_shards_do_not_depend_on_partitions(spark):
+    df = spark.createDataFrame(made(900, 4), "doc_id long, text string, toxic int")
+    one, other = (toxicity.train_on(x, x.repartition(3), shard_rows=100) for x in (df.coalesce(1), df.repartition(7)))
+    assert np.array_equal(one.table, other.table) and all(map(np.array_equal, one.filters, other.filters))
+    assert one.centre == other.centre and set(one.centre) >= {"", "en", "de"}
+    out = toxicity.score(df, one, keep=["doc_id", "toxic"]).where(toxicity.held_out(F.col("doc_id"))).collect()
+    assert sum((x["score"] >= 0.5) == bool(x["toxic"]) for x in out) / len(out) > 0.9
+
+
+def test_changes_lead_from_state_to_state():
+    docs = [toxicity.ids_of(toxicity.words_of(t)) for t in ("bozo and more", "fine words", "", "a bozo")]
+    before, after = (toxicity.State.fresh(3) for _ in range(2))
+    toxicity.fit(after, docs, np.array([1, 0, 0, 1]), np.ones(4), epochs=3)
+    before.add(*toxicity.changes(before, after))
+    assert np.allclose(before.model.table, after.model.table, atol=1e-6) and np.allclose(before.dense(), after.dense(), atol=1e-6)
+    assert np.allclose(before.model.logits(docs), after.model.logits(docs), atol=1e-4)
+
+
+def test_cut_counts_every_row():
+    m = toxicity.Model.fresh(1)
+    toxicity.calibrate(m, [("en", 0, 10, 9), ("en", 0, 30, 1), ("en", 1, 20, 5), ("en", 1, 40, 3), ("de", 1, 100, 2)])
+    assert m.centre["en"] == (11 + 20) / 2 / toxicity.STEPS and "de" not in m.centre and m.centre[""] == m.centre["en"]

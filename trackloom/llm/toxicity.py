@@ -2,12 +2,16 @@
 
 A word's vector is the sum of hashed embeddings of the word and of its first four and five
 characters.  Filters of widths one to three slide over the words of the whole text; each
-filter's largest response over the text (max pooling) goes to a logistic unit.  Training sees
-a bounded sample of labelled rows in one task; scoring runs wherever the documents are.
-
-Scores are calibrated by language: rows held back from the gradient set, for each language
-that the text itself shows, the response at which a score is one half.  The language is told
-from frequent words of the text; the tables' columns are never read for a score.
+filter's largest response over the text (max pooling) goes to a logistic unit.  All labelled
+rows train, dealt by a hash of the id to shards of a bounded size: the first shard sets out from
+random numbers, then every shard, in a task of its own, goes on from there with its own rows.
+What the shards changed is averaged; a row of the embeddings over the shards that changed it.
+Scoring runs wherever the documents are.
+
+Scores are calibrated by language: a quarter of the labelled rows, held back from the gradient,
+set, for each language that the text itself shows, the response at which a score is one half.
+All of them are counted, by steps of the response.  The language is told from frequent words of
+the text; the tables' columns are never read for a score.
 """
 
 from __future__ import annotations
@@ -22,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, unpacked
+from .common import bitmap, discard, materialize, may_hold, packed, unpacked
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 16
 DIM = 8
 FILTERS = 8
 WIDTHS = (1, 2, 3)
+#: Responses are counted by steps of ``1 / STEPS``, changes added in units of ``1 / UNIT``.
+STEPS, UNIT = 64, 1 << 32
 #: Frequent words that tell the four languages apart.
 FREQUENT = {
     "en": "the and of to that with for this was are is it on as by from",
@@ -171,18 +177,47 @@ def gradients(m: Model, docs: list[np.ndarray], labels: np.ndarray, weight: np.n
     return Gradients(rows, table, filters, back.sum(0), d @ a, float(d.sum()))
 
 
-def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = 8, batch: int = 32, rate: float = 0.05, seed: int = 7) -> Model:
-    """Adagrad on the logistic loss, in which both labels weigh the same."""
-    m = Model.fresh(seed)
+@dataclass
+class State:
+    """A model in training and Adagrad's sums of squares for each of its parts."""
+
+    model: Model
+    gain: list[np.ndarray]
+    shift_gain: float = 1e-6
+
+    @classmethod
+    def fresh(cls, seed: int) -> State:
+        m = Model.fresh(seed)
+        return cls(m, [np.full_like(x, 1e-6) for x in (m.table, *m.filters, m.bias, m.out)])
+
+    def dense(self) -> np.ndarray:
+        """All parameters but the embeddings, padded to rows as wide as theirs."""
+        m = self.model
+        flat = np.concatenate([*(w.ravel() for w in m.filters), m.bias, m.out, [m.shift]])
+        return np.pad(flat, (0, -len(flat) % DIM)).reshape(-1, DIM)
+
+    def add(self, rows: np.ndarray, change: np.ndarray) -> None:
+        """Add changes to rows of the embeddings and, numbered on from those, of ``dense``."""
+        m, own = self.model, rows <= BUCKETS
+        m.table[rows[own]] += change[own].astype(np.float32)
+        rest = self.dense()
+        rest[rows[~own] - BUCKETS - 1] += change[~own]
+        at, rest = 0, rest.ravel()
+        for x in (*m.filters, m.bias, m.out):
+            x[...] = rest[at : at + x.size].reshape(x.shape)
+            at += x.size
+        m.shift = float(rest[at])
+
+
+def fit(state: State, docs: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, epochs: int, batch: int = 32, rate: float = 0.05, seed: int = 7) -> State:
+    """Go on from ``state`` by Adagrad on the weighted logistic loss."""
+    m, gain = state.model, state.gain
     r = np.random.default_rng(seed)
-    gain = [np.full_like(x, 1e-6) for x in (m.table, *m.filters, m.bias, m.out)]
-    shift_gain = 1e-6
 
     def step(x: np.ndarray, g: np.ndarray, s: np.ndarray) -> None:
         s += g * g
         x -= rate * g / np.sqrt(s)
 
-    weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-3), 0.5 / max(1 - labels.mean(), 1e-3))
     for _ in range(epochs):
         order = r.permutation(len(docs))
         for at in range(0, len(order), batch):
@@ -192,53 +227,49 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = 8, batch: int
                 step(m.filters[k], x, gain[1 + k])
             step(m.bias, g.bias, gain[-2])
             step(m.out, g.out, gain[-1])
-            shift_gain += g.shift**2
-            m.shift -= rate * g.shift / shift_gain**0.5
+            state.shift_gain += g.shift**2
+            m.shift -= rate * g.shift / state.shift_gain**0.5
             gain[0][g.rows] += g.table * g.table
             m.table[g.rows] -= rate * g.table / np.sqrt(gain[0][g.rows])
-    return m
+    return state
+
+
+def changes(before: State, after: State) -> tuple[np.ndarray, np.ndarray]:
+    """What ``State.add`` takes from one to the other: the changed rows of the embeddings, and all of ``dense``."""
+    moved = after.model.table.astype(np.float64) - before.model.table
+    rows = np.flatnonzero(moved.any(axis=1))
+    rest = after.dense() - before.dense()
+    return np.concatenate([rows, BUCKETS + 1 + np.arange(len(rest))]), np.concatenate([moved[rows], rest])
 
 
-def _cut(logits: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> float:
-    """The threshold with the least weighted error; the middle of the gap it lies in."""
-    order = np.argsort(logits)
-    x, y, w = logits[order], labels[order], weight[order]
-    below = np.concatenate([[0], np.cumsum(w * (y == 1))])  # toxic rows that are missed
-    above = np.concatenate([np.cumsum((w * (y == 0))[::-1])[::-1], [0]])  # clean rows that are hit
+def _cut(steps: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The threshold with the fewest errors, between two of the ascending ``steps``; the middle of the gap it lies in."""
+    below = np.concatenate([[0], np.cumsum(toxic)])  # toxic rows that are missed
+    above = np.concatenate([np.cumsum(clean[::-1])[::-1], [0]])  # clean rows that are hit
     k = int(np.argmin(below + above))
-    edge = np.concatenate([[x[0] - 1], x, [x[-1] + 1]])
-    return float((edge[k] + edge[k + 1]) / 2)
-
-
-def train(texts: list[str | None], labels: list[int], weights: list[float], held: float = 0.25, seed: int = 7) -> Model:
-    """Fit on most rows, calibrate on the rest; without both labels every score is the share of toxic rows."""
-    y, w = np.array(labels), np.array(weights)
-    docs, told = [], []
-    for t in texts:
-        words = words_of(t)
-        docs.append(ids_of(words))
-        told.append(language_of(words))
-    langs = np.array(told)
-    if len(set(labels)) < 2:
-        m = Model.fresh(seed)
-        m.out[:] = 0
-        m.centre[""] = m.shift + (30 if not labels or labels[0] == 0 else -30)
-        return m
-    r = np.random.default_rng(seed)
-    back = r.random(len(y)) < held
-    if len(set(y[back])) < 2 or len(set(y[~back])) < 2:
-        back[:] = True
-        use = ~np.zeros(len(y), bool)
-    else:
-        use = ~back
-    m = fit([docs[i] for i in np.flatnonzero(use)], y[use], epochs=max(8, min(40, 40_000 // max(1, int(use.sum())))), seed=seed)
-    rows = np.flatnonzero(back)
-    logits = np.concatenate([m.logits([docs[i] for i in rows[k : k + 64]]) for k in range(0, len(rows), 64)])
-    m.centre[""] = _cut(logits, y[rows], w[rows])
-    for lang in np.unique(langs[rows]):
-        own = langs[rows] == lang
-        if (y[rows][own] == 1).sum() >= 8 and (y[rows][own] == 0).sum() >= 8:
-            m.centre[str(lang)] = _cut(logits[own], y[rows][own], w[rows][own])
+    low = np.concatenate([[steps[0] / STEPS - 1], (steps + 1) / STEPS])
+    high = np.concatenate([steps / STEPS, [(steps[-1] + 1) / STEPS + 1]])
+    return float((low[k] + high[k]) / 2)
+
+
+def calibrate(m: Model, counts: list[tuple[str, int, int, int]]) -> None:
+    """Set the centres from the numbers of rows by language, label and step of the response."""
+    tally: dict[str, dict[int, list[int]]] = {"": {}}
+    for lang, y, at, n in counts:
+        for name in ("", lang):
+            tally.setdefault(name, {}).setdefault(at, [0, 0])[y] += n
+    for name, found in tally.items():
+        steps = np.array(sorted(found), np.int64)
+        clean, toxic = np.array([found[k] for k in steps], np.int64).reshape(-1, 2).T
+        if len(steps) and (not name or min(clean.sum(), toxic.sum()) >= 8):
+            m.centre[name] = _cut(steps, toxic, clean)
+
+
+def constant(toxic: bool, seed: int = 7) -> Model:
+    """Without both labels every score is the share of toxic rows; none, if there are no rows."""
+    m = Model.fresh(seed)
+    m.out[:] = 0
+    m.centre[""] = m.shift + (-30 if toxic else 30)
     return m
 
 
@@ -247,34 +278,112 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
 
 
-def train_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = 3000) -> Model:
-    """Train on at most ``most`` rows of each label, the first by a hash of the id.
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """``_id, _y, _text`` of all rows that may be learnt, written to the shared folder.
 
-    The two limits bound the ids that are broadcast and the one task that trains.  Calibration
-    weighs the rows by the share of their label that was taken.  Rows with a null id or label
-    are left out; a repeated label row counts once, and of documents that repeat an id the least
-    text.  Only the sampled rows reach the task that trains.
+    Rows with a null id or label are left out; a repeated label row counts once, and of documents
+    that repeat an id the least text.  Texts without a label, told by a bitmap of fixed size, stay
+    where they are.
     """
     known = (
         labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_y"))
         .where(F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & ~held_out(F.col("_id")))
         .distinct()
     )
-    n = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count("*").alias("n")).collect()}
-    taken = [known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(most) for y in (0, 1)]
-    found = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(
-        F.broadcast(taken[0].union(taken[1])), "_id"
-    )
-    sample = found.groupBy("_id", "_y").agg(F.min("_text").alias("_text")).repartition(1)
-    share = {y: max(1.0, k / most) for y, k in n.items()}
+    words = bitmap(known, F.xxhash64("_id"), "labelled-ids")
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    found = may_hold(texts, words, F.xxhash64("_id")).hint("merge").join(known, "_id")
+    rows = materialize(found.groupBy("_id", "_y").agg(F.min("_text").alias("_text")), "labelled")
+    discard(words)
+    return rows
+
+
+def _learnt(rows: list[dict], weights: list[float]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    rows.sort(key=lambda r: (r["_id"], r["_y"]))
+    y = np.array([r["_y"] for r in rows])
+    return [ids_of(words_of(r["_text"])) for r in rows], y, np.array(weights)[y]
+
+
+def train_on(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", shard_rows: int = 4000, epochs: int = 2, seed: int = 7
+) -> Model:
+    """Train on all labelled rows that aren't held out, in shards of about ``shard_rows``.
+
+    The first shard's task starts the model; then all shards go on from it for ``epochs``, each in
+    a task of its own, and their changes are averaged on the cluster.  The driver sees the model
+    (its size is fixed) and counts.  Both labels weigh the same.  Ids alone decide which rows are
+    in a shard and which set the thresholds, and changes are added as integers, so the model
+    doesn't depend on how rows lie in partitions.
+    """
+    spark = docs.sparkSession
+    rows = labelled(docs, labels, id_col, text_col, label_col)
+    back = F.xxhash64("_id", F.lit(1)) % 4 == 0
+    n = {(r["_y"], r["_back"]): r["n"] for r in rows.groupBy("_y", back.alias("_back")).agg(F.count("*").alias("n")).collect()}
+    total = {y: n.get((y, False), 0) + n.get((y, True), 0) for y in (0, 1)}
+    if not all(total.values()):
+        discard(rows)
+        return constant(total[1] > 0, seed)
+    learn, check = rows.where(~back), rows.where(back)
+    if not all(n.get((y, b)) for y in (0, 1) for b in (False, True)):  # too few for a part of their own
+        learn = check = rows
+    else:
+        total = {y: n[y, False] for y in (0, 1)}
+    size = sum(total.values())
+    weights = [size / (2 * total[y]) for y in (0, 1)]
+    shards = -(-size // shard_rows)
+    learn = learn.withColumn("_shard", F.pmod(F.xxhash64("_id", F.lit(2)), F.lit(shards)).cast("int"))
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _learnt([r for b in batches for r in b.to_pylist()], weights)
+        made = State.fresh(seed)
+        if own[0]:
+            fit(made, *own, epochs=max(8, min(40, 40_000 // len(own[0]))), seed=seed)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made)], pa.binary())], names=["state"])
+
+    first = learn.where("_shard = 0").select("_id", "_y", "_text").repartition(1)
+    found = first.mapInArrow(start, "state binary").collect()
+    state = pickle.loads(found[0]["state"]) if found else State.fresh(seed)
+
+    if shards > 1:
+        sent = spark.sparkContext.broadcast(pickle.dumps(state))
+
+        def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = _learnt([r for b in batches for r in b.to_pylist()], weights)
+            if own[0]:
+                key, moved = changes(pickle.loads(sent.value), fit(pickle.loads(sent.value), *own, epochs=epochs, seed=seed))
+                whole = np.rint(moved * UNIT).astype(np.int64)
+                columns = [pa.array(key, pa.int32()), *(pa.array(np.ascontiguousarray(x)) for x in whole.T)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", *parts])
+
+        parts = [f"v{k}" for k in range(DIM)]
+        dealt = learn.repartitionById(shards, F.col("_shard")).select("_id", "_y", "_text")
+        moved = dealt.mapInArrow(go_on, "key int, " + ", ".join(f"{p} long" for p in parts))
+        mean = moved.groupBy("key").agg(*[(F.sum(p) / (F.count("*") * UNIT)).cast("float").alias(p) for p in parts]).toArrow()
+        state.add(mean.column("key").to_numpy(), np.stack([mean.column(p).to_numpy() for p in parts], axis=1))
+        sent.destroy()
+
+    model = state.model
+    told = responses(check, model).groupBy("lang", "y", "step").agg(F.count("*").alias("n"))
+    calibrate(model, [tuple(r) for r in told.collect()])
+    discard(rows)
+    return model
+
+
+def responses(rows: DataFrame, model: Model, slice_rows: int = 32) -> DataFrame:
+    """``lang, y, step``: the language that each text shows, its label and the step its response lies in."""
+    sent = rows.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["_id"], r["_text"] or ""))
-        m = train([r["_text"] for r in rows], [r["_y"] for r in rows], [share[r["_y"]] for r in rows])
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(m)], pa.binary())], names=["model"])
+        m = pickle.loads(sent.value)
+        for whole in batches:
+            for at in range(0, whole.num_rows, slice_rows):
+                b = whole.slice(at, slice_rows)
+                words = [words_of(t) for t in b.column(1).to_pylist()]
+                step = np.floor(np.clip(m.logits([ids_of(w) for w in words]), -64, 64) * STEPS).astype(np.int32)
+                lang = pa.array([language_of(w) for w in words])
+                yield pa.RecordBatch.from_arrays([lang, b.column(0), pa.array(step)], names=["lang", "y", "step"])
 
-    models = sample.select("_id", "_y", "_text").mapInArrow(work, "model binary").collect()
-    return pickle.loads(models[0]["model"]) if models else train([], [], [])
+    return rows.select("_y", "_text").mapInArrow(work, "lang string, y int, step int")
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, name: str = "score", slice_rows: int = 32) -> DataFrame:
