@@ -174,3 +174,14 @@ def test_repeated_ids_are_documents_of_their_own(spark):
     rows = [(1, "one " * 3 + text), (2, "one " * 3 + text), (2, "two other words that nobody else says in this way at all"), (2, "one " * 3 + text), (None, "null id " + text), (None, "null id " + text)]
     kept = sorted(map(tuple, neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
     assert kept == sorted([rows[0], rows[2], rows[4]], key=repr)
+
+
+def test_components_are_searched_again_by_their_roots_only(spark, monkeypatch):
+    """What the first search has joined isn't sent through the driver's rounds again."""
+    seen, search = [], neardup.connected_components
+    monkeypatch.setattr(neardup, "connected_components", lambda links, *names: seen.append(links.count()) or search(links, *names))
+    words = [f"w{k}" for k in range(100)]
+    rows = [(i, " ".join([*words[: 60 + i], "x", *words[61 + i :]])) for i in range(6)] + [(9, "some other text of no matter")]
+    kept = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 9]
+    assert seen[0] >= 5 and seen[1:] == [0]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pickle
 import random
 import zlib
 
@@ -161,3 +162,8 @@ def test_cut_counts_every_row():
     m = toxicity.Model.fresh(1)
     toxicity.calibrate(m, [("en", 0, 10, 9), ("en", 0, 30, 1), ("en", 1, 20, 5), ("en", 1, 40, 3), ("de", 1, 100, 2)])
     assert m.centre["en"] == (11 + 20) / 2 / toxicity.STEPS and "de" not in m.centre and m.centre[""] == m.centre["en"]
+
+
+def test_model_is_small_enough_for_the_driver():
+    """Results and broadcasts of several megabytes cost the driver many times their size."""
+    assert len(pickle.dumps(toxicity.Model.fresh(1))) < 3_000_000

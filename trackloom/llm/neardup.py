@@ -76,8 +76,8 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def links_between(ids: np.ndarray, roots: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
-    """Links that join what components ``roots`` of the documents can be joined.
+def links_between(roots: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
+    """Pairs of ``roots``, the documents' components, that can be joined.
 
     Documents of one block are compared only if all are of one block.  Each document outside the
     largest component is compared with all of other components that are long enough.
@@ -94,14 +94,14 @@ def links_between(ids: np.ndarray, roots: np.ndarray, blocks: np.ndarray, sets:
         if not len(others):
             continue
         held[flat[starts[i] : starts[i] + size[i]]] = 1
-        if len(others) * 8 < len(ids) or not size.all():
+        if len(others) * 8 < len(roots) or not size.all():
             both = np.array([held[flat[starts[k] : starts[k] + size[k]]].sum(dtype=np.int64) for k in others])
         else:
             both = np.add.reduceat(held[flat], starts, dtype=np.int64)[others]
         held[flat[starts[i] : starts[i] + size[i]]] = 0
         for k in others[both >= similarity * (size[others] + size[i] - both)]:
             if part[k] != part[i]:
-                yield ids[i], ids[k]
+                yield roots[i], roots[k]
                 part[part == part[k]] = part[i]
 
 
@@ -168,14 +168,13 @@ def _verified(pairs: DataFrame, have: DataFrame, similarity: float) -> DataFrame
     return pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(work, "a long, b long")
 
 
-def _missing_links(buckets: DataFrame, links: DataFrame, have: DataFrame, similarity: float, block: int) -> DataFrame:
-    """``a, b``: links in buckets between documents that ``links`` leave in different components.
+def _missing_links(buckets: DataFrame, roots: DataFrame, have: DataFrame, similarity: float, block: int) -> DataFrame:
+    """``a, b``: roots of components (``node, root``) that documents of one bucket link.
 
     A document of a bucket with several components is sent to each pair of its block with
     another: the blocks of a bucket are as many as it takes to have about ``block`` documents each.
     """
-    roots = connected_components(links, "a", "b").withColumnRenamed("node", "id")
-    named = materialize(buckets.select("key", "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "named")
+    named = materialize(buckets.select("key", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")), "named")
     mixed = named.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.ceil(F.count("*") / block).alias("blocks")).where("_low != _high")
     own = named.join(mixed.select("key", "blocks"), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
@@ -187,29 +186,30 @@ def _missing_links(buckets: DataFrame, links: DataFrame, have: DataFrame, simila
         cell, held = None, []
 
         def take() -> pa.RecordBatch:
-            ids, roots, blocks = (np.array(x, np.int64) for x in list(zip(*held))[:3])
-            found = list(links_between(ids, roots, blocks, [x[3] for x in held], similarity)) if len(held) > 1 else []
+            roots, blocks = (np.array(x, np.int64) for x in list(zip(*held))[:2])
+            found = list(links_between(roots, blocks, [x[2] for x in held], similarity)) if len(held) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([int(x[c]) for x in found], pa.int64()) for c in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            for key, i, k, doc, root, blk, found in zip(*batch.columns):
+            for key, i, k, root, blk, found in zip(*batch.select(["key", "i", "k", "root", "block", "shingles"]).columns):
                 at = (key.as_py(), i.as_py(), k.as_py())
                 if at != cell:
                     if held:
                         yield take()
                     cell, held = at, []
-                held.append((doc.as_py(), root.as_py(), blk.as_py(), np.frombuffer(found.as_py(), np.uint64)))
+                held.append((root.as_py(), blk.as_py(), np.frombuffer(found.as_py(), np.uint64)))
         if held:
             yield take()
 
     return ordered.mapInArrow(work, "a long, b long").distinct()
 
 
-def similar_links(src: DataFrame, size: int = 5, similarity: float = 0.8, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``src`` (``n``, ``text``) as ``n, id`` and the verified links ``a, b`` between ``id``.
+def later_copies(src: DataFrame, size: int = 5, similarity: float = 0.8, block: int = BLOCK) -> DataFrame:
+    """``n`` of the rows of ``src`` (``n``, ``text``) that aren't the least of their group.
 
     Rows whose folded words are the same sequence are one node, named by its least ``n``.
-    Candidates are made for a similarity of 0.8 or more; below that some are missed.
+    Candidates are made for a similarity of 0.8 or more; below that some are missed.  Links that
+    are found in buckets join components as a whole, so only roots are searched again.
     """
     rows = materialize(_sketches(src, size), "sketch")
     nodes = materialize(rows.groupBy("node").agg(F.min("n").alias("id"), *[F.first(c).alias(c) for c in ("fp", "keys")]), "nodes")
@@ -217,11 +217,12 @@ def similar_links(src: DataFrame, size: int = 5, similarity: float = 0.8, block:
     pairs = buckets.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).union(_covered(nodes))
     pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     have = materialize(_shingles(src, pairs, size), "shingles")
-    links = materialize(_verified(pairs, have, similarity), "links")
-    more = materialize(_missing_links(buckets, links, have, similarity, block), "more-links")
+    roots = connected_components(_verified(pairs, have, similarity), "a", "b")
+    more = materialize(_missing_links(buckets, roots, have, similarity, block), "more-links")
     discard(pairs, have, buckets)
-    links = links.union(more)
-    return rows.select("n", "node").join(nodes.select("node", "id"), "node").select("n", "id"), links
+    joined = roots.union(connected_components(more, "a", "b")).where("node != root").select(F.col("node").alias("n"))
+    same = rows.select("n", "node").join(nodes.select("node", "id"), "node").where("n != id").select("n")
+    return same.union(joined).distinct()
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, block: int = BLOCK) -> DataFrame:
@@ -231,9 +232,7 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     documents of their own, in the order of a hash of their texts; null ids come last.
     """
     src = numbered(df, id_col, text_col)
-    rows, links = similar_links(src, size, similarity, block)
-    later = connected_components(links, "a", "b").where("node != root").select(F.col("node").alias("n"))
-    gone = materialize(rows.where("n != id").select("n").union(later).distinct(), "gone")
+    gone = materialize(later_copies(src, size, similarity, block), "gone")
     words, mark = bitmap(gone, F.xxhash64("n"), "gone-bitmap"), F.xxhash64("n")
     slim = src.select("row", "n")
     apart = may_hold(slim, words, mark).join(gone.hint("merge"), "n", "left_anti").select("row")
